@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.scores import beats, pair_loss, percent
 
-N_ROWS = F.count(F.lit(1))
+
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def pairwise_summary(scored: DataFrame) -> DataFrame:
     """total, correct and accuracy; the accuracy of no rows is null."""
     right = F.count_if(beats(F.col("chosen_score"), F.col("rejected_score")))
-    return scored.agg(N_ROWS.alias("total"), right.alias("correct"), percent(right, N_ROWS).alias("accuracy"))
+    return scored.agg(n_rows().alias("total"), right.alias("correct"), percent(right, n_rows()).alias("accuracy"))
 
 
 def pairwise_loss(scored: DataFrame, center: float = 0.01) -> DataFrame:
@@ -27,12 +29,12 @@ def comparison_summary(rows: DataFrame, a: str, b: str, by: list[str] | None = N
     """n, mean scores, lift, wins of ``b`` and win rate, over everything or by group."""
     wins = F.count_if(beats(F.col(b), F.col(a)))
     return rows.groupBy(*(by or [])).agg(
-        N_ROWS.alias("n"),
+        n_rows().alias("n"),
         F.avg(a).alias("mean_a"),
         F.avg(b).alias("mean_b"),
         (F.avg(b) - F.avg(a)).alias("lift"),
         wins.alias("wins"),
-        percent(wins, N_ROWS).alias("win_rate"),
+        percent(wins, n_rows()).alias("win_rate"),
     )
 
 
@@ -60,7 +62,7 @@ def wide_report(long: DataFrame, keys: list[str], names: list[str]) -> DataFrame
 def step_rewards(rollouts: DataFrame) -> DataFrame:
     """Number of rollouts and mean reward per run and step."""
     return rollouts.groupBy("run_id", "step").agg(
-        N_ROWS.alias("n"), F.avg(F.col("reward").cast("double")).alias("mean_reward")
+        n_rows().alias("n"), F.avg(F.col("reward").cast("double")).alias("mean_reward")
     )
 
 
