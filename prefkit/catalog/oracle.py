@@ -57,6 +57,14 @@ def _str(items: str) -> str:
     return f"array_to_string({items}, ' ')"
 
 
+def _mean(where: str = "true") -> str:
+    """The mean weight, summed in billionths so that the order of rows cannot matter."""
+    return (
+        f"(sum(coalesce(round(weight * 1000000000)::BIGINT, 0)) FILTER ({where}))::DOUBLE"
+        f" / (count(*) FILTER ({where}))::DOUBLE / 1000000000"
+    )
+
+
 # Named parts of queries, each listing the parts it reads.
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "ex0": ((), """
@@ -88,11 +96,11 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL
         SELECT row_id, split, place, 'rejected' AS side, {_chat_words('rejected')} AS w FROM talks"""),
     "odds": (("sides",), """
-        SELECT tok, c, r, ln((c + 1)::DOUBLE / (r + 1)) AS weight
+        SELECT tok, c, r, round(ln((c + 1)::DOUBLE / (r + 1)), 9) AS weight
         FROM (SELECT tok, count(*) FILTER (side = 'chosen') AS c, count(*) FILTER (side = 'rejected') AS r
               FROM (SELECT side, unnest(w) AS tok FROM sides WHERE split = 'train') GROUP BY tok)"""),
-    "side_scores": (("sides", "odds"), """
-        SELECT row_id, side, avg(coalesce(weight, 0)) AS score
+    "side_scores": (("sides", "odds"), f"""
+        SELECT row_id, side, {_mean()} AS score
         FROM (SELECT row_id, side, unnest(w) AS tok FROM sides) LEFT JOIN odds USING (tok)
         GROUP BY row_id, side"""),
     "scored": (("side_scores",), """
@@ -117,8 +125,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT source, row_id, question, sft_response, ppo_response, sft_rm_score, ppo_rm_score,
                ppo_rm_score - sft_rm_score AS score_diff
         FROM asked JOIN (
-            SELECT source, row_id, avg(coalesce(weight, 0)) FILTER (m = 'sft') AS sft_rm_score,
-                   avg(coalesce(weight, 0)) FILTER (m = 'ppo') AS ppo_rm_score
+            SELECT source, row_id, {_mean("m = 'sft'")} AS sft_rm_score,
+                   {_mean("m = 'ppo'")} AS ppo_rm_score
             FROM (SELECT source, row_id, 'sft' AS m, unnest({_chat_words(_talk('question', 'sft_response', ''))}) AS tok FROM asked
                   UNION ALL
                   SELECT source, row_id, 'ppo', unnest({_chat_words(_talk('question', 'ppo_response', ''))}) FROM asked)
@@ -143,7 +151,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT *, {_str(f"list_slice({_words('words_from')}, 1, gen_len)")} AS response
               FROM (SELECT *, 'run' AS run_id, answer AS words_from FROM drawn
                     UNION ALL SELECT *, 'b', other FROM drawn))
-        JOIN (SELECT run_id, step, slot, avg(coalesce(weight, 0))::FLOAT::DOUBLE AS reward
+        JOIN (SELECT run_id, step, slot, ({_mean()})::FLOAT::DOUBLE AS reward
               FROM (SELECT run_id, step, slot, unnest(list_filter({_chat_words(f"query || ' ' || {_str(f'list_slice({_words('words_from')}, 1, gen_len)')}")},
                                                           lambda w: NOT list_contains({_SPECIAL_LIST}, w))) AS tok
                     FROM (SELECT *, 'run' AS run_id, answer AS words_from FROM drawn
@@ -219,9 +227,9 @@ def _refit(source: str, keep: str, cut: int | None = None) -> str:
                      {w(_talk('question', 'chosen'))} AS cw, {w(_talk('question', 'rejected'))} AS rw FROM {source}),
     s AS (SELECT row_id, split, place, 1 AS c, unnest(cw) AS tok FROM t
           UNION ALL SELECT row_id, split, place, 0, unnest(rw) FROM t),
-    o AS (SELECT tok, ln((sum(c) + 1)::DOUBLE / (count(*) - sum(c) + 1)) AS weight FROM s WHERE split = 'train' GROUP BY tok),
-    f AS (SELECT row_id, avg(coalesce(weight, 0)) FILTER (c = 1) AS chosen_score,
-                 avg(coalesce(weight, 0)) FILTER (c = 0) AS rejected_score
+    o AS (SELECT tok, round(ln((sum(c) + 1)::DOUBLE / (count(*) - sum(c) + 1)), 9) AS weight FROM s WHERE split = 'train' GROUP BY tok),
+    f AS (SELECT row_id, {_mean("c = 1")} AS chosen_score,
+                 {_mean("c = 0")} AS rejected_score
           FROM s LEFT JOIN o USING (tok) WHERE {keep} GROUP BY row_id)
     {_accuracy('f')}"""
 

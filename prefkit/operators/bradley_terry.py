@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.text import words
+from prefkit.operators.inference import Scorer
 
-FEATURES = 1 << 16
+FEATURES = 1 << 14
 
 
 def _assembled(df: DataFrame, first: Column, second: Column, features: int) -> DataFrame:
-    tokens = df.withColumn("_w1", first).withColumn("_w2", second)
+    """Word counts of either text, each scaled to length one, side by side."""
+    rows = df.withColumn("_w1", first).withColumn("_w2", second)
     for i in ("1", "2"):
-        tokens = HashingTF(numFeatures=features, inputCol=f"_w{i}", outputCol=f"_f{i}").transform(tokens)
-    return VectorAssembler(inputCols=["_f1", "_f2"], outputCol="features").transform(tokens).drop("_w1", "_w2", "_f1", "_f2")
+        rows = HashingTF(numFeatures=features, inputCol=f"_w{i}", outputCol=f"_c{i}").transform(rows)
+        rows = Normalizer(inputCol=f"_c{i}", outputCol=f"_f{i}").transform(rows)
+    rows = VectorAssembler(inputCols=["_f1", "_f2"], outputCol="features").transform(rows)
+    return rows.drop("_w1", "_w2", "_c1", "_c2", "_f1", "_f2")
 
 
 def fit_bradley_terry(
-    df: DataFrame, chosen: Column, rejected: Column, features: int = FEATURES, reg: float = 0.01, max_iter: int = 50
+    df: DataFrame, chosen: Column, rejected: Column, features: int = FEATURES, reg: float = 0.001, max_iter: int = 50
 ) -> LogisticRegressionModel:
     """Logistic regression without intercept on ordered pairs.
 
@@ -33,17 +37,20 @@ def fit_bradley_terry(
         F.struct(F.lit(0.0).alias("label"), words(rejected).alias("a"), words(chosen).alias("b")),
     )
     rows = _assembled(df.select(F.inline(shown)), F.col("a"), F.col("b"), features).select("label", "features")
-    fit = LogisticRegression(fitIntercept=False, standardization=False, regParam=reg, maxIter=max_iter)
+    fit = LogisticRegression(fitIntercept=False, regParam=reg, maxIter=max_iter)
     return fit.fit(rows)
 
 
-def bradley_terry_scorer(model: LogisticRegressionModel):
-    """Scores rows holding ``text`` by the margin against an empty text."""
+def bradley_terry_scorer(model: LogisticRegressionModel) -> Scorer:
+    """The margin of a text against an empty one."""
     features = model.numFeatures // 2
 
-    def score(texts: DataFrame, keys: list[str]) -> DataFrame:
-        none = F.array().cast("array<string>")
-        rows = _assembled(texts.select(*keys, "text"), words(F.col("text")), none, features)
-        return model.transform(rows).select(*keys, vector_to_array("rawPrediction")[1].alias("score"))
+    def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+        rows = df.select(*keys, *(keep or []), *[t.alias(n) for n, t in texts.items()])
+        nothing = F.array().cast("array<string>")
+        for name in texts:
+            seen = model.transform(_assembled(rows, words(F.col(name)), nothing, features))
+            rows = seen.withColumn(name, vector_to_array("rawPrediction")[1]).select(*rows.columns)
+        return rows
 
     return score

@@ -7,10 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Scores a batch of texts.
 TextModel = Callable[[Sequence[str]], Sequence[float]]
+# Scores the named texts of every row: scorer(df, keys, texts, keep) returns the
+# keys, the kept columns and one score column per text, under its name.
+Scorer = Callable[..., DataFrame]
 # Answers a batch of prompts, each with its own limit of new tokens.
 Generator = Callable[[Sequence[str], Sequence[int]], Sequence[str]]
 
@@ -25,10 +28,14 @@ def batch_score_udf(make_model: Callable[[], TextModel], batch_size: int = 64):
     return predict_batch_udf(load, return_type=T.FloatType(), batch_size=batch_size)
 
 
-def model_scorer(make_model: Callable[[], TextModel], batch_size: int = 64):
-    """The same as a scorer of rows holding ``text``."""
+def model_scorer(make_model: Callable[[], TextModel], batch_size: int = 64) -> Scorer:
+    """A batch model as a scorer; it adds columns and moves no rows."""
     udf = batch_score_udf(make_model, batch_size)
-    return lambda texts, keys: texts.select(*keys, udf("text").cast("double").alias("score"))
+
+    def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+        return df.select(*keys, *(keep or []), *[udf(t).cast("double").alias(n) for n, t in texts.items()])
+
+    return score
 
 
 def generate(

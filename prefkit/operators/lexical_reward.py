@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.tokens import truncate
+from prefkit.operators.inference import Scorer
 from prefkit.operators.lookup import lookup
 from prefkit.operators.vocabulary import chat_words
 from prefkit.session import shared_folder
 
 
+# Weights are kept to nine places and summed as whole numbers, so that equal
+# texts get equal scores whatever order Spark adds them up in.
+UNITS = 1_000_000_000
+
+
 def fit_log_odds(df: DataFrame, chosen: Column, rejected: Column, max_len: int | None = None) -> DataFrame:
-    """(tok, c, r, cnt, weight) with weight ``ln((c + 1) / (r + 1))``.
+    """(tok, c, r, cnt, weight) with weight ``ln((c + 1) / (r + 1))`` to nine places.
 
     Both sides are counted in one pass, combined before the shuffle. The table
     is checkpointed because every scoring job reads it.
@@ -31,17 +35,28 @@ def fit_log_odds(df: DataFrame, chosen: Column, rejected: Column, max_len: int |
         "c",
         rejections.alias("r"),
         "cnt",
-        F.log((F.col("c") + 1).cast("double") / (rejections + 1)).alias("weight"),
+        F.round(F.log((F.col("c") + 1).cast("double") / (rejections + 1)), 9).alias("weight"),
     ).checkpoint()
 
 
-def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Callable[[DataFrame, list[str]], DataFrame]:
-    """Scores rows holding ``text``: the mean weight of its words; an unseen word weighs nothing."""
+def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Scorer:
+    """The mean weight of a text's words; an unseen word weighs nothing."""
+
+    def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+        sides = F.array(
+            *[F.struct(F.lit(n).alias("_of"), truncate(chat_words(t), max_len).alias("_w")) for n, t in texts.items()]
+        )
+        tokens = df.select(*keys, F.inline(sides)).select(*keys, "_of", F.explode_outer("_w").alias("tok"))
+        units = F.round(F.col("weight") * UNITS).cast("bigint").alias("units")
+        found = lookup(tokens, weights.select("tok", "cnt", units), "tok")
+
+        def mean(name: str) -> Column:
+            here = F.col("_of") == name
+            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")))).cast("double")
+            words = F.count(F.when(here, F.col("tok"))).cast("double")
+            return F.coalesce(F.try_divide(total, words) / UNITS, F.lit(0.0)).alias(name)
 
-    def score(texts: DataFrame, keys: list[str]) -> DataFrame:
-        tokens = texts.select(*keys, F.explode_outer(truncate(chat_words(F.col("text")), max_len)).alias("tok"))
-        found = lookup(tokens, weights.select("tok", "cnt", "weight"), "tok")
-        mean = F.try_divide(F.sum(F.coalesce("weight", F.lit(0.0))), F.count("tok"))
-        return found.groupBy(*keys).agg(F.coalesce(mean, F.lit(0.0)).alias("score"))
+        scores = found.groupBy(*keys).agg(*[mean(n) for n in texts])
+        return df.select(*keys, *keep).join(scores, keys) if keep else scores
 
     return score

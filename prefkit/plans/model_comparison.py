@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from prefkit.functions.chat import CHATML, ChatTemplate, answered_messages, render
 from prefkit.functions.scores import four_places
+from prefkit.operators.inference import Scorer
 from prefkit.operators.positions import number_rows
 from prefkit.operators.sampling import sample_rows
-from prefkit.plans.pairwise_eval import Scorer
 
 KEYS = ["source", "row_id"]
 # The result columns of a comparison, in file order.
@@ -33,21 +33,18 @@ def compare(
 ) -> DataFrame:
     """One row per question with both responses, both scores and their difference.
 
-    Responses are keyed like the questions. Both are scored in one pass over
-    the long form.
+    Responses are keyed like the questions, so all three meet in one partitioning.
     """
     answered = questions.join(sft.withColumnRenamed("response", "sft_response"), KEYS).join(
         ppo.withColumnRenamed("response", "ppo_response"), KEYS
     )
-    text = lambda answer: render(answered_messages(system, F.col("question"), F.col(answer)), template)
-    models = F.array(
-        *[F.struct(F.lit(m).alias("model"), text(f"{m}_response").alias("text")) for m in ("sft", "ppo")]
-    )
-    scores = scorer(answered.select(*KEYS, F.inline(models)), [*KEYS, "model"])
-    of = lambda m: F.max(F.when(F.col("model") == m, F.col("score"))).alias(f"{m}_rm_score")
-    wide = scores.groupBy(*KEYS).agg(of("sft"), of("ppo"))
+    texts = {
+        f"{model}_rm_score": render(answered_messages(system, F.col("question"), F.col(f"{model}_response")), template)
+        for model in ("sft", "ppo")
+    }
+    scored = scorer(answered, KEYS, texts, keep=RESULT_COLUMNS[:3])
     diff = (F.col("ppo_rm_score") - F.col("sft_rm_score")).alias("score_diff")
-    return answered.join(wide, KEYS).select(*KEYS, *RESULT_COLUMNS[:-1], diff)
+    return scored.select(*KEYS, *RESULT_COLUMNS[:-1], diff)
 
 
 def in_input_order(rows: DataFrame) -> DataFrame:

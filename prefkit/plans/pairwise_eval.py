@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, functions as F
 
 from prefkit.functions.chat import CHATML, ChatTemplate
 from prefkit.functions.scores import beats, verdict
+from prefkit.operators.inference import Scorer
 from prefkit.operators.metrics import pairwise_summary
 from prefkit.operators.splits import eval_rows
 from prefkit.plans.training_sets import pair_texts
 
-# A scorer takes rows (keys…, text) and returns (keys…, score).
-Scorer = Callable[[DataFrame, list[str]], DataFrame]
-
 
 def score_pairs(df: DataFrame, scorer: Scorer, system: str, template: ChatTemplate = CHATML) -> DataFrame:
-    """row_id and both scores; one scoring pass over the long form of both sides."""
+    """row_id and both scores; both sides are scored in one pass."""
     chosen, rejected = pair_texts(system, template)
-    sides = F.array(
-        F.struct(F.lit("chosen").alias("side"), chosen.alias("text")),
-        F.struct(F.lit("rejected").alias("side"), rejected.alias("text")),
-    )
-    scores = scorer(df.select("row_id", F.inline(sides)), ["row_id", "side"])
-    of = lambda side: F.max(F.when(F.col("side") == side, F.col("score"))).alias(f"{side}_score")
-    return scores.groupBy("row_id").agg(of("chosen"), of("rejected"))
+    return scorer(df, ["row_id"], {"chosen_score": chosen, "rejected_score": rejected})
 
 
 def judged(scored: DataFrame) -> DataFrame:
