@@ -18,7 +18,8 @@ def ordered_split(df: DataFrame, fraction: float, key: str = "row_id") -> DataFr
     """Adds ``split``; the test side is the tail of the key order."""
     size = test_rows(fraction)
     last_train = key_edge(df, key, lambda n: n - size(n))
-    test = F.col(key) > F.coalesce(last_train.scalar(), F.lit(-(1 << 63)))
+    # Without a last train row everything is on the test side.
+    test = F.coalesce(F.col(key) > last_train.scalar(), F.lit(True))
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
