@@ -10,7 +10,7 @@ BLANKS = r"[\t\n\x0B\f\r \p{Z}]+"
 
 def words(text: Column) -> Column:
     """Whitespace-separated words of a text; an empty array for blank text."""
-    return F.filter(F.split(text, BLANKS), lambda w: w != "")
+    return F.array_remove(F.split(text, BLANKS), "")
 
 
 def strip_all(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,18 +14,15 @@ from prefkit.operators.inference import Scorer
 FEATURES = 1 << 14
 
 
-def _assembled(df: DataFrame, first: Column, second: Column, features: int) -> DataFrame:
-    """Word counts of either text, each scaled to length one, side by side."""
-    rows = df.withColumn("_w1", first).withColumn("_w2", second)
-    for i in ("1", "2"):
-        rows = HashingTF(numFeatures=features, inputCol=f"_w{i}", outputCol=f"_c{i}").transform(rows)
-        rows = Normalizer(inputCol=f"_c{i}", outputCol=f"_f{i}").transform(rows)
-    rows = VectorAssembler(inputCols=["_f1", "_f2"], outputCol="features").transform(rows)
-    return rows.drop("_w1", "_w2", "_c1", "_c2", "_f1", "_f2")
+def _counted(df: DataFrame, text: str, features: int) -> DataFrame:
+    """Turns the text column into its word counts, scaled to length one."""
+    rows = df.withColumn("_words", words(F.col(text)))
+    rows = HashingTF(numFeatures=features, inputCol="_words", outputCol="_counts").transform(rows)
+    return Normalizer(inputCol="_counts", outputCol="_unit").transform(rows).withColumn(text, F.col("_unit")).select(*df.columns)
 
 
 def fit_bradley_terry(
-    df: DataFrame, chosen: Column, rejected: Column, features: int = FEATURES, reg: float = 0.001, max_iter: int = 50
+    df: DataFrame, chosen: Column, rejected: Column, features: int = FEATURES, reg: float = 0.1, max_iter: int = 50
 ) -> LogisticRegressionModel:
     """Logistic regression without intercept on ordered pairs.
 
@@ -32,13 +30,19 @@ def fit_bradley_terry(
     as 0. The optimum is then antisymmetric in the two halves of the feature
     vector, so the margin is w.x(chosen) - w.x(rejected).
     """
+    pairs = df.select(chosen.alias("_c"), rejected.alias("_r"))
+    pairs = _counted(_counted(pairs, "_c", features), "_r", features)
     shown = F.array(
-        F.struct(F.lit(1.0).alias("label"), words(chosen).alias("a"), words(rejected).alias("b")),
-        F.struct(F.lit(0.0).alias("label"), words(rejected).alias("a"), words(chosen).alias("b")),
+        F.struct(F.lit(1.0).alias("label"), F.col("_c").alias("_1"), F.col("_r").alias("_2")),
+        F.struct(F.lit(0.0).alias("label"), F.col("_r").alias("_1"), F.col("_c").alias("_2")),
     )
-    rows = _assembled(df.select(F.inline(shown)), F.col("a"), F.col("b"), features).select("label", "features")
-    fit = LogisticRegression(fitIntercept=False, regParam=reg, maxIter=max_iter)
-    return fit.fit(rows)
+    rows = VectorAssembler(inputCols=["_1", "_2"], outputCol="features").transform(pairs.select(F.inline(shown)))
+    # The fit passes over the features twice before it keeps its own copy.
+    rows = rows.select("label", "features").persist(StorageLevel.DISK_ONLY)
+    try:
+        return LogisticRegression(fitIntercept=False, regParam=reg, maxIter=max_iter).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def bradley_terry_scorer(model: LogisticRegressionModel) -> Scorer:
@@ -47,10 +51,11 @@ def bradley_terry_scorer(model: LogisticRegressionModel) -> Scorer:
 
     def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
         rows = df.select(*keys, *(keep or []), *[t.alias(n) for n, t in texts.items()])
-        nothing = F.array().cast("array<string>")
+        columns = rows.columns
+        rows = _counted(rows.withColumn("_none", F.lit("")), "_none", features)
         for name in texts:
-            seen = model.transform(_assembled(rows, words(F.col(name)), nothing, features))
-            rows = seen.withColumn(name, vector_to_array("rawPrediction")[1]).select(*rows.columns)
-        return rows
+            pair = VectorAssembler(inputCols=[name, "_none"], outputCol="features").transform(_counted(rows, name, features))
+            rows = model.transform(pair).withColumn(name, vector_to_array("rawPrediction")[1]).select(*columns, "_none")
+        return rows.select(*columns)
 
     return score

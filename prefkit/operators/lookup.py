@@ -19,15 +19,20 @@ def table_bytes(table: DataFrame, key: str) -> int:
     return row["n"] * 64 + row["b"]
 
 
-def lookup(tokens: DataFrame, table: DataFrame, key: str, hot: Column | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+def is_small(table: DataFrame, key: str) -> bool:
+    return table_bytes(table, key) <= BROADCAST_BYTES
+
+
+def lookup(tokens: DataFrame, table: DataFrame, key: str, hot: Column | None = None, small: bool | None = None) -> DataFrame:
     """Left join of ``tokens`` with a stored ``table`` (``key``, ``cnt``, values).
 
-    A small table is broadcast. Beyond the limit only the hot keys are, and
-    the rest, none of which is frequent, is joined by shuffling.
+    A small table is broadcast. Otherwise only the hot keys are, and the
+    rest, none of which is frequent, is joined by shuffling. ``small`` passes
+    on a size check that was made already.
     """
     values = [c for c in table.columns if c not in (key, "cnt")]
     slim = table.select(key, *values)
-    if table_bytes(table, key) <= limit:
+    if is_small(table, key) if small is None else small:
         return tokens.join(F.broadcast(slim), key, "left")
     total = table.agg(F.sum("cnt")).scalar()
     is_hot = F.col("cnt") * HOT_PARTS > total

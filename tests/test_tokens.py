@@ -45,7 +45,7 @@ def test_encode(texts, words):
 
 
 def test_encode_beyond_the_broadcast_limit(texts, words, monkeypatch):
-    monkeypatch.setattr(lk.lookup, "__defaults__", (None, 0))
+    monkeypatch.setattr(lk, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(lk, "HOT_PARTS", 3)
     assert {k: r["ids"] for k, r in encoded(texts, words).items()} == EXPECTED
 
@@ -60,7 +60,7 @@ def test_truncation_keeps_the_head(texts, words):
 @pytest.mark.parametrize("limit", [None, 0])
 def test_decode(texts, words, limit, monkeypatch):
     if limit is not None:
-        monkeypatch.setattr(lk.lookup, "__defaults__", (None, limit))
+        monkeypatch.setattr(lk, "BROADCAST_BYTES", limit)
     ids = encode(texts, "row_id", {"ids": F.col("t")}, words)
     kept = {r["row_id"]: r["text"] for r in decode(ids, "row_id", "ids", words).collect()}
     assert kept == {1: "a b a c", 2: "", 3: "", 4: "a <|im_start|> b <|im_end|>", 5: "", 6: "b <unk> a"}
@@ -72,7 +72,7 @@ def test_lookup_paths_agree(spark):
     tokens = spark.createDataFrame([(i, f"t{i % 9}" if i % 5 else None) for i in range(200)], "i int, tok string")
     table = spark.createDataFrame([(f"t{j}", 100 - 10 * j, j) for j in range(7)], "tok string, cnt bigint, v bigint")
     small = lk.lookup(tokens, table, "tok").select("i", "tok", "v")
-    large = lk.lookup(tokens, table, "tok", limit=0).select("i", "tok", "v")
+    large = lk.lookup(tokens, table, "tok", small=False).select("i", "tok", "v")
     order = lambda df: sorted((r["i"], r["tok"] or "", -1 if r["v"] is None else r["v"]) for r in df.collect())
     assert order(small) == order(large) and large.count() == 200
 
