@@ -409,8 +409,9 @@ def batch_udf_scores(spark, folder):
 
 
 def _comparison(spark: SparkSession, folder: str) -> DataFrame:
-    sft, ppo = derived.stored_answers(spark, folder)
-    asked = cmp.comparison_questions(inputs.exchanges(spark, folder), derived.common_questions(spark, folder), None)
+    own = inputs.exchanges(spark, folder)
+    sft, ppo = derived.stored_answers(spark, folder, own)
+    asked = cmp.comparison_questions(own, derived.common_questions(spark, folder), None)
     return cmp.compare(asked, sft, ppo, _scorer(spark, folder))
 
 
@@ -442,8 +443,9 @@ def compare_by_source(spark, folder):
 @query
 def compare_sample_50(spark, folder):
     """The published protocol: 50 sampled questions and the common ones, spacing as the score."""
-    sft, ppo = derived.stored_answers(spark, folder)
-    asked = cmp.comparison_questions(inputs.exchanges(spark, folder), derived.common_questions(spark, folder))
+    own = inputs.exchanges(spark, folder)
+    sft, ppo = derived.stored_answers(spark, folder, own)
+    asked = cmp.comparison_questions(own, derived.common_questions(spark, folder))
     return _summary(cmp.compare(asked, sft, ppo, model_scorer(_spacing)))
 
 

@@ -120,13 +120,13 @@ def common_questions(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("question"))
 
 
-def stored_answers(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def stored_answers(spark: SparkSession, folder: str, own: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two response sets keyed (source, row_id).
 
-    For exchanges the own and the other answer; for a benchmark question the
-    documents with its number and the next one, empty where there is none.
+    For the exchanges ``own`` their own and the other answer; for a benchmark
+    question the documents with its number and the next one, empty where there
+    is none.
     """
-    own = other_answers(exchanges(spark, folder))
     items = table(spark, folder, "benchmark").select("item_id")
     documents = table(spark, folder, "documents").select("doc_id", "text")
 
