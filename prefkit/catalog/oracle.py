@@ -204,7 +204,6 @@ _FULL = "trim(p.ids || ' ' || a.ids)"
 _BATCHED = f"""(SELECT row_id, ({_place()} - 1) // 8 AS batch_id, p.ids, p.n_ids
                FROM ({_encoded('ex_words', 'row_id', 'p')}) p)"""
 _SYS = f"'{SYSTEM}'"
-_KNOWN = "list_transform({}, lambda w: CASE WHEN list_contains(k.all_tok, w) THEN w ELSE '<unk>' END)"
 _SUMMARY = """count(*) AS n, round(avg(sft_rm_score), 6) AS mean_a, round(avg(ppo_rm_score), 6) AS mean_b,
        round(avg(ppo_rm_score) - avg(sft_rm_score), 6) AS lift, count(*) FILTER (ppo_rm_score > sft_rm_score) AS wins,
        round(100.0::DOUBLE * count(*) FILTER (ppo_rm_score > sft_rm_score) / count(*), 6) AS win_rate"""
@@ -245,7 +244,6 @@ def oracle_sql() -> dict[str, str]:
         _encoded("(SELECT * FROM sides WHERE side = 'chosen')", "row_id", "w", 512),
         _encoded("(SELECT * FROM sides WHERE side = 'rejected')", "row_id", "w", 512),
     )
-    known = "(SELECT list(tok) AS all_tok FROM ids_of) k"
     return {
         "scan_preferences": _with(
             f"SELECT row_id, question, chosen, rejected FROM (SELECT *, {_split(0.05)} AS split FROM prefs) WHERE split = 'train'", "prefs"
@@ -427,7 +425,10 @@ def oracle_sql() -> dict[str, str]:
         "build_prompt_set": _with(
             f"""SELECT row_id, ids AS input_ids, query, was_truncated, split
             FROM ({_encoded('ex_words', 'row_id', 'p', 256)})
-            JOIN (SELECT row_id, {_str(_KNOWN.format('list_slice(p, 1, 256)'))} AS query FROM ex_words, {known}) USING (row_id)
+            JOIN (SELECT row_id, string_agg(CASE WHEN id IS NULL THEN '<unk>' ELSE tok END, ' ' ORDER BY pos) AS query
+                  FROM (SELECT row_id, unnest(w) AS tok, unnest(range(len(w))) AS pos
+                        FROM (SELECT row_id, list_slice(p, 1, 256) AS w FROM ex_words))
+                  LEFT JOIN ids_of USING (tok) GROUP BY row_id) USING (row_id)
             JOIN (SELECT row_id, {_split(0.1)} AS split FROM ex) USING (row_id)""",
             "ex", "ex_words", "ids_of",
         ),
@@ -436,5 +437,11 @@ def oracle_sql() -> dict[str, str]:
             answer AS response, round({_SPACING.format('(' + _talk('question', 'answer') + ')')}, 4) AS score FROM ex""",
             "ex",
         ),
+        "stream_generated": f"""
+            SELECT row_id, prompt, response, round({_SPACING.format('(' + _talk('question', 'response') + ')')}, 4) AS score
+            FROM (SELECT *, {_str("list_slice(list_reverse(string_split(prompt, ' ')), 1, 512)")} AS response
+                  FROM (SELECT conv_id * 4294967296 + turn AS row_id, text AS question,
+                               {_opened('text')} || '<think>' || repeat(chr(10), 2) || '</think>' || repeat(chr(10), 2) AS prompt
+                        FROM conversations WHERE role = 'user'))""",
         "stream_step_rewards": _with(f"SELECT {_STEP} FROM steps WHERE run_id = 'run'", "steps"),
     }

@@ -581,20 +581,31 @@ def build_prompt_set(spark, folder):
 # Streams
 
 
-@query
-def stream_prompts(spark, folder):
-    """User turns read as a file stream, answered from the stored answers and scored by a batch model."""
+def _answered_turns(spark: SparkSession, folder: str, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """User turns read as a file stream, answered, scored by a batch model and stored."""
     turns = qs.question_stream(spark, folder, schemas.CONVERSATIONS, pattern="conversations*.parquet")
     asked = turns.where("role = 'user'").select(
         derived.exchange_id(F.col("conv_id"), F.col("turn")).alias("row_id"), F.col("text").alias("question")
     )
-    stored = inputs.exchanges(spark, folder).select("row_id", F.col("answer").alias("response"))
-    answered = qs.answered_stream(qs.open_prompts(asked, SYSTEM), stored, batch_score_udf(_spacing)("text"), SYSTEM)
+    answered = qs.answered_stream(qs.open_prompts(asked, SYSTEM), answer, batch_score_udf(_spacing)("text"), SYSTEM)
     path = fresh_path(spark, "answered")
     qs.append_to(answered, path, f"{path}-progress").awaitTermination()
     return spark.read.parquet(path).select("row_id", "prompt", "response", places("score", 4))
 
 
+@query
+def stream_prompts(spark, folder):
+    """Answers from the stored exchanges."""
+    stored = inputs.exchanges(spark, folder).select("row_id", F.col("answer").alias("response"))
+    return _answered_turns(spark, folder, qs.stored_answers(stored))
+
+
+@query
+def stream_generated(spark, folder):
+    """Answers from the generator hook, for every user turn."""
+    return _answered_turns(spark, folder, qs.generated_answers(_repeater))
+
+
 @query
 def stream_step_rewards(spark, folder):
     """Stored rollouts replayed as a stream; the last state of every step."""

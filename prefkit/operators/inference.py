@@ -41,8 +41,8 @@ def model_scorer(make_model: Callable[[], TextModel], batch_size: int = 64) -> S
 def generate(
     df: DataFrame, make_generator: Callable[[], Generator], keys: list[str], prompt: str = "prompt", limit: str = "gen_len"
 ) -> DataFrame:
-    """(keys…, response) from a generator, one Arrow batch at a time."""
-    rows = df.select(*keys, prompt, limit)
+    """(keys…, response) from a generator, one Arrow batch at a time. Works on streams as well."""
+    rows = df.select(*dict.fromkeys([*keys, prompt, limit]))
     schema = T.StructType([*(rows.schema[k] for k in keys), T.StructField("response", T.StringType())])
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from prefkit.functions.chat import CHATML, ChatTemplate, answered_messages, prompt_messages, render
 from prefkit.functions.text import is_stop_word
+from prefkit.operators.inference import Generator, generate
 
 
 def question_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000, pattern: str | None = None) -> DataFrame:
@@ -22,16 +25,37 @@ def open_prompts(questions: DataFrame, system: str, thinking: bool = False, temp
     return questions.where(~is_stop_word(F.col("question"))).withColumn("prompt", prompt)
 
 
+def stored_answers(responses: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``response`` from a table (row_id, response), read anew for every micro-batch.
+
+    Large tables want large micro-batches; see ``files_per_trigger``.
+    """
+    return lambda prompts: prompts.join(responses, "row_id")
+
+
+def generated_answers(make_generator: Callable[[], Generator], max_new: int = 512) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``response`` from a caller's generator."""
+
+    def answer(prompts: DataFrame) -> DataFrame:
+        limited = prompts.withColumn("gen_len", F.lit(max_new))
+        return generate(limited, make_generator, ["row_id", "question", "prompt"])
+
+    return answer
+
+
 def answered_stream(
-    prompts: DataFrame, responses: DataFrame, score: "Column | None", system: str, template: ChatTemplate = CHATML
+    prompts: DataFrame,
+    answer: Callable[[DataFrame], DataFrame],
+    score: Column,
+    system: str,
+    template: ChatTemplate = CHATML,
 ) -> DataFrame:
-    """Joins stored answers (row_id, response) and scores the conversation.
+    """Answers every prompt and scores the conversation. No state is kept.
 
-    ``score`` is a column over ``text``, for example a batch model. No state is kept.
+    ``score`` is a column over ``text``, for example a batch model.
     """
     text = render(answered_messages(system, F.col("question"), F.col("response")), template)
-    joined = prompts.join(responses, "row_id").withColumn("text", text)
-    return joined.select("row_id", "prompt", "response", score.alias("score"))
+    return answer(prompts).withColumn("text", text).select("row_id", "prompt", "response", score.alias("score"))
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

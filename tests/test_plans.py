@@ -9,7 +9,7 @@ from prefkit.operators.vocabulary import build_vocabulary, encode
 
 PYTHON = {"batch_udf_scores", "compare_sample_50", "generate_responses"}
 # Their answers are written by the query itself; what is left is a scan.
-STORED = {"generated_rollouts", "stream_prompts", "stream_step_rewards", "bradley_terry", "step_metrics_log", "export_pairs", "csv_round_trip"}
+STORED = {"generated_rollouts", "stream_prompts", "stream_generated", "stream_step_rewards", "bradley_terry", "step_metrics_log", "export_pairs", "csv_round_trip"}
 BATCH = sorted(set(entry.queries()) - STORED)
 
 

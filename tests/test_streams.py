@@ -21,14 +21,14 @@ def test_stream_equals_batch(spark):
     score = batch_score_udf(lengths)("text")
 
     stream = qs.question_stream(spark, source, schemas.QUESTIONS, files_per_trigger=2)
-    query = qs.append_to(qs.answered_stream(qs.open_prompts(stream, "s"), answers, score, "s"), out, f"{out}-progress")
+    query = qs.append_to(qs.answered_stream(qs.open_prompts(stream, "s"), qs.stored_answers(answers), score, "s"), out, f"{out}-progress")
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    batch = qs.answered_stream(qs.open_prompts(rows, "s"), answers, score, "s")
+    batch = qs.answered_stream(qs.open_prompts(rows, "s"), qs.stored_answers(answers), score, "s")
     got = sorted(spark.read.parquet(out).collect())
     assert got == sorted(batch.collect()) and len(got) == 16
 
-    again = qs.append_to(qs.answered_stream(qs.open_prompts(stream, "s"), answers, score, "s"), out, f"{out}-progress")
+    again = qs.append_to(qs.answered_stream(qs.open_prompts(stream, "s"), qs.stored_answers(answers), score, "s"), out, f"{out}-progress")
     again.awaitTermination()
     assert spark.read.parquet(out).count() == 16
 
