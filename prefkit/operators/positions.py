@@ -133,11 +133,12 @@ def rows_at(df: DataFrame, key: str, seed: int | str, positions: DataFrame) -> D
         (F.col("_before") + F.col("_cnt") - 1).alias("_at"), F.struct("_bucket", "_before").alias("_b")
     )
     asked = wanted.select(F.col("pos").alias("_at"), F.lit(None).cast("struct<_bucket:string,_before:bigint>").alias("_b"))
-    # The bucket of a place is the first one that ends at or after it.
-    ahead = W.orderBy("_at", F.col("_b").isNotNull()).rowsBetween(W.currentRow, W.unboundedFollowing)
+    # The bucket of a place is the first one that ends at or after it. Read from
+    # the far end, because Spark evaluates frames that only grow in linear time.
+    seen = W.orderBy(F.desc("_at"), F.col("_b").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = (
         asked.unionByName(ends)
-        .select("_at", F.col("_b").isNull().alias("_ask"), F.first("_b", ignorenulls=True).over(ahead).alias("_b"))
+        .select("_at", F.col("_b").isNull().alias("_ask"), F.last("_b", ignorenulls=True).over(seen).alias("_b"))
         .where("_ask and _b is not null")
         .select(F.col("_at").alias("pos"), "_b._bucket", "_b._before")
     )
