@@ -104,7 +104,7 @@ def step_metrics_log(spark, folder):
 def export_pairs(spark, folder):
     """Pairs written by split and batch, read back."""
     rows = build_pairs(inputs.preferences(spark, folder), SYSTEM, inputs.vocabulary(spark, folder), max_len=None)
-    placed = batching.micro_batches(rows, seed=SEED)
+    placed = batching.micro_batches(rows, seed=SEED, keys=inputs.preferences(spark, folder))
     path = fresh_path(spark, "pairs")
     sinks.export_training_set(placed, path, batch="batch_id")
     return spark.read.schema(placed.schema).parquet(path).select(
@@ -292,7 +292,8 @@ def strip_prompt(spark, folder):
 
 
 def _batched_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return batching.micro_batches(_exchange_ids(spark, folder).select("row_id", "prompt"), rows=8, accumulate=1, seed=SEED)
+    prompts = _exchange_ids(spark, folder).select("row_id", "prompt")
+    return batching.micro_batches(prompts, rows=8, accumulate=1, seed=SEED, keys=inputs.exchanges(spark, folder))
 
 
 @query
@@ -348,7 +349,7 @@ def pairwise_labels(spark, folder):
     """Sample number, both scores as printed and the verdict, for the whole test side."""
     held_out = eval_rows(inputs.preferences(spark, folder), 0.05, SEED)
     scored = judged(score_pairs(held_out, _scorer(spark, folder), SYSTEM))
-    return hash_rank(scored, "row_id", SEED, name="sample_no").select(
+    return hash_rank(scored, "row_id", SEED, name="sample_no", keys=held_out).select(
         "row_id",
         "sample_no",
         sc.four_places(F.col("chosen_score")).alias("chosen_score"),
@@ -583,7 +584,8 @@ def build_prompt_set(spark, folder):
 
 def _answered_turns(spark: SparkSession, folder: str, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """User turns read as a file stream, answered, scored by a batch model and stored."""
-    turns = qs.question_stream(spark, folder, schemas.CONVERSATIONS, pattern="conversations*.parquet")
+    # A pattern that fits one name only: a stream takes a single file no other way.
+    turns = qs.question_stream(spark, f"{folder}/conversations.parque[t]", schemas.CONVERSATIONS)
     asked = turns.where("role = 'user'").select(
         derived.exchange_id(F.col("conv_id"), F.col("turn")).alias("row_id"), F.col("text").alias("question")
     )

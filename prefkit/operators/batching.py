@@ -12,15 +12,23 @@ def batch_number(pos: Column, size: int) -> Column:
     return F.floor(pos / size).cast("bigint")
 
 
-def micro_batches(df: DataFrame, rows: int = 4, accumulate: int = 8, seed: int | None = None, key: str = "row_id") -> DataFrame:
+def micro_batches(
+    df: DataFrame,
+    rows: int = 4,
+    accumulate: int = 8,
+    seed: int | None = None,
+    key: str = "row_id",
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``pos``, ``micro_batch`` and the optimiser step ``batch_id`` they add up to.
 
-    Positions follow the key, or the seeded hash order where a seed is given.
+    Positions follow the key, or the seeded hash order where a seed is given;
+    ``keys`` may then name a cheaper frame with the same keys.
     """
     if seed is None:
         placed = number_rows(df, F.col(key).asc(), name="pos")
     else:
-        placed = hash_rank(df, key, seed, name="pos").withColumn("pos", F.col("pos") - 1).drop("pos_of")
+        placed = hash_rank(df, key, seed, name="pos", keys=keys).withColumn("pos", F.col("pos") - 1).drop("pos_of")
     return placed.withColumn("micro_batch", batch_number(F.col("pos"), rows)).withColumn(
         "batch_id", batch_number(F.col("pos"), rows * accumulate)
     )

@@ -103,14 +103,22 @@ def key_edge(df: DataFrame, key: str, rank: Callable[[Column], Column]) -> DataF
     return found.select(F.col("_d").alias("edge"))
 
 
-def hash_rank(df: DataFrame, key: str, seed: int | str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
+def hash_rank(
+    df: DataFrame,
+    key: str,
+    seed: int | str,
+    by: Sequence[str] = (),
+    name: str = "rank",
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Rank from 1 in hash order, within ``by`` where given; also ``<name>_of``, the group's size.
 
     A group is spread over its buckets, so one holding most of the table is no
-    slower than many small ones.
+    slower than many small ones. ``keys`` may name a cheaper frame with the
+    same keys to count them in.
     """
     hashed = _hashed(df, key, seed)
-    table = _bucket_table(_hashed(df.select(*by, key), key, seed), by)
+    table = _bucket_table(_hashed((df if keys is None else keys).select(*by, key), key, seed), by)
     order = W.partitionBy(*by, "_bucket").orderBy("_h", key)
     return (
         hashed.join(table, [*by, "_bucket"])

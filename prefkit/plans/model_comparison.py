@@ -9,6 +9,7 @@ from prefkit.functions.scores import four_places
 from prefkit.operators.inference import Scorer
 from prefkit.operators.positions import number_rows
 from prefkit.operators.sampling import sample_rows
+from prefkit.session import shared_folder
 
 KEYS = ["source", "row_id"]
 # The result columns of a comparison, in file order.
@@ -54,7 +55,9 @@ def in_input_order(rows: DataFrame) -> DataFrame:
 
 def common_report(rows: DataFrame) -> DataFrame:
     """question_no and the printed text of each common question."""
-    common = number_rows(rows.where(F.col("source") == "common"), F.asc("row_id"), name="_pos")
+    shared_folder(rows.sparkSession)
+    # Range sorting samples its input first; a checkpoint keeps that from scoring twice.
+    common = number_rows(rows.where(F.col("source") == "common").checkpoint(), F.asc("row_id"), name="_pos")
     text = F.concat_ws(
         "\n",
         F.concat(F.lit("SFT: "), "sft_response"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefkit.plans.model_comparison import RESULT_COLUMNS, in_input_order
+from prefkit.session import shared_folder
 from prefkit.sources.tables import CSV_OPTIONS
 
 
@@ -16,7 +17,9 @@ def write_comparison_csv(rows: DataFrame, path: str) -> None:
     """
     options = {**CSV_OPTIONS, "emptyValue": ""}
     options.pop("multiLine")
-    in_input_order(rows).select(*RESULT_COLUMNS).write.options(**options).csv(path)
+    # Sorting samples its input first; a checkpoint keeps that from scoring twice.
+    shared_folder(rows.sparkSession)
+    in_input_order(rows.checkpoint()).select(*RESULT_COLUMNS).write.options(**options).csv(path)
 
 
 def read_comparison_csv(spark: SparkSession, path: str) -> DataFrame:

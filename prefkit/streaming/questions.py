@@ -12,11 +12,9 @@ from prefkit.functions.text import is_stop_word
 from prefkit.operators.inference import Generator, generate
 
 
-def question_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000, pattern: str | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(path)
+def question_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
+    """Rows of the parquet files below ``path``, new ones as they appear."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def open_prompts(questions: DataFrame, system: str, thinking: bool = False, template: ChatTemplate = CHATML) -> DataFrame:
