@@ -2,4 +2,48 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from prefkit.llm import fair_mix, merkle
+
+_TREE = """sha256('r' || array_to_string(list_transform(string_split({0}, chr(10) || chr(10)), lambda s:
+  sha256('s' || array_to_string(list_transform(string_split(s, chr(10)), lambda p:
+    sha256('p' || array_to_string(list_transform(regexp_extract_all(p, '[^\\n]{{1,{1}}}'), lambda x: sha256(x)), ''))), ''))), ''))"""
+_LEAVES = "list_distinct(flatten(list_transform(string_split({0}, chr(10)), lambda p: regexp_extract_all(p, '[^\\n]{{1,{1}}}'))))"
+_LIKENESS = """CASE WHEN {2} THEN 1.0::DOUBLE WHEN len({0}) + len({1}) = 0 THEN 0.0::DOUBLE
+  ELSE 2.0::DOUBLE * len(list_intersect({0}, {1})) / (len({0}) + len({1})) END"""
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS following FROM d),
+e AS (SELECT *, substring(text, 1, n - n // 4) || substring(following, 1, n // 4) AS edited FROM o),
+p AS (SELECT *, {_TREE.format('text', merkle.PIECE)} AS fingerprint, {_TREE.format('edited', merkle.PIECE)} AS edited_fingerprint,
+  {_LEAVES.format('text', merkle.PIECE)} AS a, {_LEAVES.format('edited', merkle.PIECE)} AS b, {_LEAVES.format('following', merkle.PIECE)} AS c FROM e)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+  {_LIKENESS.format('a', 'b', 'text = edited')} AS near_edited, {_LIKENESS.format('a', 'c', 'text = following')} AS near_next
+FROM p
+"""
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP8 = f"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
+  ('0x' || substring(md5(concat_ws('|', '{fair_mix.SEED}', doc_id, text)), 1, 15))::BIGINT AS place FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS source_size,
+  CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM d GROUP BY source),
+c AS (SELECT *, (3 * source_size)::DOUBLE AS cap, (3 * source_size)::DOUBLE / weight AS level, sum(source_size) OVER ()::BIGINT AS total FROM t),
+s AS (SELECT *, row_number() OVER o AS rank, (total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM c WINDOW o AS (ORDER BY level, source NULLS LAST)),
+g AS (SELECT *, coalesce(least(cap, (SELECT arg_min(share, rank) FROM s WHERE share < level) * weight), cap) AS target FROM s),
+q AS (SELECT d.*, g.source_size, g.target, g.total,
+  coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+k AS (SELECT *, before + source_size * copy AS start, least(size, floor(target)::BIGINT - (before + source_size * copy)) AS w
+  FROM q, (SELECT unnest([0, 1, 2]) AS copy)),
+r AS (SELECT *, coalesce(sum(w) OVER (ORDER BY (start + w) / target, place, doc_id, copy, before ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM k WHERE w > 0),
+x AS (SELECT source, place, doc_id, before, sum(greatest(0, least(w, total - begins)))::BIGINT AS taken FROM r GROUP BY ALL)
+SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(x.taken, 0)::BIGINT AS taken
+FROM q LEFT JOIN x ON q.doc_id = x.doc_id AND q.place = x.place AND q.before = x.before AND q.source IS NOT DISTINCT FROM x.source AND q.size > 0
+"""
+
+SQL: dict[str, str] = {"op6_document_fingerprints": OP6, "op8_source_mix": OP8}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, isolation_rules
+from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle
 from prefkit.llm.common import table
 
 
@@ -14,10 +14,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return isolation_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.edited_fingerprints(table(spark, folder, "documents"))
+
+
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return fair_mix.taken_words(table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return compression_quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op9_quality_classifier)
+    f.__name__: f for f in (op1_quality_rules, op6_document_fingerprints, op8_source_mix, op9_quality_classifier)
 }
