@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle
+from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle, packing, token_files
 from prefkit.llm.common import table
 
 
@@ -14,6 +15,14 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return isolation_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -27,5 +36,5 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op6_document_fingerprints, op8_source_mix, op9_quality_classifier)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op6_document_fingerprints, op8_source_mix, op9_quality_classifier)
 }
