@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle, packing, token_files
+from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle, packing, prefix_parsing, token_files
 from prefkit.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op7_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_parsing.removed_digests(table(spark, folder, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return fair_mix.taken_words(table(spark, folder, "documents"))
 
@@ -36,5 +40,5 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op6_document_fingerprints, op8_source_mix, op9_quality_classifier)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier)
 }
