@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, fair_mix, isolation_rules, merkle, packing, prefix_parsing, token_files
+from prefkit.llm import compression_quality, fair_mix, isolation_rules, lsh_forest, merkle, packing, prefix_parsing, token_files
 from prefkit.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return compression_quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.jaccard_join(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier, op10_jaccard_join)
 }
