@@ -43,3 +43,8 @@ def learnable(labels: DataFrame) -> DataFrame:
     rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     return rows.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def raw_files(blobs: DataFrame, path: str) -> None:
+    """One file per row of the binary column ``blob``, through Spark's text writer; a line end follows the bytes."""
+    blobs.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prefkit.llm import fair_mix, merkle
+from prefkit.llm import fair_mix, merkle, url_filter
 
 _TREE = """sha256('r' || array_to_string(list_transform(string_split({0}, chr(10) || chr(10)), lambda s:
   sha256('s' || array_to_string(list_transform(string_split(s, chr(10)), lambda p:
@@ -46,4 +46,21 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(x.taken, 0)::BIGINT A
 FROM q LEFT JOIN x ON q.doc_id = x.doc_id AND q.place = x.place AND q.before = x.before AND q.source IS NOT DISTINCT FROM x.source AND q.size > 0
 """
 
-SQL: dict[str, str] = {"op6_document_fingerprints": OP6, "op8_source_mix": OP8}
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in url_filter.RULES)
+_WORDS = ", ".join(f"'{word}'" for word in url_filter.BLOCKED_WORDS)
+
+OP5 = f"""
+WITH r(rule_host, rule_path, says) AS (VALUES {_RULES}),
+u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+b AS (SELECT DISTINCT host FROM p WHERE list_has_any(string_split_regex(host, '[.-]'), [{_WORDS}])),
+f AS (SELECT p.page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(says, length(rule_host || rule_path)) AS says
+  FROM p JOIN r ON (p.host = rule_host OR p.host LIKE '%.' || rule_host) AND starts_with(p.path, rule_path) GROUP BY p.page_id)
+SELECT p.page_id, p.host, p.path, f.rule,
+  coalesce(f.says, CASE WHEN EXISTS (SELECT 1 FROM b WHERE p.host = b.host OR p.host LIKE '%.' || b.host) THEN 'block' ELSE 'allow' END) AS verdict,
+  EXISTS (SELECT 1 FROM b WHERE p.host = b.host OR p.host LIKE '%.' || b.host) AS listed
+FROM p LEFT JOIN f ON p.page_id = f.page_id
+"""
+
+SQL: dict[str, str] = {"op5_url_filter": OP5, "op6_document_fingerprints": OP6, "op8_source_mix": OP8}

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 import zstandard
 
-from prefkit.llm.common import texts_of
+from prefkit.llm.common import raw_files, texts_of
 from prefkit.llm.word_cache import word_cache
 from prefkit.session import fresh_path
 
@@ -137,17 +137,12 @@ class Shard:
         return raw if self.width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
 
-def _raw_files(blobs: DataFrame, path: str) -> None:
-    """One file per row of a binary column; a line end follows the bytes."""
-    blobs.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-
-
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
     """Writes ``path/dictionary`` and ``path/shards``."""
     dictionary = fit_dictionary(docs, tokenizer, end_id)
     end = int(end_id).to_bytes(4, "little")
     spark = docs.sparkSession
-    _raw_files(spark.createDataFrame([(bytearray(dictionary),)], "blob binary").coalesce(1), f"{path}/dictionary")
+    raw_files(spark.createDataFrame([(bytearray(dictionary),)], "blob binary").coalesce(1), f"{path}/dictionary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, part, number = word_cache(tokenizer), TaskContext.get().partitionId(), 0
@@ -165,7 +160,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     order = ["doc_id", "_th", "_row"]
     rows = texts_of(docs).select("*", F.xxhash64("text").alias("_th"), F.monotonically_increasing_id().alias("_row"))
     laid = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    _raw_files(laid.select("doc_id", "text").mapInPandas(run, "blob binary"), f"{path}/shards")
+    raw_files(laid.select("doc_id", "text").mapInPandas(run, "blob binary"), f"{path}/shards")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
