@@ -1,26 +1,78 @@
-"""The text pipeline: each stage is written and read again as the next one's documents."""
+"""The text pipeline: each stage is written and read again as the next one's documents.
+
+Null, empty and repeated texts pass through every stage as its operator defines
+it; columns the operators do not know stay with their documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from prefkit.llm import compression_quality
-from prefkit.llm.common import stored, table
+from prefkit.llm import compression_quality, fair_mix, line_dedup, lsh_forest, packing
+from prefkit.llm.common import WORD, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """The documents with another text, and n_chars to match."""
+    changed = docs.withColumn("text", text)
+    return changed.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else changed
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the compression classifier accepts."""
     scores = compression_quality.score_quality(docs, table(spark, sf_dir, "labels"))
-    accepted = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(accepted, F.col("doc_id").eqNullSafe(accepted["doc_id"]), "left_semi")
+    # Documents of one doc_id stay or go together: all of them must be accepted.
+    accepted = scores.groupBy(F.col("doc_id").alias("_id")).agg(F.min("predicted").alias("_kept")).where("_kept = 1")
+    return docs.join(accepted, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated lines; one that has lost all its words goes. A null text becomes an empty one."""
+    kept = line_dedup.dedup_lines(docs, F.struct(*[c for c in docs.columns if c != "text"]))
+    kept = kept.where(F.expr(f"n_removed = 0 or regexp_count(kept, r'{WORD}') > 0")).select("row.*", F.col("kept").alias("text"))
+    return _with_text(kept, F.col("text")).select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id."""
+    names = {"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(line_dedup.LOWEST)), "_th": F.xxhash64(F.coalesce("text", F.lit("")))}
+    keepers = lsh_forest.jaccard_join(docs).where("keeper")
+    keepers = keepers.select(F.coalesce("doc_id", F.lit(line_dedup.LOWEST)).alias("_id"), F.col("th").alias("_th")).distinct()
+    once = F.row_number().over(W.partitionBy("_id", "_th").orderBy(F.lit(1)))
+    rows = docs.withColumns(names).join(keepers, ["_id", "_th"], "left_semi")
+    return rows.withColumn("_nth", once).where("_nth = 1").select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies of the mix; the last copy of a source ends where its target is reached."""
+    copies = fair_mix.mixed_copies(docs).where("words > 0").select("_key", "_place", F.col("words").alias("_words"), F.col("size").alias("_size"))
+    once = F.row_number().over(W.partitionBy("_key", "_place").orderBy(F.lit(1)))
+    # Each of several equal rows has copies of its own in the mix.
+    keyed = docs.select("*", *fair_mix.queue_keys()).withColumn("_nth", once).where("_nth = 1")
+    rows = keyed.join(copies, ["_key", "_place"])
+    parts = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.array_join(F.slice(parts, 1, F.col("_words").cast("int")), "")
+    return _with_text(rows, F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packing.packed_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_classifier", quality_classifier)]
-# Quality scores come from zstandard, which SQL does not have.
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup_stage),
+    ("jaccard_join", jaccard_join),
+    ("source_mix", source_mix),
+    ("packing", packed),
+]
+# SQL has neither zstandard nor the tokenizer.
 ORACLE_SQL: str | None = None
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from prefkit.llm.common import WORD, stored
 
@@ -34,20 +34,19 @@ RANGES = 1 << 16
 _BEFORE = (W.unboundedPreceding, -1)
 
 
-def queue_rows(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, _key (never null), size in words and the hash that replaces a shuffle."""
-    text = F.col("text").cast("string")
-    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), text))
+def queue_keys(seed: str = SEED) -> tuple[Column, Column]:
+    """(_key, _place): the source, never null, and the hash that replaces a shuffle."""
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string")))
     place = F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
-    source = F.col("source").cast("string")
+    return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("_key"), place.alias("_place")
+
+
+def queue_rows(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """doc_id, source, _key, _place and size in words."""
+    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0))
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        source.alias("source"),
-        F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("_key"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        place.alias("_place"),
-        F.shiftright(place, HASH_BITS - BUCKET_BITS).alias("_bucket"),
-    )
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), *queue_keys(seed), size.cast("bigint").alias("size")
+    ).withColumn("_bucket", F.shiftright("_place", HASH_BITS - BUCKET_BITS))
 
 
 def source_targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:

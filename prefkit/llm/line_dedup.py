@@ -3,7 +3,7 @@
 A line is normalised: lower case, and every run of characters that are neither
 letters nor digits becomes one space. Lines of fewer than ``MIN_WORDS`` words
 are left alone. Equal lines are reduced to their first occurrence by (doc_id,
-line). The distinct lines get a SimHash of their words, ``BITS`` bits in
+line). The distinct lines get a SimHash of their distinct words, ``BITS`` bits in
 ``BLOCKS`` blocks; two hashes that differ in fewer bits than there are blocks
 agree in some block, and lines meet by the value of each block. Hashes at most
 ``NEAR_BITS`` apart make candidates, candidates that hang together a candidate
@@ -30,7 +30,8 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 import regex
 import xxhash
 import zstandard
@@ -64,6 +65,8 @@ class WordBits(dict):
 
 
 def simhash(words: Sequence[str], bits: WordBits) -> bytes:
+    """Each distinct word votes once; else frequent words would make all long lines alike."""
+    words = list(set(words))
     votes = np.zeros(BITS, np.int64)
     for low in range(0, len(words), 4096):
         votes += np.array([bits[w] for w in words[low : low + 4096]]).sum(axis=0, dtype=np.int64)
@@ -276,16 +279,16 @@ def _pick_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["root", "line", "hash", "text"])
 
 
-def _without(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, text, gone, fuzzy in zip(batch["doc"], batch["text"], batch["gone"], batch["fuzzy"], strict=True):
-            lines = text.split("\n")
-            if gone is not None and len(gone):
-                drop = set(gone.tolist())
-                text = "\n".join([line for at, line in enumerate(lines) if at not in drop])
-            rows.append((doc, text, len(lines), 0 if gone is None else len(gone), 0 if pd.isna(fuzzy) else int(fuzzy)))
-        yield pd.DataFrame(rows, columns=["doc", "kept", "n_lines", "n_removed", "n_fuzzy"])
+@F.pandas_udf(StringType())
+def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts without the lines of the given numbers."""
+    out = []
+    for text, numbers in zip(texts, gone, strict=True):
+        if numbers is not None and len(numbers):
+            drop = set(numbers.tolist())
+            text = "\n".join([line for at, line in enumerate(text.split("\n")) if at not in drop])
+        out.append(text)
+    return pd.Series(out)
 
 
 def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -314,14 +317,17 @@ def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
     return connected_groups(links.groupBy("_cell", "i", "j").applyInPandas(_cell_links, "a binary, b binary"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST))
-    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"), *more)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, kept text, n_lines, n_removed, n_fuzzy (removed for a line that is not equal) of every document."""
+def dedup_lines(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, kept text, n_lines, n_removed, n_fuzzy (removed for a line that is not equal) of every document.
+
+    ``row``, where given, is carried along under that name.
+    """
     keyed = _keyed(docs)
     lines = stored(line_rows(keyed), "lines")
     distinct = lines.groupBy("line").agg(F.min(F.struct("doc", "th", "at")).alias("_first"), F.first("hash").alias("hash"), F.first("chars").alias("chars"))
@@ -336,10 +342,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     fuzzy = F.coalesce("other", F.lit(False))
     gone = lines.select("line", "doc", "th", "at").join(places, "line").where(fuzzy | (here != F.col("_first")))
     per_doc = gone.select("doc", "th", "at", fuzzy.alias("fuzzy")).distinct().groupBy("doc", "th")
-    per_doc = per_doc.agg(F.collect_list("at").alias("gone"), F.sum(F.col("fuzzy").cast("int")).alias("fuzzy"))
-    rows = keyed.join(per_doc, ["doc", "th"], "left").select("doc", "text", "gone", "fuzzy")
-    out = rows.mapInPandas(_without, "doc long, kept string, n_lines long, n_removed long, n_fuzzy long")
-    return out.select(F.nullif("doc", F.lit(LOWEST)).alias("doc_id"), "kept", "n_lines", "n_removed", "n_fuzzy")
+    per_doc = per_doc.agg(F.collect_list("at").alias("gone"), F.sum(F.col("fuzzy").cast("bigint")).alias("fuzzy"))
+    carried = [] if row is None else [row.alias("row")]
+    rows = _keyed(docs, *carried).join(per_doc, ["doc", "th"], "left")
+    return rows.select(
+        F.nullif("doc", F.lit(LOWEST)).alias("doc_id"),
+        _without("text", "gone").alias("kept"),
+        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+        F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce("fuzzy", F.lit(0)).alias("n_fuzzy"),
+        *["row" for _ in carried],
+    )
 
 
 def dedup_digests(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 import xxhash
 
 from prefkit.llm.common import stored, texts_of
@@ -223,17 +223,22 @@ def group_links(grouped: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.groupBy("root", "i", "j").applyInPandas(_cell, "a binary, b binary, links long")
 
 
+def _representative() -> Column:
+    """The document with the smallest doc_id; one without a doc_id only where there is no other."""
+    one = F.struct("doc_id", "th")
+    return F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), one)), F.min(one)).alias("_rep")
+
+
 def jaccard_join(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_copies, group_id, n_links of every document.
+    """doc_id, th (xxhash64 of the text), class_id, n_copies, group_id, n_links, keeper of every document.
 
     class_id is the smallest doc_id with the same set, n_copies the number of
     its documents, n_links the number of other classes at the threshold or
-    above, group_id the smallest doc_id connected through links.
+    above, group_id the smallest doc_id connected through links, keeper true for
+    the document (and its repeated rows) that stands for the group.
     """
     signed = stored(signatures(docs), "signatures")
-    rep = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
-    one = F.coalesce(rep, F.min(F.struct("doc_id", "th"))).alias("_rep")
-    classes = signed.groupBy("cls").agg(one, F.first("n").alias("n"), F.first("labels").alias("labels"), F.count(F.lit(1)).alias("n_copies"))
+    classes = signed.groupBy("cls").agg(_representative(), F.first("n").alias("n"), F.first("labels").alias("labels"), F.count(F.lit(1)).alias("n_copies"))
     classes = stored(
         classes.select("cls", "n", "labels", "n_copies", F.col("_rep.doc_id").alias("rep_id"), F.col("_rep.th").alias("rep_th")), "classes"
     )
@@ -260,8 +265,19 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
     totals = links.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("n_links"))
     roots = connected_groups(links.select("a", "b")).select(F.col("member").alias("cls"), "root")
-    known = classes.select("cls", "rep_id", "n_copies").join(totals, "cls", "left").join(roots, "cls", "left")
+    known = classes.select("cls", "rep_id", "rep_th", "n_copies").join(totals, "cls", "left").join(roots, "cls", "left")
     known = known.withColumn("root", F.coalesce("root", "cls"))
-    smallest = known.groupBy("root").agg(F.min("rep_id").alias("group_id"))
-    labelled = known.join(smallest, "root").select("cls", F.col("rep_id").alias("class_id"), "n_copies", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed.select("doc_id", "cls").join(labelled, "cls").select("doc_id", "class_id", "n_copies", "group_id", "n_links")
+    known = known.withColumnsRenamed({"rep_id": "doc_id", "rep_th": "th"})
+    smallest = known.groupBy("root").agg(_representative())
+    n_links = F.coalesce("n_links", F.lit(0)).alias("n_links")
+    labelled = known.join(smallest, "root").select("cls", F.col("doc_id").alias("class_id"), "n_copies", n_links, "_rep")
+    here = F.struct("doc_id", "th")
+    return (
+        signed.select("doc_id", "th", "cls")
+        .join(labelled, "cls")
+        .select("doc_id", "th", "class_id", "n_copies", F.col("_rep.doc_id").alias("group_id"), "n_links", here.eqNullSafe(F.col("_rep")).alias("keeper"))
+    )
+
+
+def join_digests(docs: DataFrame) -> DataFrame:
+    return jaccard_join(docs).drop("th", "keeper")

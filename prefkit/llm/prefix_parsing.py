@@ -42,8 +42,8 @@ from prefkit.llm.common import stored
 
 SPAN, GRAM = 100, 40
 # Bytes parsed at once; bytes of text per bucket of triggers; dictionary phrases per bucket.
-BATCH_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20
+BATCH_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
 BUCKET_PHRASES = 20_000
 LOWEST = -(2**63)
 
@@ -125,8 +125,8 @@ def first_places(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     found = found[np.lexsort((found["lo"], found["doc"], found["phrase"], found["gram"]))]
     same = np.zeros(len(found), bool)
     same[1:] = (found["gram"][1:] == found["gram"][:-1]) & (found["phrase"][1:] == found["phrase"][:-1])
-    first = found[~same][np.cumsum(~same) - 1]
-    later = same & ((found["doc"] != first["doc"]) | (found["lo"] != first["lo"]))
+    first = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+    later = same & ((found["doc"] != found["doc"][first]) | (found["lo"] != found["lo"][first]))
     return found[~same], found[later]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, fair_mix, isolation_rules, lsh_forest, merkle, packing, prefix_parsing, token_files, url_filter
+from prefkit.llm import compression_quality, fair_mix, isolation_rules, line_dedup, lsh_forest, merkle, packing, prefix_parsing, token_files, url_filter
 from prefkit.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_digests(table(spark, folder, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, folder, "pages"))
 
@@ -44,9 +48,9 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return lsh_forest.jaccard_join(table(spark, folder, "documents"))
+    return lsh_forest.join_digests(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op5_url_filter, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier, op10_jaccard_join)
+    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op4_line_dedup, op5_url_filter, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier, op10_jaccard_join)
 }
