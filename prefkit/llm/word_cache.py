@@ -10,56 +10,92 @@ with another layout.
 from __future__ import annotations
 
 import json
+import os
+import re
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-# Tab to carriage return, printable ASCII, Latin letters to U+012F, dashes and quotes.
-PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa1-į‐-‧]*+")
+# Spark has a task for every core already.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+# The plain set: tab to carriage return, printable ASCII, Latin letters to U+012F, dashes and quotes; no other digits.
+LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-į", "0-9"
+PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-į‐-‧]*+")
 # Fixed value: the pattern of byte-level BPE.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_PIECES = 400_000
+MOST_PIECES = 600_000
+# Byte-level BPE writes a printable byte as its own character and the others, in order, from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(_OTHERS)}
 
 _open: dict[str, "WordCache"] = {}
 
 
 class WordCache(dict):
-    """Piece to its ids as little-endian unsigned 32-bit integers."""
+    """Piece to its ids as little-endian unsigned 32-bit integers; full, it starts anew and keeps what is still used."""
 
     def __init__(self, path: str):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
         self._pattern, self._lower = _fast_path(layout)
+        self._older: dict[str, bytes] = {}
         self.vocabulary = self._tokenizer.get_vocab_size()
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._library(piece)
-        if len(self) >= MOST_PIECES:
-            self.clear()
-        self[piece] = ids
-        return ids
+    def _learn(self, pieces: list[str]) -> None:
+        unknown = []
+        for piece in pieces:
+            ids = self._older.get(piece)
+            if ids is None:
+                unknown.append(piece)
+            else:
+                self[piece] = ids
+        for piece in unknown:
+            characters = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+            self[piece] = np.asarray([token.id for token in self._model.tokenize(characters)], "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text, as bytes."""
         if self._pattern is None or not PLAIN.fullmatch(text):
             return self._library(text)
-        return b"".join(map(self.__getitem__, self._pattern.findall(text.lower() if self._lower else text)))
+        pieces = self._pattern.findall(text.lower() if self._lower else text)
+        if len(self) >= MOST_PIECES:
+            self._older = dict(self)
+            self.clear()
+        new = [piece for piece in set(pieces) if piece not in self]
+        if new:
+            self._learn(new)
+        return b"".join(map(self.__getitem__, pieces))
+
+
+def _plain(pattern: str) -> re.Pattern:
+    """A tokenizer's pattern with its letter and digit classes spelled out for plain texts."""
+    for classes, plain in (
+        (r"\s\p{L}\p{N}", rf"\s{LETTERS}{DIGITS}"),
+        (r"[\p{L}]", f"[{LETTERS}]"),
+        (r"[\p{N}]", f"[{DIGITS}]"),
+        (r"\p{L}", f"[{LETTERS}]"),
+        (r"\p{N}", f"[{DIGITS}]"),
+    ):
+        pattern = pattern.replace(classes, plain)
+    return re.compile(pattern)
 
 
-def _fast_path(layout: dict) -> tuple[regex.Pattern | None, bool]:
+def _fast_path(layout: dict) -> tuple[re.Pattern | None, bool]:
     """The pattern that cuts texts into pieces and whether they are lower-cased first; none for an unknown layout."""
     cut, normal = layout["pre_tokenizer"] or {}, layout["normalizer"]
     if layout["model"].get("dropout"):
         return None, False
     if cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"] and normal is None:
-        return regex.compile(BYTE_PATTERN), False
+        return _plain(BYTE_PATTERN), False
     steps = cut.get("pretokenizers", [])
     normals = [n["type"] for n in (normal or {}).get("normalizers", [])]
     if (
@@ -71,7 +107,7 @@ def _fast_path(layout: dict) -> tuple[regex.Pattern | None, bool]:
         and normals == ["NFC", "Replace", "Lowercase"]
         and normal["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
     ):
-        return regex.compile(steps[0]["pattern"]["Regex"]), True
+        return _plain(steps[0]["pattern"]["Regex"]), True
     return None, False
 
 
