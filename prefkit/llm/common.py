@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from prefkit.session import fresh_path
 
 # What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -48,3 +55,15 @@ def learnable(labels: DataFrame) -> DataFrame:
 def raw_files(blobs: DataFrame, path: str) -> None:
     """One file per row of the binary column ``blob``, through Spark's text writer; a line end follows the bytes."""
     blobs.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def map_slices(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = 256) -> DataFrame:
+    """``mapInPandas`` that converts ``rows`` rows at a time, for wide texts whose batches would be large twice over."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (batch.slice(at, rows).to_pandas() for batch in batches for at in range(0, batch.num_rows, rows))
+        for out in run(frames):
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(slices, schema)

@@ -7,7 +7,7 @@ line). The distinct lines get a SimHash of their distinct words, ``BITS`` bits i
 ``BLOCKS`` blocks; two hashes that differ in fewer bits than there are blocks
 agree in some block, and lines meet by the value of each block. Hashes at most
 ``NEAR_BITS`` apart make candidates, candidates that hang together a candidate
-group, and inside a group every candidate pair is verified: the edit similarity
+group, and inside a group every pair of near hashes is verified: the edit similarity
 (1 - distance / longer length, in characters of the normalised lines) must
 reach the threshold. Of the lines that verified links connect, the first
 occurrence stays and all others are removed.

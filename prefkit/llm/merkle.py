@@ -62,14 +62,14 @@ def changed_paragraphs(one: Column, other: Column) -> Column:
     """(section, paragraph) numbers, from 0, at which two trees differ; equal branches are not opened."""
 
     def inside(pair: Column, at: Column) -> Column:
-        a, b = F.coalesce(pair["0"]["paragraphs"], F.array()), F.coalesce(pair["1"]["paragraphs"], F.array())
-        numbers = F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p, i: F.when(~p["0"].eqNullSafe(p["1"]), i))
+        a, b = (F.coalesce(pair[side]["paragraphs"], F.array().cast("array<string>")) for side in "ab")
+        numbers = F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p, i: F.when(~p["a"].eqNullSafe(p["b"]), i))
         return F.transform(
             F.filter(numbers, lambda i: i.isNotNull()), lambda i: F.struct(at.alias("section"), i.alias("paragraph"))
         )
 
-    zipped = F.arrays_zip(one, other)
-    found = F.transform(zipped, lambda p, i: F.when(~p["0"]["digest"].eqNullSafe(p["1"]["digest"]), inside(p, i)))
+    zipped = F.arrays_zip(one.alias("a"), other.alias("b"))
+    found = F.transform(zipped, lambda p, i: F.when(~p["a"]["digest"].eqNullSafe(p["b"]["digest"]), inside(p, i)))
     return F.flatten(F.filter(found, lambda x: x.isNotNull()))
 
 

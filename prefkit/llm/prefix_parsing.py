@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from prefkit.llm.common import stored
+from prefkit.llm.common import map_slices, stored
 
 SPAN, GRAM = 100, 40
 # Bytes parsed at once; bytes of text per bucket of triggers; dictionary phrases per bucket.
@@ -158,7 +158,7 @@ def parse_texts(keyed: DataFrame, buckets: int, span: int = SPAN, gram: int = GR
         if units:
             yield packed(units)
 
-    return keyed.mapInPandas(run, "bucket long, phrases binary")
+    return map_slices(keyed, run, "bucket long, phrases binary")
 
 
 def _meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -281,12 +281,12 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     wanted = asked.groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "lo", "n")).alias("asked"))
     # This join and the last one read the texts in one layout, so they move once.
     phrases = keyed.join(wanted, ["doc", "th"]).select("doc", "th", "data", "asked")
-    cut = phrases.mapInPandas(_cut_phrases(span), "doc long, th long, gram long, lo long, n int, data binary")
+    cut = map_slices(phrases, _cut_phrases(span), "doc long, th long, gram long, lo long, n int, data binary")
     edges = cut.groupBy(F.pmod("gram", F.lit(groups)).alias("_group")).applyInPandas(_compare(span), "doc long, th long, lo long, n int")
     later = met.where("gram is null").select("doc", "th", "lo", "n").unionByName(edges)
     places = later.groupBy("doc", "th").agg(F.collect_list(F.shiftleft("lo", 8) + F.col("n")).alias("places"))
     kept = keyed.join(places, ["doc", "th"], "left").select("doc", "data", "places")
-    kept = kept.mapInPandas(_keep(span), "doc long, n_bytes long, kept binary, begins array<long>, ends array<long>")
+    kept = map_slices(kept, _keep(span), "doc long, n_bytes long, kept binary, begins array<long>, ends array<long>")
     return kept.select(F.nullif("doc", F.lit(LOWEST)).alias("doc_id"), "n_bytes", "kept", "begins", "ends")
 
 

@@ -76,7 +76,8 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, sample
     chosen = texts.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # The broadcast keys are bounded by ``sample_rows``.
     sample = texts.join(F.broadcast(chosen), "doc_id", "left_semi").coalesce(1).sortWithinPartitions("doc_id", "text")
-    return bytes(sample.mapInPandas(run, "dictionary binary").first()["dictionary"])
+    made = sample.mapInPandas(run, "dictionary binary").first()
+    return train([]) if made is None else bytes(made["dictionary"])
 
 
 class ShardWriter:
