@@ -5,10 +5,11 @@ Written for DuckDB over views named like the data files.
 
 from __future__ import annotations
 
+from prefkit.sources.questions import COMMON_QUESTIONS
+
 BLANKS = r"[\t\n\x0B\f\r \p{Z}]+"
 SPECIALS = ("<|endoftext|>", "<unk>", "<|im_start|>", "<|im_end|>", "<think>", "</think>")
 SYSTEM = "You are a helpful assistant."
-COMMON = ("你好", "天气怎么样", "吃饭了吗", "今天星期几", "你是谁", "能帮我个忙吗", "最近怎么样", "你在干什么", "现在几点了", "你会说英文吗")
 
 _MARK = "|".join(s.replace("|", r"\|") for s in SPECIALS)
 _SPECIAL_LIST = "[" + ", ".join(f"'{s}'" for s in SPECIALS) + "]"
@@ -248,6 +249,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_preferences": _with(
             f"SELECT row_id, question, chosen, rejected FROM (SELECT *, {_split(0.05)} AS split FROM prefs) WHERE split = 'train'", "prefs"
         ),
+        "scan_unkeyed_preferences": _with("SELECT question, chosen, rejected FROM prefs", "prefs"),
         "read_responses": _with("SELECT row_id, question, answer AS response FROM ex", "ex"),
         "csv_round_trip": _with(
             f"SELECT * REPLACE (nullif(sft_response, '') AS sft_response, nullif(ppo_response, '') AS ppo_response) FROM (SELECT {_RESULT} FROM compared)",
@@ -257,7 +259,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CASE run_id WHEN 'run' THEN 'a' ELSE 'b' END AS run_id, step, n, round(mean_reward, 6) AS mean_reward FROM steps", "steps"
         ),
         "export_pairs": _with(
-            f"""SELECT row_id, ({_place()} - 1) // 32 AS batch_id, split, c.ids AS chosen, r.ids AS rejected
+            f"""SELECT row_id, (row_number() OVER (PARTITION BY split ORDER BY md5('42|' || row_id), row_id) - 1) // 32 AS batch_id, split, c.ids AS chosen, r.ids AS rejected
             FROM {full_pairs} JOIN talks USING (row_id)""",
             "talks", "sides", "ids_of",
         ),
@@ -306,7 +308,7 @@ def oracle_sql() -> dict[str, str]:
         "sample_questions": _with(f"SELECT row_id, question FROM ex QUALIFY {_place()} <= 50", "ex"),
         "union_common": _with(
             "SELECT 'sample' AS source, row_id, question FROM ex UNION ALL SELECT * FROM (VALUES "
-            + ", ".join(f"('common', {i}::BIGINT, '{q}')" for i, q in enumerate(COMMON, 1))
+            + ", ".join(f"('common', {i}::BIGINT, '{q}')" for i, q in enumerate(COMMON_QUESTIONS, 1))
             + ")",
             "ex",
         ),
@@ -354,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "pairwise_accuracy_first": _refit(f"({_with('SELECT * FROM prefs', 'prefs')})", "split = 'test' AND place <= 100", 512),
         "pairwise_accuracy_hard": _refit(
-            f"({_with('SELECT row_id, question, answer AS chosen, other AS rejected FROM ex', 'ex')})", "true"
+            f"({_with('SELECT row_id, question, answer AS chosen, other AS rejected FROM ex', 'ex')})", "split = 'test'"
         ),
         "pairwise_loss": _with(
             """SELECT round(rank_loss, 6) AS rank_loss, round(center_loss, 6) AS center_loss, round(rank_loss + center_loss, 6) AS loss
@@ -365,6 +367,15 @@ def oracle_sql() -> dict[str, str]:
         "batch_udf_scores": f"SELECT doc_id, round({_SPACING.format('text')}, 4) AS score FROM documents",
         "compare_rows": _with(f"SELECT source, row_id, {_RESULT} FROM compared", "compared"),
         "compare_summary": _with(f"SELECT {_SUMMARY} FROM compared", "compared"),
+        "summary_text": _with(
+            """SELECT 'Questions: ' || count(*) || chr(10) || 'Mean SFT score: ' || printf('%.4f', avg(sft_rm_score)) || chr(10)
+            || 'Mean PPO score: ' || printf('%.4f', avg(ppo_rm_score)) || chr(10)
+            || 'Lift: ' || printf('%.4f', avg(ppo_rm_score) - avg(sft_rm_score)) || chr(10)
+            || 'PPO wins: ' || count(*) FILTER (ppo_rm_score > sft_rm_score) || chr(10)
+            || 'Win rate: ' || printf('%.2f%%', count(*) FILTER (ppo_rm_score > sft_rm_score) * 100.0::DOUBLE / count(*)) AS report
+            FROM compared""",
+            "compared",
+        ),
         "compare_by_source": _with(f"SELECT source, {_SUMMARY} FROM compared GROUP BY source", "compared"),
         "compare_sample_50": _with(
             f"""SELECT {_SUMMARY} FROM (
@@ -434,7 +445,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_prompts": _with(
             f"""SELECT row_id, {_opened('question')} || '<think>' || repeat(chr(10), 2) || '</think>' || repeat(chr(10), 2) AS prompt,
-            answer AS response, round({_SPACING.format('(' + _talk('question', 'answer') + ')')}, 4) AS score FROM ex""",
+            answer AS response, round({_SPACING.format('(' + _talk('question', 'answer') + ')')}, 4) AS score
+            FROM (SELECT conv_id * 4294967296 + turn AS row_id, text AS question FROM conversations WHERE role = 'user')
+            LEFT JOIN (SELECT row_id, answer FROM ex) USING (row_id)""",
             "ex",
         ),
         "stream_generated": f"""

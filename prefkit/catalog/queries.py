@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from prefkit import schemas
 from prefkit.catalog import inputs
@@ -70,6 +70,16 @@ def scan_preferences(spark, folder):
     return tables.load_preferences(spark, path, split="train")
 
 
+@query
+def scan_unkeyed_preferences(spark, folder):
+    """A three-column table loaded with keys; rows whose key is not unique would be missing."""
+    source = fresh_path(spark, "unkeyed")
+    inputs.preferences(spark, folder).select("question", "chosen", "rejected").write.parquet(source)
+    rows = tables.load_unkeyed_preferences(spark, source, fresh_path(spark, "keyed"))
+    unique = F.count(F.lit(1)).over(W.partitionBy("row_id"))
+    return rows.withColumn("n", unique).where("n = 1").drop("row_id", "n")
+
+
 @query
 def read_responses(spark, folder):
     """Saved answers read back by key and joined to their questions."""
@@ -104,7 +114,8 @@ def step_metrics_log(spark, folder):
 def export_pairs(spark, folder):
     """Pairs written by split and batch, read back."""
     rows = build_pairs(inputs.preferences(spark, folder), SYSTEM, inputs.vocabulary(spark, folder), max_len=None)
-    placed = batching.micro_batches(rows, seed=SEED, keys=inputs.preferences(spark, folder))
+    keys = seeded_split(inputs.preferences(spark, folder).select("row_id"), 0.05, SEED)
+    placed = batching.micro_batches(rows, seed=SEED, keys=keys, by=["split"])
     path = fresh_path(spark, "pairs")
     sinks.export_training_set(placed, path, batch="batch_id")
     return spark.read.schema(placed.schema).parquet(path).select(
@@ -378,8 +389,7 @@ def pairwise_accuracy_hard(spark, folder):
     """True replies against other replies of the conversation; lone exchanges tie."""
     rows = derived.hard_preferences(spark, folder)
     fitted = fit_log_odds(side(seeded_split(rows, 0.05, SEED), "train"), *pair_texts(SYSTEM))
-    scored = score_pairs(rows, log_odds_scorer(fitted), SYSTEM)
-    return metrics.pairwise_summary(scored)
+    return pairwise_eval(rows, log_odds_scorer(fitted), SYSTEM)
 
 
 @query
@@ -435,6 +445,12 @@ def compare_summary(spark, folder):
     return _summary(_comparison(spark, folder))
 
 
+@query
+def summary_text(spark, folder):
+    """The printed summary."""
+    return cmp.summary_text(metrics.comparison_summary(_comparison(spark, folder), "sft_rm_score", "ppo_rm_score"))
+
+
 @query
 def compare_by_source(spark, folder):
     """The summary of the sampled and of the common questions apart."""
@@ -446,7 +462,7 @@ def compare_sample_50(spark, folder):
     """The published protocol: 50 sampled questions and the common ones, spacing as the score."""
     own = inputs.exchanges(spark, folder)
     sft, ppo = derived.stored_answers(spark, folder, own)
-    asked = cmp.comparison_questions(own, derived.common_questions(spark, folder))
+    asked = cmp.comparison_questions(own, derived.common_questions(spark, folder), 50)
     return _summary(cmp.compare(asked, sft, ppo, model_scorer(_spacing)))
 
 
@@ -568,14 +584,14 @@ def build_sft_set(spark, folder):
 
 @query
 def build_pair_set(spark, folder):
-    rows = build_pairs(inputs.preferences(spark, folder), SYSTEM, inputs.vocabulary(spark, folder))
+    rows = build_pairs(inputs.preferences(spark, folder), SYSTEM, inputs.vocabulary(spark, folder), max_len=512)
     arrays = [c for c in rows.columns if c.startswith(("input_ids", "attention_mask"))]
     return rows.select("row_id", *[joined(F.col(c)).alias(c) for c in arrays], "was_truncated", "split")
 
 
 @query
 def build_prompt_set(spark, folder):
-    rows = build_prompts(inputs.exchanges(spark, folder), SYSTEM, inputs.vocabulary(spark, folder))
+    rows = build_prompts(inputs.exchanges(spark, folder), SYSTEM, inputs.vocabulary(spark, folder), max_len=256)
     return rows.select("row_id", joined(F.col("input_ids")).alias("input_ids"), "query", "was_truncated", "split")
 
 
@@ -605,7 +621,7 @@ def stream_prompts(spark, folder):
 @query
 def stream_generated(spark, folder):
     """Answers from the generator hook, for every user turn."""
-    return _answered_turns(spark, folder, qs.generated_answers(_repeater))
+    return _answered_turns(spark, folder, qs.generated_answers(_repeater, max_new=512))
 
 
 @query

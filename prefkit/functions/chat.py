@@ -43,7 +43,7 @@ def answered_messages(system: str, question: Column, answer: Column) -> Column:
 
 
 def render(messages: Column, template: ChatTemplate = CHATML, opener: bool = False, thinking: bool = True) -> Column:
-    """Messages as text; ``opener`` leaves the assistant's turn open for generation."""
+    """Messages as text; ``opener`` leaves the assistant's turn open for generation. A message without a text makes it null."""
     body = F.array_join(
         F.transform(
             messages,
@@ -53,5 +53,6 @@ def render(messages: Column, template: ChatTemplate = CHATML, opener: bool = Fal
         ),
         "",
     )
+    body = F.when(~F.exists(messages, lambda m: m["content"].isNull()), body)
     tail = (template.answer_opener if opener else "") + ("" if thinking else template.no_thinking)
     return F.concat(body, F.lit(tail)) if tail else body

@@ -33,8 +33,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def four_places(score: Column) -> Column:
-    return F.format_string("%.4f", score)
+    return F.when(score.isNotNull(), F.format_string("%.4f", score))
 
 
 def two_places_percent(value: Column) -> Column:
-    return F.format_string("%.2f%%", value)
+    return F.when(value.isNotNull(), F.format_string("%.2f%%", value))

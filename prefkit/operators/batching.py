@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from prefkit.functions.tokens import pad_left, pad_mask, pad_right
@@ -19,16 +21,20 @@ def micro_batches(
     seed: int | None = None,
     key: str = "row_id",
     keys: DataFrame | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``pos``, ``micro_batch`` and the optimiser step ``batch_id`` they add up to.
 
     Positions follow the key, or the seeded hash order where a seed is given;
-    ``keys`` may then name a cheaper frame with the same keys.
+    ``keys`` may then name a cheaper frame with the same keys, and ``by`` columns
+    (of both frames) whose values are numbered apart, such as ``split``.
     """
+    if by and seed is None:
+        raise ValueError("numbering by groups needs a seed")
     if seed is None:
         placed = number_rows(df, F.col(key).asc(), name="pos")
     else:
-        placed = hash_rank(df, key, seed, name="pos", keys=keys).withColumn("pos", F.col("pos") - 1).drop("pos_of")
+        placed = hash_rank(df, key, seed, by, name="pos", keys=keys).withColumn("pos", F.col("pos") - 1).drop("pos_of")
     return placed.withColumn("micro_batch", batch_number(F.col("pos"), rows)).withColumn(
         "batch_id", batch_number(F.col("pos"), rows * accumulate)
     )

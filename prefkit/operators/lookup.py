@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # A table up to this many bytes is broadcast whole.
 BROADCAST_BYTES = 64 << 20
@@ -23,23 +23,24 @@ def is_small(table: DataFrame, key: str) -> bool:
     return table_bytes(table, key) <= BROADCAST_BYTES
 
 
-def lookup(tokens: DataFrame, table: DataFrame, key: str, hot: Column | None = None, small: bool | None = None) -> DataFrame:
+def lookup(tokens: DataFrame, table: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """Left join of ``tokens`` with a stored ``table`` (``key``, ``cnt``, values).
 
-    A small table is broadcast. Otherwise only the hot keys are, and the
-    rest, none of which is frequent, is joined by shuffling. ``small`` passes
-    on a size check that was made already.
+    A small table is broadcast. Otherwise the tokens themselves are counted, and
+    the hot ones, in the table or not, are broadcast with what the table says of
+    them; the rest, none of which is frequent among the tokens, is joined by
+    shuffling. ``small`` passes on a size check that was made already.
     """
-    values = [c for c in table.columns if c not in (key, "cnt")]
-    slim = table.select(key, *values)
+    slim = table.drop("cnt")
     if is_small(table, key) if small is None else small:
         return tokens.join(F.broadcast(slim), key, "left")
-    total = table.agg(F.sum("cnt")).scalar()
-    is_hot = F.col("cnt") * HOT_PARTS > total
-    if hot is not None:
-        is_hot = is_hot | hot
-    hot_keys = F.broadcast(table.where(is_hot).select(key, *values))
+    asked = tokens.where(F.col(key).isNotNull())
+    counts = asked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    # Fewer than HOT_PARTS keys can each hold more than that part of all tokens.
+    hot = counts.where(F.col("_n") * HOT_PARTS > asked.agg(F.count(F.lit(1))).scalar()).select(key)
+    common = asked.join(F.broadcast(hot.join(slim, key, "left")), key)
+    rare = asked.join(F.broadcast(hot), key, "left_anti").join(slim, key, "left")
     # Rows without a key stay out of the shuffle, where they would meet in one task.
-    common = tokens.join(hot_keys, key, "left").where(F.col(key).isNull() | F.col(values[0]).isNotNull())
-    rare = tokens.where(F.col(key).isNotNull()).join(hot_keys.select(key), key, "left_anti")
-    return common.unionByName(rare.join(table.where(~is_hot).select(key, *values), key, "left"))
+    missing = [F.lit(None).cast(slim.schema[c].dataType).alias(c) for c in slim.columns if c != key]
+    without = tokens.where(F.col(key).isNull()).select("*", *missing)
+    return common.unionByName(rare).unionByName(without)

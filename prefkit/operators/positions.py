@@ -21,11 +21,15 @@ from prefkit.session import shared_folder
 
 # Hex digits that name a bucket: 65,536 buckets of even size, because md5 spreads evenly.
 DIGITS = 4
+# Parts of an order in which places look for their bucket.
+CHUNKS = 4096
 
 
 def seed_hash(seed: int | str, key: Column) -> Column:
     """The hash whose order replaces a seeded shuffle: same seed, same key, same place."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    text = key.cast("string")
+    # Without a key a row has no place in the order; all of them would silently get the same one.
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(text, F.raise_error(F.lit("a row has no key")).cast("string"))))
 
 
 def _bucket(h: Column) -> Column:
@@ -131,32 +135,25 @@ def hash_rank(
 def rows_at(df: DataFrame, key: str, seed: int | str, positions: DataFrame) -> DataFrame:
     """``df`` rows at the given 0-based places of the hash order, once per row of ``positions``.
 
-    ``positions`` holds a column ``pos`` and is small (a list of draws). Only
-    buckets that hold a wanted place are ranked, and only by their keys.
+    Only buckets that hold a wanted place are ranked, and only by their keys.
+    Places find their bucket by an equal chunk of the order, so any number of
+    them is looked up in parallel; the bucket table is the only side that is
+    broadcast, and it never has more than a fixed number of rows.
     """
     keys = _hashed(df.select(key), key, seed)
     table = _bucket_table(keys)
-    wanted = positions.select("pos").distinct()
-    ends = table.select(
-        (F.col("_before") + F.col("_cnt") - 1).alias("_at"), F.struct("_bucket", "_before").alias("_b")
-    )
-    asked = wanted.select(F.col("pos").alias("_at"), F.lit(None).cast("struct<_bucket:string,_before:bigint>").alias("_b"))
-    # The bucket of a place is the first one that ends at or after it. Read from
-    # the far end, because Spark evaluates frames that only grow in linear time.
-    seen = W.orderBy(F.desc("_at"), F.col("_b").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = (
-        asked.unionByName(ends)
-        .select("_at", F.col("_b").isNull().alias("_ask"), F.last("_b", ignorenulls=True).over(seen).alias("_b"))
-        .where("_ask and _b is not null")
-        .select(F.col("_at").alias("pos"), "_b._bucket", "_b._before")
-    )
+    width = F.greatest(F.ceil(F.col("_total") / CHUNKS), F.lit(1)).cast("bigint")
+    ends = table.select("_bucket", "_before", (F.col("_before") + F.col("_cnt")).alias("_end"), width.alias("_width"))
+    spans = ends.withColumn("_chunk", F.explode(F.sequence(F.expr("_before div _width"), F.expr("(_end - 1) div _width"))))
+    one_width = table.agg(F.max(width)).scalar()
+    wanted = positions.select("pos").distinct().withColumn("_chunk", F.floor(F.col("pos") / one_width).cast("bigint"))
+    placed = wanted.join(F.broadcast(spans), "_chunk").where("pos >= _before and pos < _end")
     buckets = placed.select("_bucket", "_before").distinct()
     order = W.partitionBy("_bucket").orderBy("_h", key)
     ranked = keys.join(F.broadcast(buckets), "_bucket").select(
         key, (F.col("_before") + F.row_number().over(order) - 1).alias("pos")
     )
-    drawn = ranked.join(F.broadcast(positions), "pos")
-    return df.join(F.broadcast(drawn), key)
+    return df.join(ranked.join(positions, "pos"), key)
 
 
 def number_rows(df: DataFrame, *order: Column, name: str = "pos") -> DataFrame:

@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefkit.operators.positions import hash_edge, up_to_edge
 
-# Draw tables are broadcast; this bounds them.
-MAX_DRAWS = 1_000_000
-
 
 def sample_rows(df: DataFrame, n: int | None, seed: int, key: str = "row_id") -> DataFrame:
     """``n`` rows without replacement; the whole table when ``n`` is empty or not below its size.
@@ -37,8 +34,6 @@ def step_draws(spark: SparkSession, n: int, steps: int, batch: int, seed: int) -
     """
     if batch > n:
         raise ValueError(f"cannot draw {batch} distinct rows from {n}")
-    if steps * batch > MAX_DRAWS:
-        raise ValueError(f"more than {MAX_DRAWS} draws in one table")
 
     def pick(taken: Column, slot: Column) -> Column:
         free = F.pmod(draw("row", F.lit(seed), F.col("step"), slot), F.lit(n) - slot)

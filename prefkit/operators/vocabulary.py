@@ -55,7 +55,7 @@ class Vocabulary:
         table = self.lookup_table()
         small = is_small(table, key)
         rows = explode(df.repartition(row_key) if small else df)
-        return lookup(rows, table, key, hot=F.col("id") < len(self.specials), small=small)
+        return lookup(rows, table, key, small=small)
 
 
 def build_vocabulary(df: DataFrame, *texts: Column) -> Vocabulary:

@@ -28,11 +28,11 @@ def pairwise_eval(
     df: DataFrame,
     scorer: Scorer,
     system: str,
-    first: int | None = 100,
+    first: int | None = None,
     fraction: float = 0.05,
     seed: int = 42,
     template: ChatTemplate = CHATML,
 ) -> DataFrame:
-    """total, correct, accuracy on the test side of the reward split, or its ``first`` rows."""
+    """total, correct, accuracy on the whole test side of the reward split, or its ``first`` rows where given."""
     held_out = eval_rows(df, fraction, seed, first)
     return pairwise_summary(score_pairs(held_out, scorer, system, template))

@@ -23,8 +23,7 @@ def stored_responder(responses: DataFrame) -> Responder:
     """Answers from a table (row_id, response), cut to the drawn length in words."""
 
     def respond(prompts: DataFrame) -> DataFrame:
-        # Few prompts against many stored rows: the prompts are the bounded side.
-        found = responses.join(F.broadcast(prompts.select(*SLOT, "row_id", "gen_len")), "row_id")
+        found = prompts.select(*SLOT, "row_id", "gen_len").join(responses, "row_id")
         return found.select(*SLOT, F.array_join(F.slice(words(F.col("response")), 1, F.col("gen_len")), " ").alias("response"))
 
     return respond
@@ -51,11 +50,13 @@ def rollouts(prompts: DataFrame, respond: Responder, scorer: Scorer, run_id: str
 
     The reward reads prompt and response without chat markers. Answered
     prompts are checkpointed: what is scored is what was answered, however
-    often a stage is run, and stored answers are read once.
+    often a stage is run, and stored answers are read once. A prompt without an
+    answer keeps its row with a null response and reward.
     """
     shared_folder(prompts.sparkSession)
-    answered = prompts.join(respond(prompts), SLOT).checkpoint()
+    answered = prompts.join(respond(prompts), SLOT, "left").checkpoint()
     text = unmarked(F.concat_ws(" ", "query", "response"))
     kept = ["row_id", "gen_len", "query", "response"]
     scored = scorer(answered, SLOT, {"score": text}, keep=kept)
-    return scored.select(F.lit(run_id).alias("run_id"), *SLOT, *kept, F.col("score").cast("float").alias("reward"))
+    reward = F.when(F.col("response").isNotNull(), F.col("score").cast("float"))
+    return scored.select(F.lit(run_id).alias("run_id"), *SLOT, *kept, reward.alias("reward"))

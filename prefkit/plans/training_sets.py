@@ -29,14 +29,15 @@ def build_pairs(
     df: DataFrame,
     system: str,
     vocabulary: Vocabulary,
-    max_len: int | None = 512,
+    max_len: int | None = None,
     fraction: float = 0.05,
     seed: int = 42,
     template: ChatTemplate = CHATML,
 ) -> DataFrame:
     """row_id, ids and masks of both conversations, split.
 
-    The split depends on the key alone, so it is added after encoding without a join.
+    The split depends on the key alone, so it is added after encoding without a
+    join. Texts are cut only where ``max_len`` is given.
     """
     chosen, rejected = pair_texts(system, template)
     ids = encode(df, "row_id", {"chosen": chosen, "rejected": rejected}, vocabulary, max_len)
@@ -55,7 +56,7 @@ def build_prompts(
     df: DataFrame,
     system: str,
     vocabulary: Vocabulary,
-    max_len: int | None = 256,
+    max_len: int | None = None,
     fraction: float = 0.1,
     seed: int = 42,
     template: ChatTemplate = CHATML,

@@ -28,8 +28,8 @@ def read_comparison_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_step_metrics(steps: DataFrame, path: str) -> None:
-    """Adds a run's step table to the metrics log, one folder per run."""
-    steps.write.mode("append").partitionBy("run_id").parquet(path)
+    """Adds a run's step table to the metrics log, one folder per run; a run written again replaces its folder."""
+    steps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def export_training_set(df: DataFrame, path: str, batch: str | None = None, partitions: int | None = None) -> None:

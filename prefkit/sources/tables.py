@@ -23,13 +23,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path)
 
 
+def require_keys(df: DataFrame, key: str = "row_id") -> DataFrame:
+    """The frame itself; an error where a key is missing, which a declared schema does not catch."""
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"rows without {key}; load_unkeyed_preferences writes keys for such a table")
+    return df
+
+
+def load_unkeyed_preferences(spark: SparkSession, path: str, stored: str, fmt: str = "parquet") -> DataFrame:
+    """A table of question, chosen and rejected alone, with keys written once to the new folder ``stored``."""
+    fields = [f for f in schemas.PREFERENCES.fields if f.name != "row_id"]
+    keyed = assign_row_ids(read_table(spark, path, T.StructType(fields), fmt), stored)
+    return keyed.select(*schemas.PREFERENCES.fieldNames())
+
+
 def load_preferences(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet") -> DataFrame:
     """row_id, question, chosen, rejected; ``split`` names a ``split=…`` folder, others are not read."""
     schema = schemas.PREFERENCES
     if split is None:
-        return read_table(spark, path, schema, fmt)
+        return require_keys(read_table(spark, path, schema, fmt))
     wide = T.StructType([*schema.fields, T.StructField("split", T.StringType())])
-    return read_table(spark, path, wide, fmt).where(F.col("split") == split).drop("split")
+    return require_keys(read_table(spark, path, wide, fmt).where(F.col("split") == split).drop("split"))
 
 
 def load_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

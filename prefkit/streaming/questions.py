@@ -24,14 +24,14 @@ def open_prompts(questions: DataFrame, system: str, thinking: bool = False, temp
 
 
 def stored_answers(responses: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Adds ``response`` from a table (row_id, response), read anew for every micro-batch.
+    """Adds ``response`` from a table (row_id, response), read anew for every micro-batch; null where there is none.
 
     Large tables want large micro-batches; see ``files_per_trigger``.
     """
-    return lambda prompts: prompts.join(responses, "row_id")
+    return lambda prompts: prompts.join(responses, "row_id", "left")
 
 
-def generated_answers(make_generator: Callable[[], Generator], max_new: int = 512) -> Callable[[DataFrame], DataFrame]:
+def generated_answers(make_generator: Callable[[], Generator], max_new: int) -> Callable[[DataFrame], DataFrame]:
     """Adds ``response`` from a caller's generator."""
 
     def answer(prompts: DataFrame) -> DataFrame:
@@ -50,10 +50,12 @@ def answered_stream(
 ) -> DataFrame:
     """Answers every prompt and scores the conversation. No state is kept.
 
-    ``score`` is a column over ``text``, for example a batch model.
+    ``score`` is a column over ``text``, for example a batch model; it is given
+    an empty text, and its result dropped, where there is no answer.
     """
     text = render(answered_messages(system, F.col("question"), F.col("response")), template)
-    return answer(prompts).withColumn("text", text).select("row_id", "prompt", "response", score.alias("score"))
+    answered = answer(prompts).withColumn("text", F.coalesce(text, F.lit("")))
+    return answered.select("row_id", "prompt", "response", F.when(F.col("response").isNotNull(), score).alias("score"))
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
