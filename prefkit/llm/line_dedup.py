@@ -27,12 +27,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from fractions import Fraction
 import hashlib
+from itertools import islice
+import re
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
-import regex
 import xxhash
 import zstandard
 
@@ -42,59 +43,82 @@ from prefkit.llm.components import connected_groups
 MIN_WORDS = 5
 SIMILARITY = Fraction(4, 5)
 BITS, BLOCKS, NEAR_BITS = 128, 8, 28
-# Lines hashed at once; lines per bucket of block values; lines per slice and per cell of groups.
-BATCH_LINES, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 512, 4000
+# Lines and words hashed at once; words kept; lines per bucket of block values; lines per slice and per cell of groups.
+BATCH_LINES, BATCH_WORDS, MOST_WORDS, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 200_000, 50_000, 512, 4000
 LOWEST = -(2**63)
 
-_GAPS = regex.compile(r"[^\p{L}\p{N}]+")
+_WORDS = re.compile(r"[^\W_]+")
 RECORD = np.dtype([("value", "<u2"), ("chars", "<u4"), ("line", "S16"), ("hash", "<u8", (2,))])
 LINES = "line binary, hash binary, chars int, doc long, th long, at int"
 
 
 def normalise(line: str) -> str:
-    return _GAPS.sub(" ", line.lower()).strip()
+    return " ".join(_WORDS.findall(line.lower()))
 
 
-class WordBits(dict):
-    """Word to the ``BITS`` votes of its hash, +1 or -1."""
+class WordNumbers(dict):
+    """Word to its number, in the order of appearance."""
 
-    def __missing__(self, word: str) -> np.ndarray:
-        digest = xxhash.xxh3_128_digest(word.encode("utf-8", "surrogatepass"))
-        votes = self[word] = np.unpackbits(np.frombuffer(digest, np.uint8)).astype(np.int8) * 2 - 1
-        return votes
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class WordBits:
+    """The ``BITS`` votes of each word's hash, +1 or -1, one row per word that has come up."""
+
+    def __init__(self) -> None:
+        self._numbers, self._votes = WordNumbers(), np.empty((0, BITS), np.int8)
+
+    def __len__(self) -> int:
+        return len(self._numbers)
+
+    def hashes(self, lines: Sequence[Sequence[str]]) -> list[bytes]:
+        """SimHashes of lines given as words. Each distinct word votes once; else frequent words would make all long lines alike."""
+        sets = [set(words) for words in lines]
+        ids = np.array([self._numbers[w] for words in sets for w in words], np.int64)
+        new = b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in islice(self._numbers, len(self._votes), None))
+        votes = np.unpackbits(np.frombuffer(new, np.uint8)).astype(np.int8).reshape(-1, BITS) * 2 - 1
+        self._votes = np.concatenate([self._votes, votes]) if len(votes) else self._votes
+        sizes = np.array([len(words) for words in sets])
+        total = np.add.reduceat(self._votes[ids], np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
+        return [h.tobytes() for h in np.packbits(total > 0, axis=1)]
 
 
 def simhash(words: Sequence[str], bits: WordBits) -> bytes:
-    """Each distinct word votes once; else frequent words would make all long lines alike."""
-    words = list(set(words))
-    votes = np.zeros(BITS, np.int64)
-    for low in range(0, len(words), 4096):
-        votes += np.array([bits[w] for w in words[low : low + 4096]]).sum(axis=0, dtype=np.int64)
-    return np.packbits(votes > 0).tobytes()
+    return bits.hashes([words])[0]
 
 
 def line_rows(keyed: DataFrame) -> DataFrame:
     """``LINES``: every line that counts, with the hash of its text, its SimHash and its number ``at`` in the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = WordBits()
+        rows: list[tuple] = []
+        fresh: dict[bytes, list[str]] = {}
+        held = 0
+
+        def made() -> pd.DataFrame:
+            known = dict(zip(fresh, bits.hashes(list(fresh.values())), strict=True)) if fresh else {}
+            return pd.DataFrame([(r[0], known[r[0]], *r[1:]) for r in rows], columns=["line", "hash", "chars", "doc", "th", "at"])
+
         for batch in batches:
-            bits, seen, rows = WordBits(), {}, []
             for doc, th, text in zip(batch["doc"], batch["th"], batch["text"], strict=True):
-                for at, raw in enumerate(text.split("\n")):
-                    line = normalise(raw)
-                    words = line.split(" ")
+                for at, raw in enumerate(text.lower().split("\n")):
+                    words = _WORDS.findall(raw)
                     if len(words) < MIN_WORDS:
                         continue
+                    line = " ".join(words)
                     key = hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                    if key not in seen:
-                        seen[key] = simhash(words, bits)
-                    rows.append((key, seen[key], len(line), doc, th, at))
-                if len(rows) >= BATCH_LINES:
-                    yield pd.DataFrame(rows, columns=["line", "hash", "chars", "doc", "th", "at"])
-                    rows = []
-                if len(bits) > 200_000 or len(seen) > 200_000:
-                    bits.clear(), seen.clear()
-            yield pd.DataFrame(rows, columns=["line", "hash", "chars", "doc", "th", "at"])
+                    if key not in fresh:
+                        fresh[key] = words
+                        held += len(words)
+                    rows.append((key, len(line), doc, th, at))
+                    if held >= BATCH_WORDS or len(rows) >= BATCH_LINES:
+                        yield made()
+                        rows, fresh, held = [], {}, 0
+                        bits = WordBits() if len(bits) > MOST_WORDS else bits
+        yield made()
 
     return keyed.mapInPandas(run, LINES)
 
