@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from fractions import Fraction
 import hashlib
-from itertools import islice
+from itertools import chain
 import re
 
 import numpy as np
@@ -43,8 +43,8 @@ from prefkit.llm.components import connected_groups
 MIN_WORDS = 5
 SIMILARITY = Fraction(4, 5)
 BITS, BLOCKS, NEAR_BITS = 128, 8, 28
-# Lines and words hashed at once; words kept; lines per bucket of block values; lines per slice and per cell of groups.
-BATCH_LINES, BATCH_WORDS, MOST_WORDS, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 200_000, 50_000, 512, 4000
+# Lines and words hashed at once; lines per bucket of block values; lines per slice and per cell of groups.
+BATCH_LINES, BATCH_WORDS, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 50_000, 512, 4000
 LOWEST = -(2**63)
 
 _WORDS = re.compile(r"[^\W_]+")
@@ -56,50 +56,34 @@ def normalise(line: str) -> str:
     return " ".join(_WORDS.findall(line.lower()))
 
 
-class WordNumbers(dict):
-    """Word to its number, in the order of appearance."""
+def simhashes(lines: Sequence[bytes]) -> list[bytes]:
+    """SimHashes of normalised lines. Each distinct word votes once; else frequent words would make all long lines alike.
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-class WordBits:
-    """The ``BITS`` votes of each word's hash, +1 or -1, one row per word that has come up."""
-
-    def __init__(self) -> None:
-        self._numbers, self._votes = WordNumbers(), np.empty((0, BITS), np.int8)
-
-    def __len__(self) -> int:
-        return len(self._numbers)
-
-    def hashes(self, lines: Sequence[Sequence[str]]) -> list[bytes]:
-        """SimHashes of lines given as words. Each distinct word votes once; else frequent words would make all long lines alike."""
-        sets = [set(words) for words in lines]
-        ids = np.array([self._numbers[w] for words in sets for w in words], np.int64)
-        new = b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in islice(self._numbers, len(self._votes), None))
-        votes = np.unpackbits(np.frombuffer(new, np.uint8)).astype(np.int8).reshape(-1, BITS) * 2 - 1
-        self._votes = np.concatenate([self._votes, votes]) if len(votes) else self._votes
-        sizes = np.array([len(words) for words in sets])
-        total = np.add.reduceat(self._votes[ids], np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
-        return [h.tobytes() for h in np.packbits(total > 0, axis=1)]
-
-
-def simhash(words: Sequence[str], bits: WordBits) -> bytes:
-    return bits.hashes([words])[0]
+    The ones of a bit are counted in bytes, eight to a machine word, 255 words of a line at a time.
+    """
+    sets = [set(line.split(b" ")) for line in lines]
+    digests = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(sets)))
+    votes = np.unpackbits(np.frombuffer(digests, np.uint8)).view("<u8").reshape(-1, BITS // 8)
+    sizes = np.array([len(words) for words in sets], np.int64)
+    parts = -(-sizes // 255)
+    first = np.cumsum(parts) - parts
+    nth = np.arange(parts.sum()) - np.repeat(first, parts)
+    begins = np.repeat(np.cumsum(sizes) - sizes, parts) + 255 * nth
+    counts = np.add.reduceat(votes, begins, axis=0).view(np.uint8).reshape(-1, BITS)
+    total = np.add.reduceat(counts, first, axis=0, dtype=np.int32)
+    return [h.tobytes() for h in np.packbits(2 * total > sizes[:, None], axis=1)]
 
 
 def line_rows(keyed: DataFrame) -> DataFrame:
     """``LINES``: every line that counts, with the hash of its text, its SimHash and its number ``at`` in the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = WordBits()
         rows: list[tuple] = []
-        fresh: dict[bytes, list[str]] = {}
+        fresh: dict[bytes, bytes] = {}
         held = 0
 
         def made() -> pd.DataFrame:
-            known = dict(zip(fresh, bits.hashes(list(fresh.values())), strict=True)) if fresh else {}
+            known = dict(zip(fresh, simhashes(list(fresh.values())), strict=True)) if fresh else {}
             return pd.DataFrame([(r[0], known[r[0]], *r[1:]) for r in rows], columns=["line", "hash", "chars", "doc", "th", "at"])
 
         for batch in batches:
@@ -109,15 +93,15 @@ def line_rows(keyed: DataFrame) -> DataFrame:
                     if len(words) < MIN_WORDS:
                         continue
                     line = " ".join(words)
-                    key = hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    data = line.encode("utf-8", "surrogatepass")
+                    key = hashlib.blake2b(data, digest_size=16).digest()
                     if key not in fresh:
-                        fresh[key] = words
+                        fresh[key] = data
                         held += len(words)
                     rows.append((key, len(line), doc, th, at))
                     if held >= BATCH_WORDS or len(rows) >= BATCH_LINES:
                         yield made()
                         rows, fresh, held = [], {}, 0
-                        bits = WordBits() if len(bits) > MOST_WORDS else bits
         yield made()
 
     return keyed.mapInPandas(run, LINES)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -177,6 +178,14 @@ def test_edit_distance():
         assert (line_dedup.edit_distance(a, b, most) <= most) == (true <= most)
 
 
+def test_line_hashes_against_brute_force():
+    lines = [b" ".join(str(i % 900).encode() for i in range(n)) for n in (1, 2, 254, 255, 256, 510, 511, 2000)]
+    for line, found in zip(lines, line_dedup.simhashes(lines), strict=True):
+        words = set(line.split(b" "))
+        ones = sum(np.unpackbits(np.frombuffer(xxhash.xxh3_128_digest(w), np.uint8)).astype(int) for w in words)
+        assert found == np.packbits(2 * ones > len(words)).tobytes()
+
+
 def test_lines_against_brute_force(spark):
     rnd = random.Random(4)
     vocabulary = [f"w{i}" for i in range(400)]
@@ -190,14 +199,14 @@ def test_lines_against_brute_force(spark):
     docs = [(i, "\n".join(rnd.choice([line, line.upper(), variant(line), "few words"]) for line in rnd.sample(base, 6))) for i in range(50)]
     rows = {r["doc_id"]: r["kept"] for r in line_dedup.dedup_lines(documents(spark, docs)).collect()}
     # Near pairs that share a block make candidate groups; near pairs inside a group are verified and connected.
-    bits, first = line_dedup.WordBits(), {}
+    first = {}
     for doc, text in docs:
         for at, raw in enumerate(text.split("\n")):
             line = line_dedup.normalise(raw)
             if len(line.split(" ")) >= line_dedup.MIN_WORDS:
                 first.setdefault(line, (doc, at))
     lines = list(first)
-    hashes = [np.frombuffer(line_dedup.simhash(x.split(" "), bits), ">u2") for x in lines]
+    hashes = [np.frombuffer(h, ">u2") for h in line_dedup.simhashes([x.encode() for x in lines])]
 
     def groups(pairs):
         root = list(range(len(lines)))
