@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from fractions import Fraction
 import hashlib
-from itertools import chain
+from itertools import chain, pairwise
 import re
 
 import numpy as np
@@ -226,20 +226,20 @@ def similar(one: str, other: str) -> bool:
     return edit_distance(one, other, most) <= most
 
 
-def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near_bits: int = NEAR_BITS) -> np.ndarray:
+def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near_bits: int = NEAR_BITS) -> list[int]:
     """Smallest index connected with each line by verified candidate pairs.
 
     With ``first`` only pairs across the first lines and the others are compared.
     """
     n = len(texts)
-    label = np.arange(n)
+    label = list(range(n))
     chars = np.array([len(t) for t in texts])
 
     def root(i: int) -> int:
         while label[i] != i:
             label[i] = label[label[i]]
             i = label[i]
-        return int(i)
+        return i
 
     rows, columns = (slice(0, n), slice(0, n)) if first is None else (slice(0, first), slice(first, n))
     apart = np.bitwise_count(hashes[rows, None, :] ^ hashes[None, columns, :]).sum(axis=2)
@@ -255,19 +255,21 @@ def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near
         i, j = root(one), root(two)
         if i != j and similar(texts[one], texts[two]):
             label[max(i, j)] = min(i, j)
-    return np.array([root(i) for i in range(n)])
+    return [root(i) for i in range(n)]
 
 
 def _cell_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Verified links inside the candidate groups of a cell, one per connected line."""
     out = []
-    for _, group in rows.groupby("root", sort=True):
-        group = group.sort_values(["slice", "line"])
-        first = None if key[1] == key[2] else int((group["slice"] == key[1]).sum())
-        hashes = np.frombuffer(b"".join(group["hash"]), "<u8").reshape(len(group), -1)
-        label = verified_links(group["text"].tolist(), hashes, first)
-        lines = group["line"].tolist()
-        out += [(lines[i], lines[k]) for i, k in enumerate(label.tolist()) if i != k]
+    rows = rows.sort_values(["root", "slice", "line"])
+    roots, lines, texts = rows["root"].tolist(), rows["line"].tolist(), rows["text"].tolist()
+    low = rows["slice"].to_numpy() == key[1]
+    hashes = np.frombuffer(b"".join(rows["hash"]), "<u8").reshape(len(rows), -1)
+    edges = [0, *[i for i in range(1, len(roots)) if roots[i] != roots[i - 1]], len(roots)]
+    for begin, end in pairwise(edges):
+        first = None if key[1] == key[2] else int(low[begin:end].sum())
+        label = verified_links(texts[begin:end], hashes[begin:end], first)
+        out += [(lines[begin + i], lines[begin + k]) for i, k in enumerate(label) if i != k]
     return pd.DataFrame(out, columns=["a", "b"])
 
 

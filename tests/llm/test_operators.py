@@ -8,9 +8,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+import xxhash
 
 from prefkit.llm import (
     components,
