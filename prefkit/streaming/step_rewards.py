@@ -10,15 +10,16 @@ def running_rewards(rollouts: DataFrame, late: str | None = None) -> DataFrame:
     """n and mean reward per run and step so far.
 
     State holds one row per step. Where many runs share the query, ``late``
-    bounds it by the rollouts' own time ``rollout_ts``: a step is final once
-    the stream has moved on that far.
+    bounds it by the rollouts' own time ``rollout_ts``: a step is one session
+    that ends when nothing of it has come for that long. Such a stream gives
+    each step once, when it is final, and is written by appending.
     """
     keys = ["run_id", "step"]
     mean = [F.count(F.lit(1)).alias("n"), F.avg(F.col("reward").cast("double")).alias("mean_reward")]
     if late is None:
         return rollouts.groupBy(*keys).agg(*mean)
     timed = rollouts.withWatermark("rollout_ts", late)
-    return timed.groupBy(F.window("rollout_ts", late), *keys).agg(*mean)
+    return timed.groupBy(F.session_window("rollout_ts", late), *keys).agg(*mean).drop("session_window")
 
 
 def keep_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -47,16 +47,19 @@ def test_running_rewards(spark):
 
 def test_running_rewards_with_bounded_state(spark):
     source, out = fresh_path(spark, "w"), fresh_path(spark, "wm")
-    rows = spark.range(100).select(
+    # Two rollouts a step, two minutes apart: one pair in five lies across a ten-minute edge.
+    rows = spark.range(200).select(
         F.lit("run").alias("run_id"),
-        F.col("id").cast("int").alias("step"),
-        F.lit(1.0).cast("float").alias("reward"),
-        F.timestamp_seconds(F.col("id") * 60).alias("rollout_ts"),
+        F.floor(F.col("id") / 2).cast("int").alias("step"),
+        (1 + 2 * (F.col("id") % 2)).cast("float").alias("reward"),
+        F.timestamp_seconds(F.col("id") * 120).alias("rollout_ts"),
     )
     rows.repartitionByRange(5, "step").write.parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     query = qs.append_to(sr.running_rewards(stream, late="10 minutes"), out, f"{out}-progress")
     query.awaitTermination()
     final = spark.read.parquet(out)
-    assert 0 < final.count() <= 100 and final.where("n <> 1").count() == 0
+    assert final.columns == ["run_id", "step", "n", "mean_reward"]
+    assert 0 < final.count() <= 100 and final.where("n <> 2 or mean_reward <> 2.0").count() == 0
+    assert final.select("step").distinct().count() == final.count()
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) < 100
