@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -39,6 +39,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, *order: Column, label: str) -> DataFrame:
+    """The frame with ``pos``, its place from 0 in the given order, range sorted and written once below the shared folder.
+
+    Rows that are equal in the order get places next to each other. The broadcast holds one row per written partition.
+    """
+    laid = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_mid", 33).alias("_part")
+    starts = laid.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_start"))
+    pos = F.col("_start") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return laid.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn("pos", pos).drop("_part", "_start", "_mid")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows whose labels no operator may learn from."""
     fold = F.crc32(doc_id.cast("string").cast("binary")) % LABEL_FOLDS

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import compression_quality, fair_mix, isolation_rules, line_dedup, lsh_forest, merkle, packing, prefix_parsing, token_files, url_filter
+from prefkit.llm import compression_quality, fair_mix, fill_middle, isolation_rules, line_dedup, lsh_forest, merkle, packing, prefix_parsing, secret_links, token_files, turn_repair, url_filter
 from prefkit.llm.common import table
 
 
@@ -51,6 +51,33 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return lsh_forest.join_digests(table(spark, folder, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repaired_digests(table(spark, folder, "conversations"))
+
+
+def op12_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_links.secret_digests(table(spark, folder, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_middle_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_packing, op3_token_files, op4_line_dedup, op5_url_filter, op6_document_fingerprints, op7_repeated_strings, op8_source_mix, op9_quality_classifier, op10_jaccard_join)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_packing,
+        op3_token_files,
+        op4_line_dedup,
+        op5_url_filter,
+        op6_document_fingerprints,
+        op7_repeated_strings,
+        op8_source_mix,
+        op9_quality_classifier,
+        op10_jaccard_join,
+        op11_turn_repair,
+        op12_secret_links,
+        op13_fill_middle,
+    )
 }
