@@ -13,7 +13,8 @@ from prefkit.operators.vocabulary import Vocabulary, build_vocabulary
 from prefkit.plans.training_sets import pair_texts
 from prefkit.session import shared_folder
 from prefkit.sources import derived
-from prefkit.sources.tables import cached_copy, is_complete
+from prefkit.sources.files import is_complete
+from prefkit.sources.tables import cached_copy
 
 SYSTEM = "You are a helpful assistant."
 SEED = 42

@@ -205,9 +205,40 @@ _FULL = "trim(p.ids || ' ' || a.ids)"
 _BATCHED = f"""(SELECT row_id, ({_place()} - 1) // 8 AS batch_id, p.ids, p.n_ids
                FROM ({_encoded('ex_words', 'row_id', 'p')}) p)"""
 _SYS = f"'{SYSTEM}'"
-_SUMMARY = """count(*) AS n, round(avg(sft_rm_score), 6) AS mean_a, round(avg(ppo_rm_score), 6) AS mean_b,
-       round(avg(ppo_rm_score) - avg(sft_rm_score), 6) AS lift, count(*) FILTER (ppo_rm_score > sft_rm_score) AS wins,
-       round(100.0::DOUBLE * count(*) FILTER (ppo_rm_score > sft_rm_score) / count(*), 6) AS win_rate"""
+_PAIRED = "sft_rm_score IS NOT NULL AND ppo_rm_score IS NOT NULL"
+_SUMMARY = f"""count(*) AS n, count(sft_rm_score) AS n_answered_a, count(ppo_rm_score) AS n_answered_b, count(*) FILTER ({_PAIRED}) AS n_paired,
+       round(avg(sft_rm_score) FILTER ({_PAIRED}), 6) AS mean_a, round(avg(ppo_rm_score) FILTER ({_PAIRED}), 6) AS mean_b,
+       round(avg(ppo_rm_score) FILTER ({_PAIRED}) - avg(sft_rm_score) FILTER ({_PAIRED}), 6) AS lift, count(*) FILTER (ppo_rm_score > sft_rm_score) AS wins,
+       round(100.0::DOUBLE * count(*) FILTER (ppo_rm_score > sft_rm_score) / count(*) FILTER ({_PAIRED}), 6) AS win_rate"""
+# Left out answers: the score of an empty place is missing.
+_GAPS = """(SELECT * REPLACE (CASE WHEN a THEN sft_response END AS sft_response, CASE WHEN b THEN ppo_response END AS ppo_response,
+              CASE WHEN a THEN sft_rm_score END AS sft_rm_score, CASE WHEN b THEN ppo_rm_score END AS ppo_rm_score, CASE WHEN a AND b THEN score_diff END AS score_diff)
+            FROM (SELECT *, ('0x' || substr(md5('sft|' || row_id), 1, 8))::BIGINT % 10 < 8 AS a, ('0x' || substr(md5('ppo|' || row_id), 1, 8))::BIGINT % 10 < 7 AS b FROM compared))"""
+_NO_THINK = "'<think>' || repeat(chr(10), 2) || '</think>' || repeat(chr(10), 2)"
+# Conversations that say the stop word, and the turn at which they do.
+_STOPPING = """(SELECT * REPLACE (CASE WHEN role = 'user' AND turn = 2 AND conv_id % 5 = 0 THEN ' Exit' || chr(10) ELSE text END AS text) FROM conversations)"""
+_SESSIONS = rf"""SELECT t.* FROM {_STOPPING} t LEFT JOIN (SELECT conv_id, min(turn) AS stop FROM {_STOPPING}
+            WHERE role = 'user' AND lower(regexp_replace(text, '^[\s\x0B\p{{Z}}]+|[\s\x0B\p{{Z}}]+$', '', 'g')) = 'exit' GROUP BY conv_id) s
+            ON t.conv_id = s.conv_id WHERE stop IS NULL OR turn < stop"""
+# The reward as a kernel machine: weights are a sum of the train pairs' vectors, found by plain gradient descent on its coefficients.
+_REWARD = f"""
+    places AS MATERIALIZED (SELECT row_id, side, split, ('0x' || substr(md5(tok), 1, 8))::BIGINT % 16384 AS place, count(*)::DOUBLE AS n
+        FROM (SELECT row_id, side, split, unnest({_words('text')}) AS tok FROM (SELECT row_id, split, 'chosen' AS side, chosen AS text FROM talks
+              UNION ALL SELECT row_id, split, 'rejected', rejected FROM talks)) GROUP BY ALL),
+    unit AS MATERIALIZED (SELECT row_id, side, split, place, n / sqrt(sum(n * n) OVER (PARTITION BY row_id, side)) AS v FROM places),
+    train_pairs AS MATERIALIZED (SELECT row_id, row_number() OVER (ORDER BY row_id) AS i FROM talks WHERE split = 'train'),
+    pair AS MATERIALIZED (SELECT i, place, sum(CASE side WHEN 'chosen' THEN v ELSE -v END) AS v FROM unit JOIN train_pairs USING (row_id) GROUP BY i, place),
+    gram AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) AS k FROM pair a JOIN pair b USING (place) GROUP BY a.i, b.i),
+    kernel AS MATERIALIZED (SELECT list(r ORDER BY i) AS k, count(*) AS m FROM (SELECT x.i, list(coalesce(k, 0.0) ORDER BY y.i) AS r
+        FROM train_pairs x CROSS JOIN train_pairs y LEFT JOIN gram ON gram.i = x.i AND gram.j = y.i GROUP BY x.i)),
+    descent AS (SELECT 0 AS t, list_transform(range(m), lambda x: 0.0::DOUBLE) AS a FROM kernel
+        UNION ALL SELECT t + 1, list_transform(range(1, m + 1), lambda i: a[i] * (1 - 1.5 * 0.1) + 1.5 / m / (1 + exp(list_dot_product(k[i], a))))
+        FROM descent, kernel WHERE t < 150),
+    coefficient AS (SELECT unnest(a) AS a, unnest(range(1, len(a) + 1)) AS i FROM descent WHERE t = 150),
+    weight AS MATERIALIZED (SELECT place, sum(a * v) AS w FROM pair JOIN coefficient USING (i) GROUP BY place),
+    judged AS (SELECT row_id, coalesce(sum(v * w) FILTER (side = 'chosen'), 0) AS chosen_score, coalesce(sum(v * w) FILTER (side = 'rejected'), 0) AS rejected_score
+        FROM unit LEFT JOIN weight USING (place) WHERE split = 'test' GROUP BY row_id)
+"""
 _RESULT = """question, sft_response, ppo_response, round(sft_rm_score, 6) AS sft_rm_score,
        round(ppo_rm_score, 6) AS ppo_rm_score, round(score_diff, 6) AS score_diff"""
 _SPACING = "((length({0}) - length(replace({0}, ' ', '')))::DOUBLE / greatest(length({0}), 1))::FLOAT::DOUBLE"
@@ -314,13 +345,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "vocab": _with("SELECT tok, cnt, id FROM voc", "voc"),
         "encode_documents": _with(_encoded("documents", "doc_id", _chat_words("text")), "ids_of"),
-        "encode_truncated": _with(_encoded("(SELECT * FROM sides WHERE side = 'chosen')", "row_id", "w", 512), "sides", "ids_of"),
+        "encode_truncated": _with(
+            "\nUNION ALL\n".join(
+                f"SELECT *, '{side}' AS side FROM ({_encoded(f'(SELECT * FROM sides WHERE side = {side!r})', 'row_id', 'w', 512)})" for side in ("chosen", "rejected")
+            ),
+            "sides", "ids_of",
+        ),
         "decode_texts": _with(
-            f"""SELECT row_id, coalesce(string_agg(t, ' ' ORDER BY pos), '') AS kept,
+            f"""SELECT row_id, side, coalesce(string_agg(t, ' ' ORDER BY pos), '') AS kept,
                    coalesce(string_agg(t, ' ' ORDER BY pos) FILTER (NOT list_contains({_SPECIAL_LIST}, t)), '') AS plain
-            FROM (SELECT row_id, pos, CASE WHEN id IS NULL THEN '<unk>' ELSE tok END AS t
-                  FROM (SELECT row_id, unnest(w) AS tok, unnest(range(len(w))) AS pos FROM sides WHERE side = 'rejected')
-                  LEFT JOIN ids_of USING (tok)) GROUP BY row_id""",
+            FROM (SELECT row_id, side, pos, CASE WHEN id IS NULL THEN '<unk>' ELSE tok END AS t
+                  FROM (SELECT row_id, side, unnest(w) AS tok, unnest(range(len(w))) AS pos FROM sides)
+                  LEFT JOIN ids_of USING (tok)) GROUP BY row_id, side""",
             "sides", "ids_of",
         ),
         "prompt_response_concat": _with(
@@ -364,6 +400,14 @@ def oracle_sql() -> dict[str, str]:
                          0.01::DOUBLE * avg((chosen_score + rejected_score) * (chosen_score + rejected_score)) AS center_loss FROM scored)""",
             "scored",
         ),
+        "bradley_terry": _with("SELECT 1", "talks").rsplit("SELECT 1", 1)[0].rstrip()
+        + ","
+        + _REWARD
+        + """SELECT count(*) AS total, count(*) FILTER (chosen_score > rejected_score) AS correct,
+            100.0::DOUBLE * count(*) FILTER (chosen_score > rejected_score) / count(*) AS accuracy,
+            round(avg(chosen_score - rejected_score), 3) AS mean_margin, true AS optimal FROM judged""",
+        "encode_with_hook": """SELECT conv_id, turn, length(text) AS n_ids,
+            coalesce(list_sum(list_transform(string_split(text, ''), lambda c: unicode(c))), 0)::BIGINT AS total FROM conversations""",
         "batch_udf_scores": f"SELECT doc_id, round({_SPACING.format('text')}, 4) AS score FROM documents",
         "compare_rows": _with(f"SELECT source, row_id, {_RESULT} FROM compared", "compared"),
         "compare_summary": _with(f"SELECT {_SUMMARY} FROM compared", "compared"),
@@ -376,6 +420,10 @@ def oracle_sql() -> dict[str, str]:
             FROM compared""",
             "compared",
         ),
+        "compare_with_gaps": _with(
+            f"SELECT source, {_SUMMARY} FROM {_GAPS} GROUP BY source UNION ALL SELECT 'all', {_SUMMARY} FROM {_GAPS}", "compared"
+        ),
+        "compare_rows_with_gaps": _with(f"SELECT source, row_id, {_RESULT} FROM {_GAPS}", "compared"),
         "compare_by_source": _with(f"SELECT source, {_SUMMARY} FROM compared GROUP BY source", "compared"),
         "compare_sample_50": _with(
             f"""SELECT {_SUMMARY} FROM (
@@ -456,5 +504,19 @@ def oracle_sql() -> dict[str, str]:
                   FROM (SELECT conv_id * 4294967296 + turn AS row_id, text AS question,
                                {_opened('text')} || '<think>' || repeat(chr(10), 2) || '</think>' || repeat(chr(10), 2) AS prompt
                         FROM conversations WHERE role = 'user'))""",
+        "session_turns": _SESSIONS,
+        "stream_sessions": _SESSIONS,
+        "stream_joined_answers": _with(
+            f"""SELECT row_id, {_opened('question')} || {_NO_THINK} AS prompt, response,
+            round({_SPACING.format('(' + _talk('question', 'response') + ')')}, 4) AS score
+            FROM (SELECT conv_id * 4294967296 + turn AS row_id, text AS question FROM conversations WHERE role = 'user')
+            LEFT JOIN (SELECT row_id, answer AS response FROM ex WHERE ('0x' || substr(md5('slow|' || row_id), 1, 8))::BIGINT % 60 <= 45) USING (row_id)""",
+            "ex",
+        ),
         "stream_step_rewards": _with(f"SELECT {_STEP} FROM steps WHERE run_id = 'run'", "steps"),
+        "stream_step_rewards_bounded": _with(
+            """SELECT run_id, step, count(*) = 8 AS complete, count(*) AS n, round(avg(reward), 4) AS mean_reward
+            FROM rolls WHERE run_id = 'run' AND NOT (step % 7 = 0 AND slot = 3) GROUP BY run_id, step""",
+            "rolls",
+        ),
     }

@@ -16,7 +16,7 @@ from prefkit.catalog.inputs import SEED, SYSTEM
 from prefkit.functions import chat, scores as sc, text as tx, tokens as tk
 from prefkit.operators import batching, metrics
 from prefkit.operators.bradley_terry import bradley_terry_scorer, fit_bradley_terry
-from prefkit.operators.inference import batch_score_udf, generate, model_scorer
+from prefkit.operators.inference import batch_score_udf, encode_udf, generate, model_scorer
 from prefkit.operators.lexical_reward import fit_log_odds, log_odds_scorer
 from prefkit.operators.positions import hash_rank
 from prefkit.operators.sampling import length_draw, sample_rows
@@ -29,7 +29,10 @@ from prefkit.plans.training_sets import build_pairs, build_prompts, build_sft, p
 from prefkit.session import fresh_path
 from prefkit.sources import derived, sinks, tables
 from prefkit.sources.questions import question_list
+from prefkit.sources.files import written
 from prefkit.streaming import questions as qs, step_rewards as sr
+from prefkit.streaming.replay import write_end, write_slices
+from prefkit.streaming.sessions import open_sessions, until_stop
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -112,13 +115,14 @@ def step_metrics_log(spark, folder):
 
 @query
 def export_pairs(spark, folder):
-    """Pairs written by split and batch, read back."""
+    """Pairs written by split and bucketed by batch, read back through the table."""
     rows = build_pairs(inputs.preferences(spark, folder), SYSTEM, inputs.vocabulary(spark, folder), max_len=None)
     keys = seeded_split(inputs.preferences(spark, folder).select("row_id"), 0.05, SEED)
     placed = batching.micro_batches(rows, seed=SEED, keys=keys, by=["split"])
     path = fresh_path(spark, "pairs")
-    sinks.export_training_set(placed, path, batch="batch_id")
-    return spark.read.schema(placed.schema).parquet(path).select(
+    table = f"pairs_{path.rsplit('-', 1)[1]}"
+    sinks.export_training_set(placed, table, path, buckets=8)
+    return spark.table(table).select(
         "row_id", "batch_id", "split", joined(F.col("input_ids_chosen")).alias("chosen"), joined(F.col("input_ids_rejected")).alias("rejected")
     )
 
@@ -266,21 +270,31 @@ def encode_documents(spark, folder):
     return _ids(encode(documents, "doc_id", {"ids": F.col("text")}, inputs.vocabulary(spark, folder)), "doc_id", "ids")
 
 
+SIDES = ("chosen", "rejected")
+
+
+def _pair_ids(spark: SparkSession, folder: str, max_len: int | None = None) -> DataFrame:
+    texts = dict(zip(SIDES, pair_texts(SYSTEM)))
+    return encode(inputs.preferences(spark, folder), "row_id", texts, inputs.vocabulary(spark, folder), max_len)
+
+
 @query
 def encode_truncated(spark, folder):
-    """Rendered chosen conversations, cut to 512 ids."""
-    rows = inputs.preferences(spark, folder)
-    ids = encode(rows, "row_id", {"ids": pair_texts(SYSTEM)[0]}, inputs.vocabulary(spark, folder), max_len=512)
-    return _ids(ids, "row_id", "ids")
+    """Both rendered conversations, cut to 512 ids."""
+    ids = _pair_ids(spark, folder, max_len=512)
+    out = [_ids(ids, "row_id", name).withColumn("side", F.lit(name)) for name in SIDES]
+    return out[0].unionByName(out[1])
 
 
 @query
 def decode_texts(spark, folder):
-    """Rejected conversations encoded and decoded, with the markers and without."""
+    """Both conversations encoded and decoded, with the markers and without."""
     words = inputs.vocabulary(spark, folder)
-    ids = encode(inputs.preferences(spark, folder), "row_id", {"ids": pair_texts(SYSTEM)[1]}, words)
-    kept = decode(ids, "row_id", "ids", words, name="kept")
-    return kept.join(decode(ids, "row_id", "ids", words, skip_special=True, name="plain"), "row_id")
+    sides = F.array(*[F.struct(F.lit(n).alias("side"), F.col(n).alias("ids")) for n in SIDES])
+    ids = _pair_ids(spark, folder).select("row_id", F.inline(sides)).select(F.concat_ws("|", "row_id", "side").alias("name"), "ids")
+    both = decode(ids, "name", "ids", words, name="kept").join(decode(ids, "name", "ids", words, skip_special=True, name="plain"), "name")
+    parts = F.split("name", r"\|")
+    return both.select(parts[0].cast("bigint").alias("row_id"), parts[1].alias("side"), "kept", "plain")
 
 
 def _exchange_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -399,10 +413,13 @@ def pairwise_loss(spark, folder):
 
 @query
 def bradley_terry(spark, folder):
+    """Accuracy and mean margin on the test side; the gradient certifies that the only optimum is near."""
     rows = inputs.preferences(spark, folder)
-    chosen, rejected = pair_texts(SYSTEM)
-    model = fit_bradley_terry(side(seeded_split(rows, 0.05, SEED), "train"), chosen, rejected)
-    return pairwise_eval(rows, bradley_terry_scorer(model), SYSTEM, first=None)
+    model = fit_bradley_terry(side(seeded_split(rows, 0.05, SEED), "train"), *pair_texts(SYSTEM))
+    scored = score_pairs(eval_rows(rows, 0.05, SEED), bradley_terry_scorer(model), SYSTEM)
+    margin = F.round(F.avg(F.col("chosen_score") - F.col("rejected_score")), 3).alias("mean_margin")
+    summary = metrics.pairwise_summary(scored).withColumn("mean_margin", scored.agg(margin).scalar())
+    return summary.withColumn("optimal", F.lit(model.distance < 1e-4))
 
 
 def _spacing():
@@ -416,6 +433,19 @@ def batch_udf_scores(spark, folder):
     return documents.select("doc_id", batch_score_udf(_spacing)("text").alias("score")).select("doc_id", places("score", 4))
 
 
+def _code_points():
+    """A stand-in for a caller's tokenizer: the code points of each text of a list."""
+    return lambda texts: [[ord(c) for c in t] for t in texts]
+
+
+@query
+def encode_with_hook(spark, folder):
+    """Every turn through the hook for a caller's tokenizer."""
+    turns = derived.table(spark, folder, "conversations")
+    ids = turns.select("conv_id", "turn", encode_udf(_code_points)("text").alias("ids"))
+    return ids.select("conv_id", "turn", big(F.size("ids")).alias("n_ids"), big(F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, i: s + i)).alias("total"))
+
+
 # Comparison of two models
 
 
@@ -437,7 +467,8 @@ def compare_rows(spark, folder):
 
 def _summary(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     out = metrics.comparison_summary(rows, "sft_rm_score", "ppo_rm_score", by)
-    return out.select(*(by or []), "n", places("mean_a"), places("mean_b"), places("lift"), "wins", places("win_rate"))
+    counts = ["n", "n_answered_a", "n_answered_b", "n_paired"]
+    return out.select(*(by or []), *counts, places("mean_a"), places("mean_b"), places("lift"), "wins", places("win_rate"))
 
 
 @query
@@ -445,6 +476,30 @@ def compare_summary(spark, folder):
     return _summary(_comparison(spark, folder))
 
 
+def _comparison_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The comparison when each model has left some questions unanswered."""
+    own = inputs.exchanges(spark, folder)
+    sft, ppo = derived.stored_answers(spark, folder, own)
+    asked = cmp.comparison_questions(own, derived.common_questions(spark, folder), None)
+    # Keys of exchanges are large multiples of their conversation, so the hash of the key draws.
+    some = lambda name, kept: F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(f"{name}|"), F.col("row_id").cast("string"))), 1, 8), 16, 10).cast("bigint"), F.lit(10)) < kept
+    return cmp.compare(asked, sft.where(some("sft", 8)), ppo.where(some("ppo", 7)), _scorer(spark, folder))
+
+
+@query
+def compare_with_gaps(spark, folder):
+    """The summary over unanswered questions, in all and by source."""
+    rows = _comparison_with_gaps(spark, folder)
+    return _summary(rows, ["source"]).unionByName(_summary(rows).withColumn("source", F.lit("all")))
+
+
+@query
+def compare_rows_with_gaps(spark, folder):
+    """Unanswered questions keep their rows, without a score or a difference."""
+    rows = _comparison_with_gaps(spark, folder)
+    return rows.select("source", "row_id", "question", "sft_response", "ppo_response", places("sft_rm_score"), places("ppo_rm_score"), places("score_diff"))
+
+
 @query
 def summary_text(spark, folder):
     """The printed summary."""
@@ -624,12 +679,88 @@ def stream_generated(spark, folder):
     return _answered_turns(spark, folder, qs.generated_answers(_repeater, max_new=512))
 
 
+# Replayed times begin a day after the epoch, where watermarks start.
+FIRST_MS = 86_400_000
+
+
+def _timed_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations with a time per turn, turn by turn; every fifth says the stop word in its third turn."""
+    turns = derived.table(spark, folder, "conversations")
+    says = (F.col("role") == "user") & (F.col("turn") == 2) & (F.col("conv_id") % 5 == 0)
+    return turns.select(
+        "conv_id", "turn", "role", F.when(says, " Exit\n").otherwise(F.col("text")).alias("text"),
+        F.timestamp_millis(FIRST_MS + F.col("turn") * 1000 + F.col("conv_id") % 1000).alias("ts"),
+    )
+
+
+@query
+def session_turns(spark, folder):
+    """Turns before the stop word of their conversation."""
+    return until_stop(_timed_turns(spark, folder).drop("ts"))
+
+
+@query
+def stream_sessions(spark, folder):
+    """The same over a stream of several micro-batches, each with a later part of every conversation."""
+    turns, source, path = _timed_turns(spark, folder), fresh_path(spark, "turns"), fresh_path(spark, "sessions")
+    late = write_slices(turns, "ts", source, 4)
+    arriving = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    kept = open_sessions(arriving, "ts", late, idle_ms=3_600_000)
+    qs.append_to(kept, path, f"{path}-progress").awaitTermination()
+    return spark.read.schema(turns.schema).parquet(path).drop("ts")
+
+
+# How long an answer may take to count, and how long the slowest takes.
+WAIT_MS, SLOWEST_MS = 45, 60
+
+
+@query
+def stream_joined_answers(spark, folder):
+    """Questions and answers arriving as two streams; an answer may be late or missing."""
+    turns = derived.table(spark, folder, "conversations").where("role = 'user'")
+    key = derived.exchange_id(F.col("conv_id"), F.col("turn")).alias("row_id")
+    asked = turns.select(key, F.col("text").alias("question"), F.timestamp_millis(FIRST_MS + F.col("conv_id") * 100 + F.col("turn")).alias("asked_at"))
+    slow = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit("slow|"), F.col("row_id").cast("string"))), 1, 8), 16, 10).cast("bigint"), F.lit(SLOWEST_MS))
+    given = inputs.exchanges(spark, folder).select(
+        "row_id", F.col("answer").alias("response"), F.timestamp_millis(FIRST_MS + F.col("conv_id") * 100 + F.col("turn") + slow).alias("answered_at")
+    )
+    questions, answers, path = (fresh_path(spark, name) for name in ("asked", "given", "joined"))
+    late = max((write_slices(df, time, place, 4) for df, time, place in ((asked, "asked_at", questions), (given, "answered_at", answers))), key=lambda w: int(w.split()[0]))
+    # Both sources say that they are done, under keys that no row has.
+    write_end(asked, "asked_at", questions, row_id=-1, question="")
+    write_end(given, "answered_at", answers, row_id=-2)
+    streams = [spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(place) for df, place in ((asked, questions), (given, answers))]
+    joined_up = qs.joined_answers(qs.open_prompts(streams[0], SYSTEM), streams[1], late, f"{WAIT_MS} milliseconds")
+    scored = qs.scored_answers(joined_up, batch_score_udf(_spacing)("text"), SYSTEM)
+    qs.append_to(scored, path, f"{path}-progress").awaitTermination()
+    return spark.read.parquet(path).select("row_id", "prompt", "response", places("score", 4))
+
+
+def _arriving_rollouts(spark: SparkSession, folder: str) -> tuple[DataFrame, str, str]:
+    """Stored rollouts as a stream, a later part of the run in each batch of files; its path and lateness."""
+    source = fresh_path(spark, "rollouts")
+    rows = _rollouts(spark, folder).select("run_id", "step", "slot", "reward", F.timestamp_millis(FIRST_MS + F.col("step") * 1000 + F.col("slot")).alias("rollout_ts"))
+    rows = written(rows, "replayed")
+    late = write_slices(rows, "rollout_ts", source, 4)
+    return rows, source, late
+
+
 @query
 def stream_step_rewards(spark, folder):
-    """Stored rollouts replayed as a stream; the last state of every step."""
-    source, path = fresh_path(spark, "rollouts"), fresh_path(spark, "running")
-    rows = _rollouts(spark, folder).select("run_id", "step", "reward")
-    rows.repartition(4, "step").write.parquet(source)
+    """Stored rollouts replayed as a stream; the last state of every step, from a store that merges its files."""
+    rows, source, _ = _arriving_rollouts(spark, folder)
     arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    sr.keep_latest(sr.running_rewards(arriving), path, f"{path}-progress").awaitTermination()
-    return _step_columns(sr.latest_steps(spark.read.parquet(path)))
+    store = sr.StepStore(spark, fresh_path(spark, "running"), every=2)
+    store.keep(sr.running_rewards(arriving), fresh_path(spark, "running-progress")).awaitTermination()
+    return _step_columns(store.read())
+
+
+@query
+def stream_step_rewards_bounded(spark, folder):
+    """Every step once, when its rollouts are in or none can come any more; every seventh step lacks one."""
+    rows, source, late = _arriving_rollouts(spark, folder)
+    write_end(rows, "rollout_ts", source, step=-1)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source).where("not (step % 7 = 0 and slot = 3) or rollout_ts is null")
+    path = fresh_path(spark, "closed")
+    qs.append_to(sr.closed_rewards(arriving, 8, late, idle_ms=60_000), path, f"{path}-progress").awaitTermination()
+    return _step_columns(spark.read.parquet(path), "complete")

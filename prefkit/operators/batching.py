@@ -25,16 +25,20 @@ def micro_batches(
 ) -> DataFrame:
     """Adds ``pos``, ``micro_batch`` and the optimiser step ``batch_id`` they add up to.
 
-    Positions follow the key, or the seeded hash order where a seed is given;
-    ``keys`` may then name a cheaper frame with the same keys, and ``by`` columns
-    (of both frames) whose values are numbered apart, such as ``split``.
+    Positions follow the key, or the seeded hash order where a seed is given. ``by``
+    names columns whose values are numbered apart, such as ``split``. ``keys`` may name a
+    cheaper frame with the same unique keys: only these are ranked, and the rows, often laid out by key
+    already, meet their ranks without moving to them.
     """
     if by and seed is None:
         raise ValueError("numbering by groups needs a seed")
     if seed is None:
         placed = number_rows(df, F.col(key).asc(), name="pos")
     else:
-        placed = hash_rank(df, key, seed, by, name="pos", keys=keys).withColumn("pos", F.col("pos") - 1).drop("pos_of")
+        ranked = df if keys is None else keys.select(*by, key)
+        placed = hash_rank(ranked, key, seed, by, name="pos").withColumn("pos", F.col("pos") - 1).drop("pos_of")
+        if keys is not None:
+            placed = df.join(placed, [*by, key])
     return placed.withColumn("micro_batch", batch_number(F.col("pos"), rows)).withColumn(
         "batch_id", batch_number(F.col("pos"), rows * accumulate)
     )

@@ -1,61 +1,182 @@
-"""A linear reward fitted on pairs with Spark ML."""
+"""A linear reward fitted on pairs, its loss and gradient aggregated by Spark.
+
+A text is the counts of its words, hashed to ``features`` places and scaled to length one. A pair is one sparse
+vector, the difference of its two texts: the probability that a is preferred to b is the
+logistic function of w.(x(a) - x(b)). The loss, with its penalty, has one optimum, and the
+length of the gradient says how far the weights can be from it.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefkit.functions.text import words
 from prefkit.operators.inference import Scorer
+from prefkit.sources.files import written
 
 FEATURES = 1 << 14
+# Weights are kept to nine places and summed as whole numbers, so that equal texts get equal scores.
+UNITS = 1_000_000_000
+# Steps the solver remembers.
+MEMORY = 8
 
 
-def _counted(df: DataFrame, text: str, features: int) -> DataFrame:
-    """Turns the text column into its word counts, scaled to length one."""
-    rows = df.withColumn("_words", words(F.col(text)))
-    rows = HashingTF(numFeatures=features, inputCol="_words", outputCol="_counts").transform(rows)
-    return Normalizer(inputCol="_counts", outputCol="_unit").transform(rows).withColumn(text, F.col("_unit")).select(*df.columns)
+def place_of(word: Column, features: int) -> Column:
+    """The place a word is hashed to; md5 because any engine has it."""
+    return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % features).cast("int")
 
 
-def fit_bradley_terry(
-    df: DataFrame, chosen: Column, rejected: Column, features: int = FEATURES, reg: float = 0.1, max_iter: int = 50
-) -> LogisticRegressionModel:
-    """Logistic regression without intercept on ordered pairs.
+def _places(df: DataFrame, keys: list[str], texts: dict[str, Column], features: int) -> DataFrame:
+    """(keys…, of, given, place): one row per word; a text without words keeps one without a place."""
+    sides = F.array(*[F.struct(F.lit(n).alias("of"), t.isNotNull().alias("given"), words(t).alias("w")) for n, t in texts.items()])
+    tokens = df.select(*keys, F.inline(sides)).select(*keys, "of", "given", F.explode_outer("w").alias("w"))
+    return tokens.select(*keys, "of", "given", place_of(F.col("w"), features).alias("place"))
+
 
-    Each pair is shown in both orders, (chosen, rejected) as 1 and the reverse
-    as 0. The optimum is then antisymmetric in the two halves of the feature
-    vector, so the margin is w.x(chosen) - w.x(rejected).
+def pair_vectors(df: DataFrame, chosen: Column, rejected: Column, key: str, features: int) -> DataFrame:
+    """(key, places, values) of every pair, written once below the shared folder.
+
+    The texts are laid out by key before they are exploded; nothing else moves. Pairs without a difference stay, as empty vectors.
     """
-    pairs = df.select(chosen.alias("_c"), rejected.alias("_r"))
-    pairs = _counted(_counted(pairs, "_c", features), "_r", features)
-    shown = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("_c").alias("_1"), F.col("_r").alias("_2")),
-        F.struct(F.lit(0.0).alias("label"), F.col("_r").alias("_1"), F.col("_c").alias("_2")),
-    )
-    rows = VectorAssembler(inputCols=["_1", "_2"], outputCol="features").transform(pairs.select(F.inline(shown)))
-    # The fit passes over the features twice before it keeps its own copy.
-    rows = rows.select("label", "features").persist(StorageLevel.DISK_ONLY)
+    texts = {"chosen": chosen, "rejected": rejected}
+    laid = df.select(key, *[t.alias(n) for n, t in texts.items()]).repartition(key)
+    rows = _places(laid, [key], {n: F.col(n) for n in texts}, features)
+    counts = rows.groupBy(key, "place").agg(*[F.count_if((F.col("of") == n) & F.col("place").isNotNull()).alias(n) for n in texts])
+    lengths = [F.sqrt(F.sum(F.col(n) * F.col(n)).cast("double")).alias(f"_{n}") for n in texts]
+    entries = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", *texts))))
+    whole = counts.groupBy(key).agg(entries.alias("e"), *lengths)
+    part = lambda e, n: F.coalesce(F.try_divide(e[n].cast("double"), F.col(f"_{n}")), F.lit(0.0))
+    difference = F.transform("e", lambda e: F.struct(e["place"].alias("place"), (part(e, "chosen") - part(e, "rejected")).alias("v")))
+    differing = whole.select(key, F.filter(difference, lambda d: d["v"] != 0).alias("d"))
+    vectors = differing.select(key, F.transform("d", lambda d: d["place"]).alias("places"), F.transform("d", lambda d: d["v"]).alias("values"))
+    return written(vectors, "pair-vectors")
+
+
+def _sums(weights: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, v): the pairs' pull on each weight; their number at place -1, their loss at -2."""
+    pull, loss, n = np.zeros(len(weights)), 0.0, 0
+    for batch in batches:
+        lists = batch.column("places")
+        places, values = lists.flatten().to_numpy(zero_copy_only=False), batch.column("values").flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        margin = np.bincount(row, values * weights[places], batch.num_rows)
+        wrong = np.exp(-np.logaddexp(0, margin))
+        pull += np.bincount(places, values * wrong[row], len(weights))
+        loss += float(np.logaddexp(0, -margin).sum())
+        n += batch.num_rows
+    at = np.flatnonzero(pull)
+    place, v = np.append(at, [-1, -2]), np.append(pull[at], [n, loss])
+    yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(v)], names=["place", "v"])
+
+
+def loss_and_gradient(vectors: DataFrame, weights: np.ndarray, reg: float) -> tuple[float, np.ndarray]:
+    """Mean loss with its penalty, and its gradient. What leaves Spark is one number per feature."""
+    shared = vectors.sparkSession.sparkContext.broadcast(weights)
     try:
-        return LogisticRegression(fitIntercept=False, regParam=reg, maxIter=max_iter).fit(rows)
+        parts = vectors.select("places", "values").mapInArrow(lambda batches: _sums(shared.value, batches), "place int, v double")
+        sums = parts.groupBy("place").agg(F.sum("v").alias("v")).toPandas()
     finally:
-        rows.unpersist()
+        shared.destroy()
+    place, v = sums["place"].to_numpy(), sums["v"].to_numpy()
+    n, loss = float(v[place == -1].sum()), float(v[place == -2].sum())
+    if n == 0:
+        return 0.0, reg * weights
+    gradient = reg * weights
+    gradient[place[place >= 0]] -= v[place >= 0] / n
+    return loss / n + reg / 2 * float(weights @ weights), gradient
+
+
+def minimise(measure: Callable[[np.ndarray], tuple[float, np.ndarray]], size: int, curvature: float, short: float, most: int) -> tuple[np.ndarray, float]:
+    """Weights and the length of their gradient, by L-BFGS from zero; a step that does not lower the loss is retried as a short one.
+
+    ``curvature`` bounds that of the loss, so a step of its inverse along the gradient always lowers it.
+    """
+    weights = np.zeros(size)
+    loss, gradient = measure(weights)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(most):
+        length = float(np.linalg.norm(gradient))
+        if length <= short:
+            break
+        step, along = gradient.copy(), []
+        for move, change in reversed(moves):
+            a = (move @ step) / (move @ change)
+            along.append(a)
+            step -= a * change
+        step *= (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / curvature
+        for (move, change), a in zip(moves, reversed(along), strict=True):
+            step += move * (a - (change @ step) / (move @ change))
+        lower, following = measure(weights - step)
+        if not lower <= loss:
+            step, moves = gradient / curvature, []
+            lower, following = measure(weights - step)
+        moves = [*moves, (-step, following - gradient)][-MEMORY:]
+        weights, loss, gradient = weights - step, lower, following
+    return weights, float(np.linalg.norm(gradient))
 
 
-def bradley_terry_scorer(model: LogisticRegressionModel) -> Scorer:
-    """The margin of a text against an empty one."""
-    features = model.numFeatures // 2
+@dataclass(frozen=True)
+class BradleyTerry:
+    """The fitted weights and the length of the loss's gradient there.
+
+    The loss curves at least as much as its penalty, so the only optimum is within ``distance`` of the weights,
+    and a pair's margin within that, times the length of its vector, of its own.
+    """
+
+    weights: np.ndarray
+    gradient: float
+    reg: float
+
+    @property
+    def distance(self) -> float:
+        return self.gradient / self.reg
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(place, weight); as many rows as features."""
+        columns = pa.table({"place": pa.array(np.arange(len(self.weights), dtype=np.int32)), "weight": pa.array(self.weights)})
+        return spark.createDataFrame(columns)
+
+
+def fit_bradley_terry(
+    df: DataFrame,
+    chosen: Column,
+    rejected: Column,
+    features: int = FEATURES,
+    reg: float = 0.1,
+    distance: float = 1e-5,
+    max_iter: int = 100,
+    key: str = "row_id",
+) -> BradleyTerry:
+    """Logistic regression without intercept on the pairs' difference vectors, to within ``distance`` of its optimum."""
+    vectors = pair_vectors(df, chosen, rejected, key, features)
+    # A difference of two vectors of length one is at most two long; the logistic loss curves by a quarter at most.
+    weights, gradient = minimise(lambda w: loss_and_gradient(vectors, w, reg), features, reg + 1.0, distance * reg, max_iter)
+    return BradleyTerry(weights, gradient, reg)
+
+
+def bradley_terry_scorer(model: BradleyTerry) -> Scorer:
+    """w.x of a text; 0 for a text without words, null for a null text."""
+    features = len(model.weights)
 
     def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
-        rows = df.select(*keys, *(keep or []), *[t.alias(n) for n, t in texts.items()])
-        columns = rows.columns
-        rows = _counted(rows.withColumn("_none", F.lit("")), "_none", features)
-        for name in texts:
-            pair = VectorAssembler(inputCols=[name, "_none"], outputCol="features").transform(_counted(rows, name, features))
-            rows = model.transform(pair).withColumn(name, vector_to_array("rawPrediction")[1]).select(*columns, "_none")
-        return rows.select(*columns)
+        counts = _places(df, keys, texts, features).groupBy(*keys, "of", "given", "place").agg(F.count("place").alias("n"))
+        units = model.table(df.sparkSession).select("place", F.round(F.col("weight") * UNITS).cast("bigint").alias("units"))
+        # The table has one row per feature.
+        found = counts.join(F.broadcast(units), "place", "left")
+
+        def reward(name: str) -> Column:
+            here = F.col("of") == name
+            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")) * F.col("n"))).cast("double")
+            length = F.sqrt(F.sum(F.when(here, F.col("n") * F.col("n"))).cast("double"))
+            return F.when(F.max(here & F.col("given")), F.coalesce(F.try_divide(total, length) / UNITS, F.lit(0.0))).alias(name)
+
+        scores = found.groupBy(*keys).agg(*[reward(n) for n in texts])
+        return df.select(*keys, *keep).join(scores, keys) if keep else scores
 
     return score

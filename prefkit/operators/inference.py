@@ -54,13 +54,20 @@ def generate(
     return rows.mapInPandas(answer, schema)
 
 
-def encode_udf(make_encoder: Callable[[], Callable[[str], Sequence[int]]]):
-    """A column function text -> ids for a caller's tokenizer, in place of the word vocabulary."""
+def encode_udf(make_encoder: Callable[[], Callable[[Sequence[str]], Sequence[Sequence[int]]]], batch_size: int = 1024):
+    """A column function text -> ids for a caller's tokenizer, in place of the word vocabulary.
+
+    The tokenizer is given lists of at most ``batch_size`` texts; a null text is not shown to it and has null ids.
+    """
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = make_encoder()
         for texts in batches:
-            yield texts.map(lambda t: list(encoder(t)), na_action="ignore")
+            given = texts.dropna()
+            ids: list = []
+            for low in range(0, len(given), batch_size):
+                ids += [list(found) for found in encoder(given.iloc[low : low + batch_size].tolist())]
+            yield pd.Series(ids, index=given.index, dtype=object).reindex(texts.index).where(texts.notna(), None)
 
     return encode

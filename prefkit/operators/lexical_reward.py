@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.tokens import truncate
 from prefkit.operators.inference import Scorer
-from prefkit.operators.lookup import lookup
+from prefkit.operators.lookup import is_small, lookup
 from prefkit.operators.vocabulary import chat_words
 from prefkit.session import shared_folder
+from prefkit.sources.files import written
 
 
 # Weights are kept to nine places and summed as whole numbers, so that equal
@@ -40,21 +41,35 @@ def fit_log_odds(df: DataFrame, chosen: Column, rejected: Column, max_len: int |
 
 
 def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Scorer:
-    """The mean weight of a text's words; an unseen word weighs nothing."""
+    """The mean weight of a text's words; an unseen word weighs nothing, a null text has no score.
+
+    Each text is reduced to its distinct words and their numbers before it meets a
+    table too large to broadcast.
+    """
 
     def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
         sides = F.array(
-            *[F.struct(F.lit(n).alias("_of"), truncate(chat_words(t), max_len).alias("_w")) for n, t in texts.items()]
+            *[
+                F.struct(F.lit(n).alias("_of"), t.isNotNull().alias("_given"), truncate(chat_words(t), max_len).alias("_w"))
+                for n, t in texts.items()
+            ]
         )
-        tokens = df.select(*keys, F.inline(sides)).select(*keys, "_of", F.explode_outer("_w").alias("tok"))
+        tokens = df.select(*keys, F.inline(sides)).select(*keys, "_of", "_given", F.explode_outer("_w").alias("tok"))
         units = F.round(F.col("weight") * UNITS).cast("bigint").alias("units")
-        found = lookup(tokens, weights.select("tok", "cnt", units), "tok")
+        table = weights.select("tok", "cnt", units)
+        small = is_small(table, "tok")
+        if small:
+            found = lookup(tokens, table, "tok", small).withColumn("_n", F.lit(1).cast("bigint"))
+        else:
+            counted = tokens.groupBy(*keys, "_of", "_given", "tok").agg(F.count(F.lit(1)).alias("_n"))
+            found = lookup(written(counted, "text-words"), table, "tok", small)
 
         def mean(name: str) -> Column:
             here = F.col("_of") == name
-            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")))).cast("double")
-            words = F.count(F.when(here, F.col("tok"))).cast("double")
-            return F.coalesce(F.try_divide(total, words) / UNITS, F.lit(0.0)).alias(name)
+            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")) * F.col("_n"))).cast("double")
+            words = F.sum(F.when(here & F.col("tok").isNotNull(), F.col("_n"))).cast("double")
+            value = F.coalesce(F.try_divide(total, words) / UNITS, F.lit(0.0))
+            return F.when(F.max(here & F.col("_given")), value).alias(name)
 
         scores = found.groupBy(*keys).agg(*[mean(n) for n in texts])
         return df.select(*keys, *keep).join(scores, keys) if keep else scores

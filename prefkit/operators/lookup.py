@@ -1,4 +1,4 @@
-"""Attaching a per-token value to exploded tokens."""
+"""Attaching a value to words, one by one or once per text."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def is_small(table: DataFrame, key: str) -> bool:
 def lookup(tokens: DataFrame, table: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """Left join of ``tokens`` with a stored ``table`` (``key``, ``cnt``, values).
 
-    A small table is broadcast. Otherwise the tokens themselves are counted, and
+    A small table is broadcast. Otherwise ``tokens``, which should then be stored and hold each word of a text once, are counted, and
     the hot ones, in the table or not, are broadcast with what the table says of
     them; the rest, none of which is frequent among the tokens, is joined by
     shuffling. ``small`` passes on a size check that was made already.

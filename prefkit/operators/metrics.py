@@ -26,15 +26,26 @@ def pairwise_loss(scored: DataFrame, center: float = 0.01) -> DataFrame:
 
 
 def comparison_summary(rows: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
-    """n, mean scores, lift, wins of ``b`` and win rate, over everything or by group."""
-    wins = F.count_if(beats(F.col(b), F.col(a)))
+    """Counts, mean scores, lift, wins of ``b`` and win rate, over everything or by group.
+
+    ``n`` counts all rows, ``n_answered_a`` and ``n_answered_b`` the scored ones of each side, ``n_paired`` those
+    scored on both. Means, lift, wins and rate are over the pairs, so both sides answer the same
+    questions and the lift is the mean difference.
+    """
+    one, two = F.col(a), F.col(b)
+    paired = one.isNotNull() & two.isNotNull()
+    wins, pairs = F.count_if(beats(two, one)), F.count_if(paired)
+    mean_a, mean_b = F.avg(F.when(paired, one)), F.avg(F.when(paired, two))
     return rows.groupBy(*(by or [])).agg(
         n_rows().alias("n"),
-        F.avg(a).alias("mean_a"),
-        F.avg(b).alias("mean_b"),
-        (F.avg(b) - F.avg(a)).alias("lift"),
+        F.count(one).alias("n_answered_a"),
+        F.count(two).alias("n_answered_b"),
+        pairs.alias("n_paired"),
+        mean_a.alias("mean_a"),
+        mean_b.alias("mean_b"),
+        (mean_b - mean_a).alias("lift"),
         wins.alias("wins"),
-        percent(wins, n_rows()).alias("win_rate"),
+        percent(wins, pairs).alias("win_rate"),
     )
 
 

@@ -15,11 +15,12 @@ def test_rows(fraction: float) -> Callable[[Column], Column]:
 
 
 def ordered_split(df: DataFrame, fraction: float, key: str = "row_id") -> DataFrame:
-    """Adds ``split``; the test side is the tail of the key order."""
+    """Adds ``split``; the test side is the tail of the key order. A row without a key has no place in it and is an error."""
     size = test_rows(fraction)
     last_train = key_edge(df, key, lambda n: n - size(n))
+    known = F.coalesce(F.col(key), F.raise_error(F.lit("a row has no key")).cast("bigint"))
     # Without a last train row everything is on the test side.
-    test = F.coalesce(F.col(key) > last_train.scalar(), F.lit(True))
+    test = F.coalesce(known > last_train.scalar(), F.lit(True))
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 

@@ -13,6 +13,7 @@ from prefkit.functions.text import words
 from prefkit.functions.tokens import truncate
 from prefkit.operators.lookup import is_small, lookup
 from prefkit.operators.positions import number_rows
+from prefkit.sources.files import written
 
 # Ids below the first word: padding, unknown word and the chat markers.
 SPECIALS = (END_OF_TEXT, "<unk>", OPEN, CLOSE, "<think>", "</think>")
@@ -45,17 +46,24 @@ class Vocabulary:
         )
         return self.table.unionByName(marks)
 
-    def attach(self, df: DataFrame, row_key: str, key: str, explode: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Explodes ``df`` and looks every item up, leaving the items of a row together.
+    def attach(self, df: DataFrame, row_key: str, keys: list[str], key: str, explode: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Explodes ``df``, looks every item up and packs it again: (keys…, ``key``, at, looked up values).
 
-        With a broadcast table the rows are laid out by their key before they
-        are exploded: what moves is the text, which is smaller than its
-        tokens, and collecting the tokens again moves nothing.
+        The rows are laid out by their key before they are exploded: what moves is
+        the text, which is smaller than its tokens. With a broadcast table every token keeps a row, ``at`` holds
+        its one place, and collecting the tokens again moves nothing. Beyond that a text is reduced
+        to its distinct items with all their places, stored once; only these are shuffled to the table and back.
         """
         table = self.lookup_table()
-        small = is_small(table, key)
-        rows = explode(df.repartition(row_key) if small else df)
-        return lookup(rows, table, key, small=small)
+        if is_small(table, key):
+            rows = explode(df.repartition(row_key))
+            return lookup(rows.select(*keys, key, F.array("pos").alias("at")), table, key, small=True)
+        return lookup(written(text_entries(explode(df.repartition(row_key)), keys, key), "text-entries"), table, key, small=False)
+
+
+def text_entries(tokens: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """(keys…, ``key``, at): the distinct items of each text with their places."""
+    return tokens.groupBy(*keys, key).agg(F.collect_list("pos").alias("at"))
 
 
 def build_vocabulary(df: DataFrame, *texts: Column) -> Vocabulary:
@@ -80,10 +88,11 @@ def token_rows(df: DataFrame, key: str, texts: Mapping[str, Column], max_len: in
     )
 
 
-def _collect(value: Column, when: Column) -> Column:
+def _collect(value: Column, when: Column, item: str) -> Column:
     """Values in text order. One list never exceeds one text."""
-    pairs = F.array_sort(F.collect_list(F.when(when & F.col("pos").isNotNull(), F.struct("pos", value.alias("v")))))
-    return F.transform(pairs, lambda p: p["v"])
+    packed = F.collect_list(F.when(when & F.col(item).isNotNull(), F.struct(F.col("at"), value.alias("v"))))
+    pairs = F.flatten(F.transform(packed, lambda e: F.transform(e["at"], lambda pos: F.struct(pos.alias("pos"), e["v"].alias("v")))))
+    return F.transform(F.array_sort(pairs), lambda p: p["v"])
 
 
 def encode(
@@ -98,15 +107,15 @@ def encode(
 
     ``with_text`` adds ``<name>_text``, what decoding the ids would give, without a second lookup.
     """
-    rows = vocabulary.attach(df, key, "tok", lambda laid: token_rows(laid, key, texts, max_len))
+    rows = vocabulary.attach(df, key, [key, "side", "cut"], "tok", lambda laid: token_rows(laid, key, texts, max_len))
     number = F.coalesce(F.col("id"), F.lit(UNK_ID)).cast("int")
     known = F.when(F.col("id").isNull(), vocabulary.specials[UNK_ID]).otherwise(F.col("tok"))
     out = []
     for name in texts:
         here = F.col("side") == name
-        out += [_collect(number, here).alias(name), F.max(here & F.col("cut")).alias(f"{name}_cut")]
+        out += [_collect(number, here, "tok").alias(name), F.max(here & F.col("cut")).alias(f"{name}_cut")]
         if with_text:
-            out.append(F.array_join(_collect(known, here), " ").alias(f"{name}_text"))
+            out.append(F.array_join(_collect(known, here, "tok"), " ").alias(f"{name}_text"))
     return rows.groupBy(key).agg(*out)
 
 
@@ -118,5 +127,5 @@ def decode(df: DataFrame, key: str, ids: str, vocabulary: Vocabulary, skip_speci
         items = laid.select(key, F.posexplode_outer(wanted).alias("pos", "_id"))
         return items.select(key, "pos", F.col("_id").cast("bigint").alias("id"))
 
-    found = vocabulary.attach(df, key, "id", explode)
-    return found.groupBy(key).agg(F.array_join(_collect(F.col("tok"), F.lit(True)), " ").alias(name))
+    found = vocabulary.attach(df, key, [key], "id", explode)
+    return found.groupBy(key).agg(F.array_join(_collect(F.col("tok"), F.lit(True), "id"), " ").alias(name))

@@ -78,6 +78,7 @@ def summary_text(summary: DataFrame, a: str = "SFT", b: str = "PPO") -> DataFram
     lines = F.concat_ws(
         "\n",
         F.concat(F.lit("Questions: "), F.col("n").cast("string")),
+        F.when(F.col("n_paired") < F.col("n"), F.concat(F.lit("Answered by both: "), F.col("n_paired").cast("string"))),
         F.concat(F.lit(f"Mean {a} score: "), four_places(F.col("mean_a"))),
         F.concat(F.lit(f"Mean {b} score: "), four_places(F.col("mean_b"))),
         F.concat(F.lit("Lift: "), four_places(F.col("lift"))),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from prefkit.plans.model_comparison import RESULT_COLUMNS, in_input_order
 from prefkit.session import shared_folder
@@ -32,10 +32,27 @@ def append_step_metrics(steps: DataFrame, path: str) -> None:
     steps.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
-def export_training_set(df: DataFrame, path: str, batch: str | None = None, partitions: int | None = None) -> None:
-    """Writes a training set by split; rows of one batch stay together in one file, in order."""
-    if batch is not None:
-        keys: list[Column] = [F.col(batch)]
-        laid = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
-        df = laid.sortWithinPartitions("split", batch, "row_id")
-    df.write.mode("errorifexists").partitionBy("split").parquet(path)
+def export_training_set(df: DataFrame, table: str, path: str, batch: str = "batch_id", buckets: int = 64) -> None:
+    """Writes a training set as a table at ``path``, by split and bucketed by batch.
+
+    A batch lies in one file, its rows in key order; a trainer that asks for one batch opens one bucket,
+    and grouping by batch moves nothing.
+    """
+    laid = df.repartition(buckets, F.col(batch)).sortWithinPartitions("split", batch, "row_id")
+    writer = laid.write.mode("errorifexists").partitionBy("split").bucketBy(buckets, batch).sortBy(batch, "row_id")
+    writer.option("path", path).saveAsTable(table)
+
+
+def open_training_set(spark: SparkSession, table: str, path: str, schema: T.StructType, batch: str = "batch_id", buckets: int = 64) -> None:
+    """Names an exported set in another session's catalog."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(f for f in schema if f.name != "split"), schema["split"]])
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (split)"
+        f" CLUSTERED BY ({batch}) SORTED BY ({batch}, row_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def read_batch(spark: SparkSession, table: str, split: str, number: int, batch: str = "batch_id") -> DataFrame:
+    """One batch of an exported set."""
+    return spark.table(table).where((F.col("split") == split) & (F.col(batch) == F.lit(number).cast(spark.table(table).schema[batch].dataType)))

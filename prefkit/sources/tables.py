@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import posixpath
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from prefkit import schemas
+from prefkit.sources import files as files_
 
 CSV_OPTIONS = {
     "header": True,
@@ -15,11 +22,15 @@ CSV_OPTIONS = {
 }
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A table in parquet, orc, json or csv under a declared schema."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", line_ends: bool = True) -> DataFrame:
+    """A table in parquet, orc, json or csv under a declared schema.
+
+    A csv file whose fields hold line ends has to be read by one task. Without (``line_ends`` false) files are
+    split like those of any other format.
+    """
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+        reader = reader.options(**CSV_OPTIONS | {"multiLine": line_ends})
     return reader.format(fmt).load(path)
 
 
@@ -37,13 +48,13 @@ def load_unkeyed_preferences(spark: SparkSession, path: str, stored: str, fmt: s
     return keyed.select(*schemas.PREFERENCES.fieldNames())
 
 
-def load_preferences(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet") -> DataFrame:
+def load_preferences(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet", line_ends: bool = True) -> DataFrame:
     """row_id, question, chosen, rejected; ``split`` names a ``split=…`` folder, others are not read."""
     schema = schemas.PREFERENCES
     if split is None:
-        return require_keys(read_table(spark, path, schema, fmt))
+        return require_keys(read_table(spark, path, schema, fmt, line_ends))
     wide = T.StructType([*schema.fields, T.StructField("split", T.StringType())])
-    return require_keys(read_table(spark, path, wide, fmt).where(F.col("split") == split).drop("split"))
+    return require_keys(read_table(spark, path, wide, fmt, line_ends).where(F.col("split") == split).drop("split"))
 
 
 def load_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -51,17 +62,26 @@ def load_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return read_table(spark, path, schemas.RESPONSES, fmt)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write left its marker; a job that died half-way leaves none."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def manifest_of(df: DataFrame) -> str:
+    """What a frame is made of: its columns, its plan, and the folders it reads with their files' sizes and times."""
+    folders = sorted({posixpath.dirname(unquote(path)) for path in df.inputFiles()})
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    # Ids of expressions and of rows in memory are numbered anew in every session.
+    plan = re.sub(r"#\d+L?|plan_id=\d+|\[\d+\] at .*", "", plan)
+    return json.dumps({"columns": json.loads(df.schema.json()), "plan": hashlib.sha256(plan.encode()).hexdigest(), "folders": folders, "sources": files_.listing(df.sparkSession, folders)}, indent=1)
 
 
 def cached_copy(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """Writes ``df`` to parquet once and reads it back; a finished copy is reused."""
+    """Writes ``df`` to parquet once and reads it back.
+
+    A finished copy is reused while its manifest says that it was made of the same files, by the same plan; otherwise it is
+    written anew. Rows that live in the driver are part of their plan; an RDD's are not, so its copies are always made anew.
+    """
     spark = df.sparkSession
-    if not is_complete(spark, path):
+    manifest, place = manifest_of(df), f"{path}/_manifest.json"
+    if not files_.is_complete(spark, path) or files_.read_text(spark, place) != manifest:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        files_.write_text(spark, place, manifest)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

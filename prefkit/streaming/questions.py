@@ -41,6 +41,21 @@ def generated_answers(make_generator: Callable[[], Generator], max_new: int) ->
     return answer
 
 
+def joined_answers(prompts: DataFrame, answers: DataFrame, late: str, wait: str) -> DataFrame:
+    """Prompts with the answers another stream brings, as (row_id, question, prompt, response).
+
+    ``prompts`` has row_id, question, prompt, asked_at, ``answers`` row_id, response, answered_at. An answer counts when
+    it is given within ``wait`` of its question; a question that gets none comes out once, with
+    a null, when the watermark says that none can come any more. Both sides are
+    kept only for as long: state is bounded by the rows of ``late`` and ``wait``, not by the tables.
+    """
+    asked = prompts.select("row_id", "question", "prompt", "asked_at").withWatermark("asked_at", late)
+    given = answers.select(F.col("row_id").alias("_answers"), "response", "answered_at").withWatermark("answered_at", late)
+    in_time = F.expr(f"answered_at >= asked_at and answered_at <= asked_at + interval {wait}")
+    joined = asked.join(given, (F.col("row_id") == F.col("_answers")) & in_time, "left_outer")
+    return joined.select("row_id", "question", "prompt", "response")
+
+
 def answered_stream(
     prompts: DataFrame,
     answer: Callable[[DataFrame], DataFrame],
@@ -53,8 +68,13 @@ def answered_stream(
     ``score`` is a column over ``text``, for example a batch model; it is given
     an empty text, and its result dropped, where there is no answer.
     """
+    return scored_answers(answer(prompts), score, system, template)
+
+
+def scored_answers(answered: DataFrame, score: Column, system: str, template: ChatTemplate = CHATML) -> DataFrame:
+    """row_id, prompt, response and the score of the conversation, null without an answer."""
     text = render(answered_messages(system, F.col("question"), F.col("response")), template)
-    answered = answer(prompts).withColumn("text", F.coalesce(text, F.lit("")))
+    answered = answered.withColumn("text", F.coalesce(text, F.lit("")))
     return answered.select("row_id", "prompt", "response", F.when(F.col("response").isNotNull(), score).alias("score"))
 
 

@@ -104,3 +104,10 @@ def test_padding(spark):
     assert one(spark, tk.pad_mask(ids(1), F.lit(3))) == [1, 0, 0]
     assert one(spark, tk.pad_mask(ids(1), F.lit(3), left=True)) == [0, 0, 1]
     assert (padding_id(None, 4), padding_id(0, 4)) == (4, 0)
+
+
+def test_a_message_without_a_text_renders_to_null(spark):
+    rows = spark.createDataFrame([(1, "q", "a"), (2, None, "a"), (3, "q", None), (4, "", "")], "i int, q string, a string")
+    messages = chat.answered_messages("s", F.col("q"), F.col("a"))
+    got = {r["i"]: r["t"] for r in rows.select("i", chat.render(messages).alias("t")).collect()}
+    assert got[1] and got[4] and got[2] is None and got[3] is None

@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from prefkit.catalog.oracle import oracle_sql
+from prefkit.catalog.queries import CATALOG
 from tests.oracle_check import connect, spark_rows, sql_rows
 
-ROWS_ONLY = {"bradley_terry"}
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,13 @@ def db(data):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert not set(entry.oracle_sql()) - set(entry.queries())
+    assert set(CATALOG) == set(SQL)
+    assert set(CATALOG) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_same_as_sql(spark, db, data, name):
-    assert spark_rows(entry.queries()[name](spark, data)) == sql_rows(db, entry.oracle_sql()[name])
+    assert spark_rows(CATALOG[name](spark, data)) == sql_rows(db, SQL[name])
 
 
 def test_entry(spark, data):

@@ -137,3 +137,23 @@ def test_pad_batches(spark):
     rows = spark.createDataFrame([(1, 0, [1]), (2, 0, [1, 2, 3]), (3, 1, [9]), (4, 1, [])], "row_id bigint, batch_id bigint, ids array<int>")
     got = {r["row_id"]: (r["ids"], r["mask"]) for r in batching.pad_batches(rows, "ids", 0).collect()}
     assert got == {1: ([1, 0, 0], [1, 0, 0]), 2: ([1, 2, 3], [1, 1, 1]), 3: ([9], [1]), 4: ([0], [0])}
+
+
+def test_a_row_without_a_key_is_an_error(spark):
+    rows = spark.createDataFrame([(1,), (None,), (3,)], "row_id bigint")
+    for split in (lambda d: sp.ordered_split(d, 0.5), lambda d: sp.seeded_split(d, 0.5, 1)):
+        with pytest.raises(Exception, match="a row has no key"):
+            split(rows).collect()
+
+
+def test_draws_from_more_than_a_million_places(spark):
+    got = sa.step_draws(spark, 5_000_000, 40, 8, 3).collect()
+    assert len({(r["step"], r["pos"]) for r in got}) == 320 and max(r["pos"] for r in got) > 4_000_000
+
+
+def test_batches_are_numbered_apart_on_each_side(spark):
+    rows = spark.range(100).select(F.col("id").alias("row_id"), F.when(F.col("id") % 4 == 0, "test").otherwise("train").alias("split"), F.lit("x").alias("wide"))
+    placed = batching.micro_batches(rows, rows=4, accumulate=2, seed=1, keys=rows.select("split", "row_id"), by=["split"]).collect()
+    for name, n in (("test", 25), ("train", 75)):
+        mine = [r for r in placed if r["split"] == name]
+        assert sorted(r["pos"] for r in mine) == list(range(n)) and all(r["batch_id"] == r["pos"] // 8 and r["wide"] == "x" for r in mine)

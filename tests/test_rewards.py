@@ -1,13 +1,14 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 import pytest
 
-from prefkit.operators import metrics
-from prefkit.operators.bradley_terry import bradley_terry_scorer, fit_bradley_terry
-from prefkit.operators.inference import batch_score_udf, generate, model_scorer
+from prefkit.operators import bradley_terry as bt, metrics
+from prefkit.operators.inference import batch_score_udf, encode_udf, generate, model_scorer
 from prefkit.operators.lexical_reward import fit_log_odds, log_odds_scorer
+from prefkit.plans import model_comparison as cmp
 from prefkit.plans.pairwise_eval import judged, pairwise_eval, score_pairs
 from prefkit.sources.derived import labelled_preferences
 
@@ -127,13 +128,89 @@ def test_first_rows_clamp(pairs, weights):
     assert got["total"] == 2
 
 
-def test_bradley_terry(pairs):
-    model = fit_bradley_terry(pairs, F.col("chosen"), F.col("rejected"), features=64)
-    half = model.numFeatures // 2
-    weights = model.coefficients.toArray()
-    assert max(abs(weights[:half] + weights[half:])) < 1e-4
-    got = {r["row_id"]: (r["c"], r["r"]) for r in bradley_terry_scorer(model)(pairs, ["row_id"], {"c": F.col("chosen"), "r": F.col("rejected")}).collect()}
+def dense_optimum(vectors, reg, features):
+    """The same fit by plain gradient descent in memory."""
+    rows = vectors.collect()
+    x = np.zeros((len(rows), features))
+    for i, r in enumerate(rows):
+        x[i, r["places"]] = r["values"]
+    w = np.zeros(features)
+    for _ in range(3000):
+        w -= (reg * w - (x / (1 + np.exp(x @ w))[:, None]).mean(0)) / (reg + 1)
+    return w
+
+
+def test_bradley_terry(spark, pairs):
+    model = bt.fit_bradley_terry(pairs, F.col("chosen"), F.col("rejected"), features=64, distance=1e-9)
+    got = {r["row_id"]: (r["c"], r["r"]) for r in bt.bradley_terry_scorer(model)(pairs, ["row_id"], {"c": F.col("chosen"), "r": F.col("rejected")}).collect()}
     assert got[1][0] > got[1][1] and got[2][0] > got[2][1] and got[3][0] == got[3][1] and got[4][0] == 0.0
+    vectors = bt.pair_vectors(pairs, F.col("chosen"), F.col("rejected"), "row_id", 64)
+    assert model.distance <= 1e-9 and np.allclose(model.weights, dense_optimum(vectors, 0.1, 64), atol=1e-8)
+    # Swapping the sides turns the reward round.
+    swapped = bt.fit_bradley_terry(pairs, F.col("rejected"), F.col("chosen"), features=64, distance=1e-9)
+    assert np.allclose(model.weights, -swapped.weights, atol=1e-8)
+
+
+def test_the_gradient_is_that_of_the_loss(pairs):
+    vectors = bt.pair_vectors(pairs, F.col("chosen"), F.col("rejected"), "row_id", 16)
+    weights = np.linspace(-1, 1, 16)
+    loss, gradient = bt.loss_and_gradient(vectors, weights, 0.1)
+    for i in (0, 3, 9):
+        step = np.eye(16)[i] * 1e-6
+        up, down = (bt.loss_and_gradient(vectors, w, 0.1)[0] for w in (weights + step, weights - step))
+        assert (up - down) / 2e-6 == pytest.approx(gradient[i], abs=1e-6)
+
+
+def test_bradley_terry_of_nothing(spark, pairs):
+    model = bt.fit_bradley_terry(pairs.where("false"), F.col("chosen"), F.col("rejected"), features=16)
+    assert not model.weights.any() and model.gradient == 0.0
+    nulls = spark.createDataFrame([(1, None, "bad")], "row_id bigint, c string, r string")
+    fitted = bt.fit_bradley_terry(pairs, F.col("chosen"), F.col("rejected"), features=16)
+    assert bt.bradley_terry_scorer(fitted)(nulls, ["row_id"], {"c": F.col("c"), "r": F.col("r")}).first()["c"] is None
+
+
+def test_a_null_answer_has_no_score_and_never_wins(spark, weights):
+    rows = [(1, "q", None, "bad"), (2, "q", "good", None), (3, "q", "good", "bad"), (4, None, "good", "bad"), (5, "q", "", "bad")]
+    rows = spark.createDataFrame(rows, "row_id bigint, question string, chosen string, rejected string")
+    scored = {r["row_id"]: (r["chosen_score"], r["rejected_score"]) for r in score_pairs(rows, log_odds_scorer(weights), "s").collect()}
+    assert scored[1][0] is None and scored[2][1] is None and scored[4] == (None, None)
+    assert scored[1][1] is not None and scored[5][0] is not None
+    verdicts = {r["row_id"]: r["verdict"] for r in judged(score_pairs(rows, log_odds_scorer(weights), "s")).collect()}
+    assert verdicts == {1: "Incorrect", 2: "Incorrect", 3: "Correct", 4: "Incorrect", 5: "Correct"}
+
+
+def test_means_and_lift_are_over_the_pairs(spark):
+    rows = spark.createDataFrame([(1.0, None), (2.0, 5.0), (None, 9.0), (None, None), (4.0, 3.0)], "a double, b double")
+    got = metrics.comparison_summary(rows, "a", "b").first().asDict()
+    assert got == {"n": 5, "n_answered_a": 3, "n_answered_b": 3, "n_paired": 2, "mean_a": 3.0, "mean_b": 4.0, "lift": 1.0, "wins": 1, "win_rate": 50.0}
+    text = cmp.summary_text(metrics.comparison_summary(rows, "a", "b")).first()["report"].splitlines()
+    assert text[:2] == ["Questions: 5", "Answered by both: 2"] and len(text) == 7
+    none = metrics.comparison_summary(rows.where("a is null"), "a", "b").first()
+    assert (none["n"], none["n_paired"], none["lift"], none["win_rate"]) == (2, 0, None, None)
+
+
+def test_an_unanswered_question_keeps_its_row(spark, weights):
+    asked = spark.createDataFrame([("sample", i, f"q {i}") for i in range(4)], "source string, row_id bigint, question string")
+    of = lambda ids: spark.createDataFrame([("sample", i, "good nice") for i in ids], "source string, row_id bigint, response string")
+    rows = {r["row_id"]: r for r in cmp.compare(asked, of([0, 1]), of([1, 2]), log_odds_scorer(weights)).collect()}
+    assert len(rows) == 4 and rows[1]["score_diff"] == 0.0
+    assert rows[0]["ppo_rm_score"] is None and rows[2]["sft_rm_score"] is None and rows[3]["score_diff"] is None
+
+
+def test_a_tokenizer_is_given_lists(spark):
+    sizes = spark.sparkContext.accumulator(0)
+
+    def make():
+        def encode(texts):
+            assert isinstance(texts, list) and None not in texts and len(texts) <= 7
+            sizes.add(1)
+            return [[len(t), 1] for t in texts]
+
+        return encode
+
+    texts = spark.createDataFrame([(i, None if i % 5 == 0 else "x" * i) for i in range(50)], "i int, t string").coalesce(1)
+    got = {r["i"]: r["ids"] for r in texts.select("i", encode_udf(make, batch_size=7)("t").alias("ids")).collect()}
+    assert got == {i: None if i % 5 == 0 else [i, 1] for i in range(50)} and sizes.value == 6
 
 
 def lengths():

@@ -38,10 +38,50 @@ def test_named_split_reads_only_its_folder(spark):
 
 
 def test_cached_copy_is_made_once_and_never_from_half_a_write(spark, tmp_path):
-    path = str(tmp_path / "copy")
+    path, source = str(tmp_path / "copy"), str(tmp_path / "source")
+    spark.range(5).write.parquet(source)
     spark.range(3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
-    assert tables.cached_copy(spark.range(5), path).count() == 5
-    assert tables.cached_copy(spark.range(9), path).count() == 5
+    rows = spark.read.parquet(source)
+    assert tables.cached_copy(rows, path).count() == 5
+    files = set(glob.glob(f"{path}/part-*"))
+    assert tables.cached_copy(spark.read.parquet(source), path).count() == 5 and set(glob.glob(f"{path}/part-*")) == files
+
+
+def test_a_copy_follows_its_source(spark, tmp_path):
+    path, source = str(tmp_path / "copy"), str(tmp_path / "source")
+    assert tables.cached_copy(spark.range(3), path).count() == 3
+    assert tables.cached_copy(spark.range(9), path).count() == 9
+    spark.range(4).write.parquet(source)
+    assert tables.cached_copy(spark.read.parquet(source), path).count() == 4
+    spark.range(4, 6).write.mode("append").parquet(source)
+    assert tables.cached_copy(spark.read.parquet(source), path).count() == 6
+    spark.range(7).write.mode("overwrite").parquet(source)
+    assert tables.cached_copy(spark.read.parquet(source), path).count() == 7
+    # Another question over the same files, and other columns.
+    assert tables.cached_copy(spark.read.parquet(source).where("id > 2"), path).count() == 4
+    assert tables.cached_copy(spark.read.parquet(source).withColumn("v", F.lit(1)), path).columns == ["id", "v"]
+    assert tables.assign_row_ids(spark.read.parquet(source), path).count() == 7
+
+
+def test_missing_keys_are_refused(spark, tmp_path):
+    path = str(tmp_path / "p")
+    preferences(spark).withColumn("row_id", F.when(F.col("row_id") > 0, F.col("row_id"))).write.parquet(path)
+    with pytest.raises(ValueError, match="without row_id"):
+        tables.load_preferences(spark, path)
+
+
+def test_plain_csv_is_split_over_tasks(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = spark.range(20_000).select(F.col("id").alias("row_id"), *[F.concat(F.lit("t "), "id").alias(c) for c in ("question", "chosen", "rejected")])
+    rows.coalesce(1).write.option("header", True).csv(path)
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        split, whole = (tables.read_table(spark, path, schemas.PREFERENCES, "csv", line_ends) for line_ends in (False, True))
+        assert split.rdd.getNumPartitions() > 4 and whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
 
 
 def test_row_ids(spark):
@@ -95,7 +135,7 @@ def test_metrics_log_appends(spark):
 def test_exported_batches_stay_together(spark):
     path = fresh_path(spark, "export")
     rows = spark.range(400).select(F.col("id").alias("row_id"), F.floor(F.col("id") / 32).alias("batch_id"), F.lit("train").alias("split"))
-    sinks.export_training_set(rows.repartition(7), path, batch="batch_id", partitions=4)
+    sinks.export_training_set(rows.repartition(7), f"export_{path.rsplit('-', 1)[1]}", path, buckets=4)
     back = spark.read.parquet(path).withColumn("file", F.input_file_name())
     assert back.count() == 400
     assert back.groupBy("batch_id").agg(F.countDistinct("file").alias("n")).where("n > 1").count() == 0

@@ -83,6 +83,6 @@ def test_unmarked(spark):
 
 
 def test_own_tokenizer(texts):
-    encode_bytes = encode_udf(lambda: lambda t: t.encode())
+    encode_bytes = encode_udf(lambda: lambda texts: [t.encode() for t in texts])
     got = {r["row_id"]: r["ids"] for r in texts.select("row_id", encode_bytes("t").alias("ids")).collect()}
     assert got == {k: None if t is None else list(t.encode()) for k, t in TEXTS}
