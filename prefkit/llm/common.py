@@ -71,11 +71,14 @@ def raw_files(blobs: DataFrame, path: str) -> None:
 
 
 def map_slices(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = 256) -> DataFrame:
-    """``mapInPandas`` that converts ``rows`` rows at a time, for wide texts whose batches would be large twice over."""
+    """``mapInPandas`` that converts ``rows`` rows at a time, for wide texts whose batches would be large twice over.
+
+    Whole numbers with nulls among them stay whole.
+    """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frames = (batch.slice(at, rows).to_pandas() for batch in batches for at in range(0, batch.num_rows, rows))
+        frames = (batch.slice(at, rows).to_pandas(integer_object_nulls=True) for batch in batches for at in range(0, batch.num_rows, rows))
         for out in run(frames):
             yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
 

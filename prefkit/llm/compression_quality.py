@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 import zstandard
 
-from prefkit.llm.common import held_out, learnable, stored, texts_of
+from prefkit.llm.common import held_out, learnable, map_slices, stored, texts_of
 
 BLOCK = 2048
 DICTIONARY_BYTES = 96 << 10
@@ -116,7 +116,7 @@ def compressed_sizes(docs: DataFrame, dictionaries: dict[int, bytes]) -> DataFra
                 }
             )
 
-    return texts_of(docs).mapInPandas(measure, SIZES)
+    return map_slices(texts_of(docs), measure, SIZES)
 
 
 def difference() -> Column:

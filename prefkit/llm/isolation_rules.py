@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from prefkit.llm.common import learnable, stored, texts_of
+from prefkit.llm.common import learnable, map_slices, stored, texts_of
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -83,7 +83,7 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def rule_statistics(docs: DataFrame) -> DataFrame:
     """One row of counts per document, ``STATISTICS``."""
-    return texts_of(docs).mapInPandas(_measure, STATISTICS)
+    return map_slices(texts_of(docs), _measure, STATISTICS)
 
 
 def base_failed() -> Column:

@@ -37,7 +37,7 @@ from pyspark.sql.types import StringType
 import xxhash
 import zstandard
 
-from prefkit.llm.common import stored
+from prefkit.llm.common import map_slices, stored
 from prefkit.llm.components import connected_groups
 
 MIN_WORDS = 5
@@ -104,7 +104,7 @@ def line_rows(keyed: DataFrame) -> DataFrame:
                         rows, fresh, held = [], {}, 0
         yield made()
 
-    return keyed.mapInPandas(run, LINES)
+    return map_slices(keyed, run, LINES)
 
 
 def block_rows(distinct: DataFrame, buckets: int) -> DataFrame:
@@ -313,8 +313,8 @@ def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
 
     asked = distinct.join(sliced.select("root", "line"), "line")
     asked = asked.groupBy("doc", "th").agg(F.collect_list(F.struct("root", "line", "hash", "at")).alias("asked"))
-    texts = keyed.mapInPandas(_squeeze, "doc long, th long, data binary").join(asked, ["doc", "th"]).select("data", "asked")
-    lines = texts.mapInPandas(_pick_lines, "root binary, line binary, hash binary, text string")
+    texts = map_slices(keyed, _squeeze, "doc long, th long, data binary").join(asked, ["doc", "th"]).select("data", "asked")
+    lines = map_slices(texts, _pick_lines, "root binary, line binary, hash binary, text string")
 
     cells = F.transform(
         F.sequence(F.lit(0), F.col("_slices") - 1), lambda other: F.struct(F.least("slice", other).alias("i"), F.greatest("slice", other).alias("j"))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 import xxhash
 
-from prefkit.llm.common import stored, texts_of
+from prefkit.llm.common import map_slices, stored, texts_of
 from prefkit.llm.components import connected_groups
 
 SHINGLE = 5
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
             yield out
 
-    return texts_of(docs).select("doc_id", F.xxhash64("text").alias("th"), "text").mapInPandas(run, SIGNED)
+    return map_slices(texts_of(docs).select("doc_id", F.xxhash64("text").alias("th"), "text"), run, SIGNED)
 
 
 def nodes(classes: DataFrame, depth: int) -> DataFrame:
@@ -141,7 +141,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     match = texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["th"] == wanted["rep_th"])
     rows = texts.join(wanted, match).select("cls", "text")
     # A representative that is repeated gives equal rows.
-    return rows.mapInPandas(run, "cls binary, shingles binary").dropDuplicates(["cls"])
+    return map_slices(rows, run, "cls binary, shingles binary").dropDuplicates(["cls"])
 
 
 def verified_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from prefkit.llm.common import texts_of
+from prefkit.llm.common import map_slices, texts_of
 from prefkit.llm.word_cache import word_cache
 
 LENGTH, END_ID = 2048, 1
@@ -155,7 +155,7 @@ def pack(
         packer.close_window(last=True)
         yield packer.take()
 
-    return texts_of(docs).mapInPandas(run, PIECES)
+    return map_slices(texts_of(docs), run, PIECES)
 
 
 def packed_digests(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -44,7 +44,9 @@ SPAN, GRAM = 100, 40
 # Bytes parsed at once; bytes of text per bucket of triggers; dictionary phrases per bucket.
 BATCH_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
-BUCKET_PHRASES = 20_000
+# Bytes of text of the documents whose places are put together at once.
+PART_BYTES = 16 << 20
+BUCKET_PHRASES = 8_000
 LOWEST = -(2**63)
 
 _RANDOM = np.random.default_rng(7)
@@ -52,7 +54,9 @@ BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) +
 BASE = 0x9E3779B97F4A7C15 | 1
 
 PHRASE = np.dtype([("gram", "<u8"), ("phrase", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("th", "<u4"), ("rel", "u1"), ("n", "u1")])
-FOUND = "gram long, doc long, th long, lo long, rel int, n int"
+PLACE = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("lo", "<u4"), ("n", "u1")])
+FOUND = "part long, later binary, asked binary"
+DOCUMENTS = "doc long, th long, places array<long>, grams array<long>, los array<long>, ns array<int>"
 
 _powers: list[np.ndarray] = []
 
@@ -130,8 +134,25 @@ def first_places(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[~same], found[later]
 
 
-def _rows(found: np.ndarray) -> dict[str, np.ndarray]:
-    return {"doc": found["doc"], "th": found["th"].astype(np.int64), "lo": found["lo"].astype(np.int64), "n": found["n"].astype(np.int32)}
+def _placed(found: np.ndarray) -> np.ndarray:
+    """``PLACE`` records of ``PHRASE`` records."""
+    out = np.empty(len(found), PLACE)
+    for name in PLACE.names:
+        out[name] = found[name]
+    return out
+
+
+def _parts(found: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the documents that each place belongs to."""
+    h = _mixed(found["doc"].view(np.uint64) * np.uint64(BASE) + found["th"]) if len(found) else np.empty(0, np.uint64)
+    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _split(found: np.ndarray, part: np.ndarray) -> dict[int, bytes]:
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    pieces = np.split(found[order], cuts) if len(found) else []
+    return {int(part[order[at]]): piece.tobytes() for at, piece in zip(np.append(0, cuts), pieces, strict=bool(len(found)))}
 
 
 def parse_texts(keyed: DataFrame, buckets: int, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -161,20 +182,39 @@ def parse_texts(keyed: DataFrame, buckets: int, span: int = SPAN, gram: int = GR
     return map_slices(keyed, run, "bucket long, phrases binary")
 
 
-def _meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Later places of equal phrases (gram null), and first places of phrases whose trigger has several."""
-    found = np.concatenate([np.frombuffer(p, PHRASE) for p in rows["phrases"]])
-    if key[0] < 0:
-        return pd.DataFrame({"gram": pd.array([None] * len(found), "Int64"), "rel": np.int32(0), **_rows(found)})
-    first, later = first_places(found)
-    same = np.zeros(len(first) + 1, bool)
-    same[1:-1] = first["gram"][1:] == first["gram"][:-1]
-    many = first[same[1:] | same[:-1]]
-    gram = np.concatenate([np.zeros(len(later), np.int64), many["gram"].view(np.int64)])
-    rel = np.concatenate([np.zeros(len(later), np.int32), many["rel"].astype(np.int32)])
-    both = _rows(np.concatenate([later, many]))
-    null = np.arange(len(gram)) < len(later)
-    return pd.DataFrame({"gram": pd.arrays.IntegerArray(gram, null), "rel": rel, **both})
+def _meet(parts: int):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        """Packed by part: later places of equal phrases, and first places of phrases whose trigger has several."""
+        found = np.concatenate([np.frombuffer(p, PHRASE) for p in rows["phrases"]])
+        if key[0] < 0:
+            later, many = found, found[:0]
+        else:
+            first, later = first_places(found)
+            same = np.zeros(len(first) + 1, bool)
+            same[1:-1] = first["gram"][1:] == first["gram"][:-1]
+            many = first[same[1:] | same[:-1]]
+        later, many = _placed(later), _placed(many)
+        one, other = _split(later, _parts(later, parts)), _split(many, _parts(many, parts))
+        return pd.DataFrame([(p, one.get(p), other.get(p)) for p in sorted(one.keys() | other.keys())], columns=["part", "later", "asked"])
+
+    return run
+
+
+def _by_document(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The places of each document of a part: later ones packed as lo * 256 + n, and phrases to compare."""
+    out = []
+    for name in ("later", "asked"):
+        packed = [p for p in rows[name] if p is not None]
+        found = np.frombuffer(b"".join(packed), PLACE)
+        found = found[np.lexsort((found["lo"], found["th"], found["doc"]))]
+        cuts = np.flatnonzero((np.diff(found["doc"]) != 0) | (np.diff(found["th"].astype(np.int64)) != 0)) + 1
+        for piece in np.split(found, cuts) if len(found) else []:
+            mine = (int(piece["doc"][0]), int(piece["th"][0]))
+            if name == "later":
+                out.append((*mine, (piece["lo"].astype(np.int64) << 8) + piece["n"], None, None, None))
+            else:
+                out.append((*mine, None, piece["gram"].astype(np.int64), piece["lo"].astype(np.int64), piece["n"].astype(np.int32)))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in DOCUMENTS.split(", ")])
 
 
 def dictionary_ranks(data: np.ndarray, starts: np.ndarray, span: int = SPAN) -> np.ndarray:
@@ -231,8 +271,8 @@ def _cut_phrases(span: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, th, data, asked in zip(batch["doc"], batch["th"], batch["data"], batch["asked"], strict=True):
-                rows += [(doc, th, a["gram"], a["lo"], a["n"], data[a["lo"] : a["lo"] + a["n"] + span - 1]) for a in asked]
+            for doc, th, data, grams, los, ns in zip(*[batch[c] for c in ("doc", "th", "data", "grams", "los", "ns")], strict=True):
+                rows += [(doc, th, g, lo, n, data[lo : lo + n + span - 1]) for g, lo, n in zip(grams.tolist(), los.tolist(), ns.tolist(), strict=True)]
             yield pd.DataFrame(rows, columns=["doc", "th", "gram", "lo", "n", "data"])
 
     return run
@@ -274,17 +314,20 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     parsed = parse_texts(keyed, buckets, span, gram)
     # Known later places lie in rows of bucket -1, one per batch; they are spread by their bytes.
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("phrases"), F.lit(buckets))).otherwise(F.col("bucket"))
-    met = stored(parsed.groupBy(spread.alias("bucket")).applyInPandas(_meet, FOUND), "phrases")
+    parts = max(16, total // PART_BYTES)
+    met = parsed.groupBy(spread.alias("bucket")).applyInPandas(_meet(parts), FOUND)
+    # A document's places stay packed until they are put together, in one row for either kind.
+    met = stored(met.groupBy("part").applyInPandas(_by_document, DOCUMENTS), "phrases")
 
-    asked = met.where("gram is not null")
-    groups = max(1, asked.count() // BUCKET_PHRASES)
-    wanted = asked.groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "lo", "n")).alias("asked"))
+    wanted = met.where("grams is not null").select("doc", "th", "grams", "los", "ns")
+    groups = max(1, (wanted.agg(F.sum(F.size("grams"))).first()[0] or 0) // BUCKET_PHRASES)
     # This join and the last one read the texts in one layout, so they move once.
-    phrases = keyed.join(wanted, ["doc", "th"]).select("doc", "th", "data", "asked")
+    phrases = keyed.join(wanted, ["doc", "th"]).select("doc", "th", "data", "grams", "los", "ns")
     cut = map_slices(phrases, _cut_phrases(span), "doc long, th long, gram long, lo long, n int, data binary")
     edges = cut.groupBy(F.pmod("gram", F.lit(groups)).alias("_group")).applyInPandas(_compare(span), "doc long, th long, lo long, n int")
-    later = met.where("gram is null").select("doc", "th", "lo", "n").unionByName(edges)
-    places = later.groupBy("doc", "th").agg(F.collect_list(F.shiftleft("lo", 8) + F.col("n")).alias("places"))
+    edges = edges.groupBy("doc", "th").agg(F.collect_list(F.shiftleft("lo", 8) + F.col("n")).alias("places"))
+    later = met.where("places is not null").select("doc", "th", "places").unionByName(edges)
+    places = later.groupBy("doc", "th").agg(F.flatten(F.collect_list("places")).alias("places"))
     kept = keyed.join(places, ["doc", "th"], "left").select("doc", "data", "places")
     kept = map_slices(kept, _keep(span), "doc long, n_bytes long, kept binary, begins array<long>, ends array<long>")
     return kept.select(F.nullif("doc", F.lit(LOWEST)).alias("doc_id"), "n_bytes", "kept", "begins", "ends")

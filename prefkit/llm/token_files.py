@@ -4,13 +4,16 @@ A dictionary is trained once on a bounded sample of serialised id arrays and
 written beside the shards under its hash. A shard holds consecutive documents
 in ascending doc_id order:
 
-    magic 8 bytes | dictionary's sha256, 32 bytes | part, shard: int32 | documents: int64 | id width: int64
+    magic 8 bytes | dictionary's sha256, 32 bytes | part, shard: int32 | documents: int64 | id width: int32 | crc32 of all that follows: uint32
     doc_id int64 each | null flag uint8 each | number of ids uint32 each | offset uint64 each and one more | frames
 
-so that one short document is read by its offset without its neighbours. Ids
-take two bytes where the vocabulary allows it. Spark's text writer puts the
+so that one short document is read by its offset without its neighbours. A small index beside the shards
+holds each one's path, range of doc_ids and number of ids: a document is found by opening the shards whose
+range holds it. Ids take two bytes where the vocabulary allows it. Spark's text writer puts the
 bytes of a shard, one per file, through the same commit as any table, so a
-repeated task leaves no half-written shard, and any file system Spark knows will do.
+repeated task leaves no half-written shard, and any file system Spark knows will do; the checksum
+tells a shard whose bytes were changed on the way. A shard is one row while it is written, held a few times over in
+a worker and the JVM, so its size is a parameter that executors' memory bounds.
 
 Cases: a null text counts as empty; an empty text has the end id alone;
 null doc_ids come first; repeated rows and rows of one doc_id are kept, next to
@@ -22,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 import hashlib
 import struct
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -29,16 +33,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 import zstandard
 
-from prefkit.llm.common import raw_files, texts_of
+from prefkit.llm.common import map_slices, raw_files, texts_of
 from prefkit.llm.word_cache import word_cache
 from prefkit.session import fresh_path
 
-MAGIC = b"TOKSHRD1"
-HEAD = "<8s32siiqq"
+MAGIC = b"TOKSHRD2"
+HEAD = "<8s32siiqiI"
 HEAD_BYTES = struct.calcsize(HEAD)
 END_ID = 2
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 20, 64 << 10
-SHARD_BYTES, SHARD_DOCS = 4 << 20, 1 << 16
+SHARD_BYTES = 64 << 20
+# Documents decoded at once.
+ROWS = 1024
 LEVEL = 3
 
 
@@ -59,8 +65,20 @@ def train(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b"\0" * 8
 
 
+def sampled(docs: DataFrame, sample_rows: int) -> DataFrame:
+    """At most ``sample_rows`` different documents, those with the smallest hashes, in one partition.
+
+    The table is read by all tasks; only the sample moves.
+    """
+    rows = texts_of(docs).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h"))
+    chosen = rows.select("_h").distinct().orderBy("_h").limit(sample_rows)
+    # The broadcast hashes are bounded by ``sample_rows``, and so is what is left of equal rows.
+    sample = rows.join(F.broadcast(chosen), "_h", "left_semi").groupBy("_h").agg(F.first("text").alias("text"))
+    return sample.repartition(1).sortWithinPartitions("_h").select("text")
+
+
 def fit_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, sample_rows: int = SAMPLE_ROWS) -> bytes:
-    """Trained in one task on at most ``sample_rows`` documents, those with the smallest hashes, up to ``SAMPLE_BYTES``."""
+    """Trained on ``sampled`` documents, up to ``SAMPLE_BYTES`` of ids."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,18 +90,15 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, sample
                     held += len(samples[-1])
         yield pd.DataFrame({"dictionary": [train(samples)]})
 
-    texts = texts_of(docs)
-    chosen = texts.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    # The broadcast keys are bounded by ``sample_rows``.
-    sample = texts.join(F.broadcast(chosen), "doc_id", "left_semi").coalesce(1).sortWithinPartitions("doc_id", "text")
-    made = sample.mapInPandas(run, "dictionary binary").first()
+    made = map_slices(sampled(docs, sample_rows), run, "dictionary binary").first()
     return train([]) if made is None else bytes(made["dictionary"])
 
 
 class ShardWriter:
     """Collects the documents of one shard and puts its bytes together."""
 
-    def __init__(self, dictionary: bytes, width: int):
+    def __init__(self, dictionary: bytes, width: int, shard_bytes: int):
+        self._most = shard_bytes
         self._press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_dict_id=False)
         self._hash, self._width = hashlib.sha256(dictionary).digest(), width
         self._clear()
@@ -102,13 +117,17 @@ class ShardWriter:
         self.size += len(self._frames[-1])
 
     def full(self) -> bool:
-        return self.size >= SHARD_BYTES or len(self) >= SHARD_DOCS
+        # The index of a document takes 21 bytes.
+        return self.size + 21 * len(self) >= self._most
 
     def close(self, part: int, shard: int) -> bytes:
         offsets = np.concatenate([[0], np.cumsum([len(f) for f in self._frames])]).astype("<u8")
         columns = [np.array(self._ids, "<i8"), np.array(self._null, "u1"), np.array(self._counts, "<u4"), offsets]
-        head = struct.pack(HEAD, MAGIC, self._hash, part, shard, len(self), self._width)
-        data = b"".join([head, *[c.tobytes() for c in columns], *self._frames])
+        tables, check = [c.tobytes() for c in columns], 0
+        for piece in (*tables, *self._frames):
+            check = zlib.crc32(piece, check)
+        head = struct.pack(HEAD, MAGIC, self._hash, part, shard, len(self), self._width, check)
+        data = b"".join([head, *tables, *self._frames])
         self._clear()
         return data
 
@@ -117,9 +136,10 @@ class Shard:
     """A shard's bytes, read by its index."""
 
     def __init__(self, data: bytes):
-        magic, self.dictionary_hash, self.part, self.shard, n, self.width = struct.unpack_from(HEAD, data)
-        if magic != MAGIC:
-            raise ValueError("not a token shard")
+        magic, self.dictionary_hash, self.part, self.shard, n, self.width, check = struct.unpack_from(HEAD, data)
+        # The text writer ends every file with a line end.
+        if magic != MAGIC or zlib.crc32(memoryview(data)[HEAD_BYTES:-1]) != check:
+            raise ValueError("not a token shard, or a damaged one")
         at = HEAD_BYTES
         self.doc_ids = np.frombuffer(data, "<i8", n, at)
         self.null = np.frombuffer(data, "u1", n, at + 8 * n).astype(bool)
@@ -138,8 +158,8 @@ class Shard:
         return raw if self.width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
-    """Writes ``path/dictionary`` and ``path/shards``."""
+def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
+    """Writes ``path/dictionary``, ``path/shards`` and ``path/index``."""
     dictionary = fit_dictionary(docs, tokenizer, end_id)
     end = int(end_id).to_bytes(4, "little")
     spark = docs.sparkSession
@@ -147,7 +167,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, part, number = word_cache(tokenizer), TaskContext.get().partitionId(), 0
-        shard = ShardWriter(dictionary, _width(cache.vocabulary))
+        shard = ShardWriter(dictionary, _width(cache.vocabulary), shard_bytes)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
                 shard.add(None if doc_id is pd.NA else int(doc_id), cache.ids(text) + end)
@@ -161,7 +181,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     order = ["doc_id", "_th", "_row"]
     rows = texts_of(docs).select("*", F.xxhash64("text").alias("_th"), F.monotonically_increasing_id().alias("_row"))
     laid = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    raw_files(laid.select("doc_id", "text").mapInPandas(run, "blob binary"), f"{path}/shards")
+    raw_files(map_slices(laid.select("doc_id", "text"), run, "blob binary"), f"{path}/shards")
+    _write_index(spark, path)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
@@ -169,20 +190,35 @@ def read_dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(rows[0]["content"])[:-1]
 
 
-def _shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(f"{path}/shards").select("content")
-
+def _shards(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
-def shard_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(part, shard, first): the number of ids before each shard, from the shards' indexes alone."""
 
+def _write_index(spark: SparkSession, path: str) -> None:
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [Shard(data) for data in batch["content"] if len(data) > HEAD_BYTES]
-            rows = [(s.part, s.shard, int(s.counts.sum())) for s in found]
-            yield pd.DataFrame(rows, columns=["part", "shard", "n"]).astype("int64")
+            for place, data in zip(batch["path"], batch["content"], strict=True):
+                if len(data) > HEAD_BYTES:
+                    found = Shard(data)
+                    known = found.doc_ids[~found.null]
+                    low, high = (int(known.min()), int(known.max())) if len(known) else (None, None)
+                    rows = [(place, found.part, found.shard, low, high, int(found.counts.sum()))]
+                    yield pd.DataFrame(rows, columns=["path", "part", "shard", "low", "high", "n"]).astype({"low": "Int64", "high": "Int64"})
+
+    map_slices(_shards(spark, f"{path}/shards"), heads, INDEX, rows=1).write.parquet(f"{path}/index")
+
 
-    sizes = _shards(spark, path).mapInPandas(heads, "part long, shard long, n long")
+INDEX = "path string, part long, shard long, low long, high long, n long"
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """``INDEX``: one row per shard, its file, the least and greatest doc_id and the number of ids."""
+    return spark.read.schema(INDEX).parquet(f"{path}/index")
+
+
+def shard_starts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, shard, first): the number of ids before each shard, from the index alone."""
+    sizes = read_index(spark, path).select("part", "shard", "n")
     before = (W.unboundedPreceding, -1)
     # One row per written partition in the first sum, the shards of one partition in the second.
     parts = sizes.groupBy("part").agg(F.sum("n").alias("_n"))
@@ -203,41 +239,45 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 shard = Shard(data)
                 reader, n = shard.reader(dictionary), len(shard.counts)
                 starts = np.cumsum(shard.counts) - shard.counts
-                for low in range(0, n, 1024):
-                    rows = range(low, min(n, low + 1024))
+                for low in range(0, n, ROWS):
+                    rows = range(low, min(n, low + ROWS))
                     yield pd.DataFrame(
                         {
                             "part": shard.part,
                             "shard": shard.shard,
-                            "doc_id": pd.array(shard.doc_ids[low : low + 1024], "Int64"),
-                            "at": starts[low : low + 1024],
-                            "n_tokens": shard.counts[low : low + 1024],
+                            "doc_id": pd.array(shard.doc_ids[low : low + ROWS], "Int64"),
+                            "at": starts[low : low + ROWS],
+                            "n_tokens": shard.counts[low : low + ROWS],
                             "ids": [shard.ids(i, reader) for i in rows],
-                            "null": shard.null[low : low + 1024],
+                            "null": shard.null[low : low + ROWS],
                         }
                     )
 
-    rows = _shards(spark, path).mapInPandas(
-        decode, "part long, shard long, doc_id long, at long, n_tokens long, ids binary, null boolean"
+    rows = map_slices(
+        _shards(spark, f"{path}/shards").select("content"), decode, "part long, shard long, doc_id long, at long, n_tokens long, ids binary, null boolean", rows=1
     )
     return rows.withColumn("doc_id", F.when(~F.col("null"), F.col("doc_id"))).drop("null")
 
 
 def read_documents(spark: SparkSession, path: str, wanted: list[int]) -> DataFrame:
-    """doc_id, ids of a few documents, found by the shards' indexes; other documents stay compressed."""
+    """doc_id, ids of a few documents. Only shards whose range holds one are opened; other documents stay compressed."""
     dictionary = read_dictionary(spark, path)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data in batch["content"]:
-                if len(data) > HEAD_BYTES:
-                    shard = Shard(data)
-                    hits = np.flatnonzero(np.isin(shard.doc_ids, wanted) & ~shard.null)
-                    if len(hits):
-                        reader = shard.reader(dictionary)
-                        yield pd.DataFrame({"doc_id": shard.doc_ids[hits], "ids": [shard.ids(i, reader) for i in hits]})
-
-    return _shards(spark, path).mapInPandas(find, "doc_id long, ids binary")
+                shard = Shard(data)
+                hits = np.flatnonzero(np.isin(shard.doc_ids, wanted) & ~shard.null)
+                if len(hits):
+                    reader = shard.reader(dictionary)
+                    yield pd.DataFrame({"doc_id": shard.doc_ids[hits], "ids": [shard.ids(i, reader) for i in hits]})
+
+    asked = spark.createDataFrame([(int(i),) for i in wanted], "doc_id long")
+    # As many paths as documents asked for, unless one of them fills several shards.
+    places = [r["path"] for r in read_index(spark, path).join(asked, F.col("doc_id").between(F.col("low"), F.col("high")), "left_semi").select("path").collect()]
+    if not places:
+        return spark.createDataFrame([], "doc_id long, ids binary")
+    return map_slices(_shards(spark, places).select("content"), find, "doc_id long, ids binary", rows=1)
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Byte-level BPE never merges across the pieces its pattern cuts a text into. So
 ids are kept by piece, and the library encodes only pieces that are new. Texts
 with characters outside a plain set, on which two libraries' character classes
-could differ, are encoded whole by the library, as are all texts of tokenizers
+could differ, are encoded whole by the library, as are texts that spell one of the tokenizer's
+own tokens, which the library finds before it cuts, and all texts of tokenizers
 with another layout.
 """
 
@@ -24,7 +25,8 @@ LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-į", "0-9"
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-į‐-‧]*+")
 # Fixed value: the pattern of byte-level BPE.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_PIECES = 600_000
+# Two generations of so many pieces are some 60 MB of a worker's memory.
+MOST_PIECES = 100_000
 # Byte-level BPE writes a printable byte as its own character and the others, in order, from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
@@ -39,11 +41,11 @@ class WordCache(dict):
     def __init__(self, path: str):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
         self._pattern, self._lower = _fast_path(layout)
+        self._own = [token["content"].lower() for token in layout.get("added_tokens", [])]
         self._older: dict[str, bytes] = {}
         self.vocabulary = self._tokenizer.get_vocab_size()
 
@@ -66,7 +68,10 @@ class WordCache(dict):
         """The ids of a whole text, as bytes."""
         if self._pattern is None or not PLAIN.fullmatch(text):
             return self._library(text)
-        pieces = self._pattern.findall(text.lower() if self._lower else text)
+        small = text.lower()
+        if any(token in small for token in self._own):
+            return self._library(text)
+        pieces = self._pattern.findall(small if self._lower else text)
         if len(self) >= MOST_PIECES:
             self._older = dict(self)
             self.clear()

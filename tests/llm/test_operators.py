@@ -2,6 +2,7 @@
 
 from collections import Counter, defaultdict
 import hashlib
+import os
 import random
 import zlib
 
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 import xxhash
 
 from prefkit.llm import (
+    common,
     components,
     compression_quality,
     fair_mix,
@@ -151,13 +153,54 @@ def test_token_shards_and_single_documents(spark, tmp_path):
         start += len(expect[i]) // 4
 
 
-def test_shard_refuses_another_dictionary():
-    writer = token_files.ShardWriter(b"dictionary one" * 10, 2)
+def shard_writer():
+    return token_files.ShardWriter(b"dictionary one" * 10, 2, token_files.SHARD_BYTES)
+
+
+def test_shard_refuses_another_dictionary_and_damage():
+    writer = shard_writer()
     writer.add(4, np.array([1, 2, 3], "<u4").tobytes())
-    shard = token_files.Shard(writer.close(0, 0))
+    data = writer.close(0, 0) + b"\n"
+    shard = token_files.Shard(data)
     assert np.frombuffer(shard.ids(0, shard.reader(b"dictionary one" * 10)), "<u4").tolist() == [1, 2, 3]
     with pytest.raises(ValueError):
         shard.reader(b"another")
+    for at in (token_files.HEAD_BYTES, len(data) - 2):
+        with pytest.raises(ValueError, match="damaged"):
+            token_files.Shard(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
+
+
+def test_files_keep_every_byte(spark, tmp_path):
+    blobs = [bytes(range(256)) * 3, b"", b"\n\r\n", b"\xff\xfe\x00\xed\xa0\x80", bytes(reversed(range(256)))]
+    rows = spark.createDataFrame([(bytearray(b),) for b in blobs], "blob binary").coalesce(1)
+    common.raw_files(rows, f"{tmp_path}/raw")
+    back = spark.read.format("binaryFile").load(f"{tmp_path}/raw").orderBy("path").select("content").collect()
+    assert [bytes(r[0]) for r in back] == [b + b"\n" for b in blobs]
+
+
+def test_single_documents_open_few_shards(spark, tmp_path):
+    docs = documents(spark, [(i, f"document {i} of many words " * 20) for i in range(300)] + [(None, "no id")])
+    path = f"{tmp_path}/files"
+    token_files.write_token_files(docs.repartition(3), WORD_BPE, path, shard_bytes=1000)
+    index = token_files.read_index(spark, path).orderBy("low").collect()
+    assert len(index) > 8 and sum(r["n"] for r in index) == sum(r["n_tokens"] for r in token_files.read_token_files(spark, path).collect())
+    # All other shards may be gone.
+    holds = [r for r in index if r["low"] is not None and r["low"] <= 123 <= r["high"]]
+    for r in index:
+        if r not in holds:
+            os.remove(r["path"].removeprefix("file:"))
+    (found,) = token_files.read_documents(spark, path, [123]).collect()
+    library = Tokenizer.from_file(WORD_BPE)
+    assert bytes(found["ids"]) == np.array([*library.encode("document 123 of many words " * 20, add_special_tokens=False).ids, 2], "<u4").tobytes()
+
+
+def test_dictionary_sample_is_bounded_and_read_by_all_tasks(spark):
+    docs = documents(spark, [(i % 9 or None, f"text {i % 120}") for i in range(900)]).repartition(6)
+    sample = token_files.sampled(docs, 50)
+    assert sample.count() == 50 and sample.rdd.getNumPartitions() == 1
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "SinglePartition" in plan
+    assert token_files.sampled(docs.where("doc_id = 1"), 50).count() <= 40
 
 
 def levenshtein(a, b):

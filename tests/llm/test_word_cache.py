@@ -18,7 +18,6 @@ USUAL = st.text(st.sampled_from("abcXYZ äÉßįº'’—!?#12 \t\n\r.sSdDtT<|>
 def pair(request):
     path = public_tokenizers.path(request.param)
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     return WordCache(path), library
 
 
@@ -32,7 +31,7 @@ def test_same_ids_as_the_library(pair, text):
 
 def test_texts_of_every_kind(pair):
     cache, library = pair
-    for text in ("", " ", "  a  b ", "it's IT'S we'll", "<|endoftext|> x", "日本 語", "a\x1cb", "İstanbul ΑΣ", "x" * 5000, "\n\n\n a"):
+    for text in ("", " ", "  a  b ", "it's IT'S we'll", "<|endoftext|> x", "hello <|endoftext|> world", "a <|EndOfText|>b", "<|startoftext|>", "<|endof text|>", "日本 語", "a\x1cb", "İstanbul ΑΣ", "x" * 5000, "\n\n\n a"):
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert PLAIN.fullmatch("Été – “sûr”") and not PLAIN.fullmatch("x²")
 
@@ -44,3 +43,9 @@ def test_full_cache_starts_anew(monkeypatch):
     for text in ("one two three four five six", "one two seven", "eight nine ten one two"):
         assert cache.ids(text) == plain._library(text)
     assert len(cache) < 12
+
+
+def test_marks_of_the_tokenizer_are_its_own_ids():
+    cache = WordCache(public_tokenizers.path(FILES[0]))
+    ids = np.frombuffer(cache.ids("hello <|endoftext|> world"), "<u4").tolist()
+    assert 50256 in ids and len(ids) == 4
