@@ -249,7 +249,7 @@ def test_lines_against_brute_force(spark):
             if len(line.split(" ")) >= line_dedup.MIN_WORDS:
                 first.setdefault(line, (doc, at))
     lines = list(first)
-    hashes = [np.frombuffer(h, ">u2") for h in line_dedup.simhashes([x.encode() for x in lines])]
+    hashes = [np.frombuffer(h, np.uint8) for h in line_dedup.simhashes([x.encode() for x in lines])]
 
     def groups(pairs):
         root = list(range(len(lines)))
@@ -264,7 +264,8 @@ def test_lines_against_brute_force(spark):
             short, long = sorted((len(lines[i]), len(lines[j])))
             if int(np.bitwise_count(hashes[i] ^ hashes[j]).sum()) <= line_dedup.NEAR_BITS and 5 * short >= 4 * long:
                 near.append((i, j))
-    candidate = groups([(i, j) for i, j in near if (hashes[i] == hashes[j]).any()])
+    meet = lambda a, b: any(a[x] == b[x] and a[y] == b[y] for x, y in line_dedup.PAIRS)
+    candidate = groups([(i, j) for i, j in near if meet(hashes[i], hashes[j])])
     links = [
         (i, j) for i, j in near if candidate[i] == candidate[j] and 5 * levenshtein(lines[i], lines[j]) <= max(len(lines[i]), len(lines[j]))
     ]
@@ -282,6 +283,47 @@ def test_lines_against_brute_force(spark):
         assert rows[doc] == "\n".join(kept)
 
 
+def test_near_hashes_always_meet():
+    rnd = np.random.default_rng(5)
+    for _ in range(3000):
+        one = rnd.integers(0, 256, 16, dtype=np.uint8)
+        bits = np.unpackbits(one)
+        bits[rnd.choice(128, 7, replace=False)] ^= 1
+        other = np.packbits(bits)
+        assert any(one[x] == other[x] and one[y] == other[y] for x, y in line_dedup.PAIRS)
+
+
+def test_links_of_real_lines_are_found(spark):
+    """Recall over every fifteenth line of the data against all lines, by edit distance alone: no hash and no block."""
+    folder = "/root/testdata/sf0.01"
+    docs = table(spark, folder, "documents")
+    keyed = line_dedup._keyed(docs)
+    lines = line_dedup.line_rows(keyed)
+    distinct = lines.groupBy("line").agg(F.min(F.struct("doc", "th", "at")).alias("_f"), F.first("hash").alias("hash"), F.first("chars").alias("chars"))
+    distinct = common.stored(distinct.select(F.monotonically_increasing_id().alias("id"), "line", "hash", "chars", "_f.*"), "distinct")
+    root = dict(line_dedup.fuzzy_groups(keyed, distinct).collect())
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    known = [(r["id"], line_dedup.normalised(texts[r["doc"]])[r["at"]]) for r in distinct.select("id", "doc", "at").collect()]
+    known.sort(key=lambda x: x[1])
+    alphabet = {c: i for i, c in enumerate(sorted({c for _, t in known for c in t}))}
+    counts = np.zeros((len(known), len(alphabet)), np.int16)
+    for i, (_, t) in enumerate(known):
+        for c, n in Counter(t).items():
+            counts[i, alphabet[c]] = n
+    sizes = counts.sum(axis=1)
+    links = found = 0
+    for i in range(0, len(known), 15):
+        apart = counts - counts[i]
+        # No edit distance is below the characters one line has more of than the other.
+        least = np.maximum(np.where(apart > 0, apart, 0).sum(axis=1), np.where(apart < 0, -apart, 0).sum(axis=1))
+        for j in np.flatnonzero(5 * least <= np.maximum(sizes, sizes[i])):
+            if i != j and line_dedup.similar(known[i][1], known[j][1]):
+                links += 1
+                one, other = known[i][0], known[j][0]
+                found += root.get(one, one) == root.get(other, other)
+    assert links > 25 and found >= 0.9 * links, (found, links)
+
+
 def test_large_group_of_lines_is_verified_in_cells(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SLICE", 16)
     words = " ".join(f"word{i}" for i in range(60))
