@@ -160,7 +160,10 @@ def parse_texts(keyed: DataFrame, buckets: int, span: int = SPAN, gram: int = GR
 
     def packed(units: list[tuple[int, int, int, bytes]]) -> pd.DataFrame:
         first, later = first_places(parse(units, span, gram))
-        bucket = ((first["gram"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # Triggers are smallest hashes, so they are small themselves; hashed once more they fill the buckets evenly.
+        bucket = ((_mixed(first["gram"] * np.uint64(BASE)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        first, bucket = first[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         parts = np.split(first, cuts) if len(first) else []
         rows = [(int(bucket[i]), p.tobytes()) for i, p in zip(np.append(0, cuts), parts, strict=bool(len(first)))]

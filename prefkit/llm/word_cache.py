@@ -25,8 +25,8 @@ LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-į", "0-9"
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-į‐-‧]*+")
 # Fixed value: the pattern of byte-level BPE.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Two generations of so many pieces are some 60 MB of a worker's memory.
-MOST_PIECES = 100_000
+# Two generations of so many pieces are some 190 MB of a worker's memory.
+MOST_PIECES = 300_000
 # Byte-level BPE writes a printable byte as its own character and the others, in order, from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]

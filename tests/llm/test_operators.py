@@ -416,6 +416,14 @@ def test_repeats_against_brute_force(spark):
     assert found == expect and sum(r[2] for r in expect.values()) > 1000
 
 
+def test_triggers_fill_their_buckets_evenly(spark):
+    rnd = random.Random(8)
+    docs = [(i, "".join(rnd.choice("abcdefgh ") for _ in range(20_000))) for i in range(20)]
+    keyed = spark.createDataFrame([(d, i, bytearray(t.encode())) for i, (d, t) in enumerate(docs)], "doc long, th long, data binary")
+    sizes = [r["n"] for r in prefix_parsing.parse_texts(keyed, 8).where("bucket >= 0").groupBy("bucket").agg(F.sum(F.octet_length("phrases")).alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.2 * min(sizes)
+
+
 def test_long_texts_are_parsed_in_parts(monkeypatch):
     monkeypatch.setattr(prefix_parsing, "BATCH_BYTES", 1 << 12)
     data = bytes(np.random.default_rng(1).integers(97, 123, 30_000, dtype=np.uint8))
