@@ -43,6 +43,8 @@ HEAD_BYTES = struct.calcsize(HEAD)
 END_ID = 2
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 20, 64 << 10
 SHARD_BYTES = 64 << 20
+# Pieces of text a worker remembers.
+PIECES = 600_000
 # Documents decoded at once.
 ROWS = 1024
 LEVEL = 3
@@ -166,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     raw_files(spark.createDataFrame([(bytearray(dictionary),)], "blob binary").coalesce(1), f"{path}/dictionary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, part, number = word_cache(tokenizer), TaskContext.get().partitionId(), 0
+        cache, part, number = word_cache(tokenizer, PIECES), TaskContext.get().partitionId(), 0
         shard = ShardWriter(dictionary, _width(cache.vocabulary), shard_bytes)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):

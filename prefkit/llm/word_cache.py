@@ -38,8 +38,9 @@ _open: dict[str, "WordCache"] = {}
 class WordCache(dict):
     """Piece to its ids as little-endian unsigned 32-bit integers; full, it starts anew and keeps what is still used."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         super().__init__()
+        self.most = most or MOST_PIECES
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
@@ -72,7 +73,7 @@ class WordCache(dict):
         if any(token in small for token in self._own):
             return self._library(text)
         pieces = self._pattern.findall(small if self._lower else text)
-        if len(self) >= MOST_PIECES:
+        if len(self) >= self.most:
             self._older = dict(self)
             self.clear()
         new = [piece for piece in set(pieces) if piece not in self]
@@ -116,8 +117,9 @@ def _fast_path(layout: dict) -> tuple[re.Pattern | None, bool]:
     return None, False
 
 
-def word_cache(path: str) -> WordCache:
-    """One cache per file and Python worker."""
+def word_cache(path: str, most: int | None = None) -> WordCache:
+    """One cache per file and Python worker, of the size last asked for."""
     if path not in _open:
         _open[path] = WordCache(path)
+    _open[path].most = most or MOST_PIECES
     return _open[path]
