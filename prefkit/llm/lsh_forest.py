@@ -1,11 +1,14 @@
 """Jaccard join of documents on word shingles by a MinHash LSH forest.
 
 A document's set of ``SHINGLE``-word shingles gets ``TREES`` labels of ``DEPTH``
-minimum hashes each. A label is a path in a prefix trie; sorted labels make
-the trie, and documents with a common prefix meet in a node. Matching starts at
-whole labels and shortens the prefix until two documents at the threshold
-meet in some tree with the target probability. All pairs that meet are
-verified exactly on their sets.
+minimum hashes each. A label is a path in a prefix trie; the labels of a tree,
+range sorted, are the trie, and a label's common prefix with its neighbours says
+how deep it meets another one. Documents first meet at whole labels, and these
+pairs are verified. Then each document shortens its prefix in all trees until its
+recall reaches the target: a document whose least similar link so far would be
+found at a depth with that probability stops there, one without links goes on until
+that holds for the threshold itself. Two documents meet at the shorter of their
+prefixes. All pairs that meet are verified exactly on their sets.
 
 Documents with equal sets are one class and enter the forest once. Small nodes
 list their pairs. Members of large nodes would give too many: they are grouped
@@ -25,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 import xxhash
 
@@ -36,7 +40,8 @@ SHINGLE = 5
 THRESHOLD = (4, 5)
 TREES, DEPTH, TARGET_RECALL = 24, 8, 0.999
 SMALL_NODE = 24
-BLOCK = 512
+# Members of a block of a large group, and shingles in all its sets.
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 SEED = 5
 
 _random = np.random.default_rng(SEED)
@@ -50,14 +55,22 @@ def recall(depth: int, trees: int = TREES, similarity: float = THRESHOLD[0] / TH
     return 1 - (1 - similarity**depth) ** trees
 
 
-def prefix_depth(target: float = TARGET_RECALL) -> int:
-    """The longest prefix that reaches the target recall at the threshold."""
+def prefix_depth(target: float = TARGET_RECALL, similarity: float = THRESHOLD[0] / THRESHOLD[1]) -> int:
+    """The longest prefix at which two documents of this similarity meet with the target probability."""
     depth = DEPTH
-    while depth > 1 and recall(depth) < target:
+    while depth > 1 and recall(depth, similarity=similarity) < target:
         depth -= 1
     return depth
 
 
+def shortened(least: Column) -> Column:
+    """The depth at which a document reaches the target recall, by its least similar link; without one, by the threshold."""
+    floor = prefix_depth()
+    enough = 1 - (1 - TARGET_RECALL) ** (1 / TREES)
+    steps = [F.when(least >= enough ** (1 / depth), 1).otherwise(0) for depth in range(floor + 1, DEPTH + 1)]
+    return sum(steps, F.lit(floor)).cast("int")
+
+
 class Words(dict):
     """Word to 64-bit hash, kept for a batch of texts."""
 
@@ -108,10 +121,51 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_slices(texts_of(docs).select("doc_id", F.xxhash64("text").alias("th"), "text"), run, SIGNED)
 
 
-def nodes(classes: DataFrame, depth: int) -> DataFrame:
-    """(node, cls, n): the trie node each class reaches in every tree at a prefix of ``depth`` hashes."""
-    prefix = [F.xxhash64(F.lit(t), F.substring("labels", 2 * DEPTH * t + 1, 2 * depth)) for t in range(TREES)]
-    return classes.where("n > 0").select("cls", "n", F.explode(F.array(*prefix)).alias("node"))
+def common_prefixes(trees: np.ndarray, paths: np.ndarray) -> np.ndarray:
+    """How many leading hashes each label shares with the one after it; none with one of another tree."""
+    same = (paths[1:] == paths[:-1]).astype(np.int64).cumprod(axis=1).sum(axis=1)
+    return np.where(trees[1:] == trees[:-1], same, 0)
+
+
+def forest(classes: DataFrame, shortest: int) -> DataFrame:
+    """(tree, path, cls, n) in order: the labels that share at least ``shortest`` hashes with a neighbour in their trie.
+
+    Labels at the ends of a partition stay, as their other neighbour is not seen.
+    """
+    schema = "tree int, path binary, cls binary, n long"
+    paths = [F.struct(F.lit(t).alias("tree"), F.substring("labels", 2 * DEPTH * t + 1, 2 * DEPTH).alias("path")) for t in range(TREES)]
+    leaves = classes.where("n > 0").select(F.inline(F.array(*paths)), "cls", "n")
+    order = ["tree", "path", "cls"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before = None, DEPTH
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+            trees = rows["tree"].to_numpy(zero_copy_only=False)
+            after = common_prefixes(trees, np.frombuffer(b"".join(rows["path"].to_pylist()), ">u2").reshape(-1, DEPTH))
+            # The last row waits for the one after it.
+            deepest = np.maximum(np.concatenate([[before], after[:-1]]), after) if len(after) else after
+            kept = rows.slice(0, rows.num_rows - 1).filter(pa.array(deepest >= shortest))
+            held, before = rows.slice(rows.num_rows - 1), int(after[-1]) if len(after) else before
+            yield kept
+        if held is not None:
+            yield held
+
+    return leaves.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def nodes(trie: DataFrame, depths: DataFrame, shortest: int) -> DataFrame:
+    """(node, cls, n, members, centre) of the nodes in which some class that stops at their depth meets another.
+
+    ``depths`` (cls, depth) says where a class stops; it is found in every node above, too.
+    """
+    placed = trie.join(depths, "cls").withColumn("at", F.explode(F.sequence(F.lit(shortest), F.col("depth"))))
+    node = F.xxhash64("tree", "at", F.expr("substring(path, 1, 2 * at)")).alias("node")
+    placed = placed.select(node, "cls", "n", (F.col("depth") == F.col("at")).alias("asks"))
+    met = placed.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("centre"), F.max("asks").alias("asked"))
+    return placed.join(met.where("members > 1 and asked").drop("asked"), "node").drop("asks")
 
 
 def _similar(inter, one, other):
@@ -130,35 +184,36 @@ def small_pairs(members: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, shingles) of the representatives (rep_id, rep_th) of wanted classes."""
+    """(cls, n, shingles) of the representatives (rep_id, rep_th) of wanted classes (with n)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = Words()
-            yield pd.DataFrame({"cls": batch["cls"], "shingles": [shingles(t, words).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"cls": batch["cls"], "n": batch["n"], "shingles": [shingles(t, words).tobytes() for t in batch["text"]]})
 
     texts = texts_of(docs).select("doc_id", F.xxhash64("text").alias("th"), "text")
     match = texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["th"] == wanted["rep_th"])
-    rows = texts.join(wanted, match).select("cls", "text")
+    rows = texts.join(wanted, match).select("cls", "n", "text")
     # A representative that is repeated gives equal rows.
-    return map_slices(rows, run, "cls binary, shingles binary").dropDuplicates(["cls"])
+    return map_slices(rows, run, "cls binary, n long, shingles binary").dropDuplicates(["cls"])
 
 
 def verified_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets reach the threshold."""
+    """The pairs (a, b) whose sets reach the threshold, and their similarity."""
 
-    @F.pandas_udf("boolean")
-    def linked(one: pd.Series, other: pd.Series) -> pd.Series:
+    @F.pandas_udf("double")
+    def similarity(one: pd.Series, other: pd.Series) -> pd.Series:
         out = []
         for a, b in zip(one, other, strict=True):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            inter = len(x) + len(y) - len(np.union1d(x, y))
-            out.append(bool(_similar(inter, len(x), len(y))))
-        return pd.Series(out, dtype=bool)
+            union = len(np.union1d(x, y))
+            inter = len(x) + len(y) - union
+            out.append(inter / union if _similar(inter, len(x), len(y)) else None)
+        return pd.Series(out, dtype=float)
 
     first = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a"))
     second = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b"))
-    return pairs.join(first, "a").join(second, "b").where(linked("_a", "_b")).select("a", "b")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", similarity("_a", "_b").alias("least")).where("least is not null")
 
 
 def common_counts(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
@@ -195,32 +250,77 @@ def least_labels(linked: np.ndarray) -> np.ndarray:
 
 
 def _cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Links inside a cell: each member's count and one link towards its group."""
+    """Links inside a cell: each member's count, its least similarity and one link towards its group."""
     rows = rows.sort_values(["block", "cls"], ignore_index=True)
     sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
     sizes = np.array([len(s) for s in sets], np.int64)
     first = int((rows["block"] == key[1]).sum())
     linked = np.zeros((len(sets), len(sets)), bool)
+    alike = np.full(linked.shape, np.inf)
+
+    def compare(one: slice, other: slice) -> tuple[np.ndarray, np.ndarray]:
+        inter, total = common_counts(sets[one], sets[other]), sizes[one, None] + sizes[None, other]
+        near = _similar(inter, sizes[one, None], sizes[None, other])
+        return near, np.where(near, inter / (total - inter), np.inf)
+
     if key[1] == key[2]:
-        linked[:] = _similar(common_counts(sets, sets), sizes[:, None], sizes[None, :])
+        linked[:], alike[:] = compare(slice(None), slice(None))
         np.fill_diagonal(linked, False)
+        np.fill_diagonal(alike, np.inf)
     else:
-        across = _similar(common_counts(sets[:first], sets[first:]), sizes[:first, None], sizes[None, first:])
-        linked[:first, first:], linked[first:, :first] = across, across.T
+        low, high = slice(None, first), slice(first, None)
+        linked[low, high], alike[low, high] = compare(low, high)
+        linked[high, low], alike[high, low] = linked[low, high].T, alike[low, high].T
     label = least_labels(linked)
-    return pd.DataFrame({"a": rows["cls"], "b": rows["cls"].to_numpy()[label], "links": linked.sum(axis=1).astype(np.int64)})
+    least = alike.min(axis=1, initial=np.inf)
+    return pd.DataFrame(
+        {"a": rows["cls"], "b": rows["cls"].to_numpy()[label], "links": linked.sum(axis=1).astype(np.int64), "least": np.where(np.isinf(least), np.nan, least)}
+    )
 
 
 def group_links(grouped: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, links) of groups (root, cls): ``links`` counts a member's links in one cell, b is a member it is connected with."""
-    sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
-    blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    placed = grouped.join(sizes, "root").select("root", "cls", blocks.alias("_blocks"), F.pmod(F.xxhash64("cls"), blocks).cast("int").alias("block"))
+    """(a, b, links, least) of groups (root, cls): ``links`` counts a member's links in one cell, b is a member it is connected with."""
+    rows = grouped.join(sets.select("cls", "n"), "cls")
+    sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("_size"), F.sum("n").alias("_all"))
+    blocks = F.ceil(F.greatest(F.col("_size") / BLOCK, F.col("_all") / BLOCK_SHINGLES)).cast("int")
+    placed = rows.join(sizes, "root").select("root", "cls", blocks.alias("_blocks"), F.pmod(F.xxhash64("cls"), blocks).cast("int").alias("block"))
     cells = F.transform(
         F.sequence(F.lit(0), F.col("_blocks") - 1), lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j"))
     )
-    dealt = placed.select("root", "cls", "block", F.inline(cells)).join(sets, "cls")
-    return dealt.groupBy("root", "i", "j").applyInPandas(_cell, "a binary, b binary, links long")
+    dealt = placed.select("root", "cls", "block", F.inline(cells)).join(sets.drop("n"), "cls")
+    return dealt.groupBy("root", "i", "j").applyInPandas(_cell, "a binary, b binary, links long, least double")
+
+
+def links_at(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, links, least): the verified links of classes that meet in the given nodes.
+
+    ``links`` summed over a is its number of links, ``least`` the similarity of
+    the least similar one (null where there is none); b connects a to its group.
+    """
+    large = members.where(F.col("members") > SMALL_NODE)
+    grouped = connected_groups(large.select(F.col("cls").alias("a"), F.col("centre").alias("b")))
+    grouped = stored(grouped.select("root", F.col("member").alias("cls")), "groups")
+    pairs = small_pairs(members)
+    one_root, other_root = (grouped.select(F.col("cls").alias(c), F.col("root").alias(f"_{c}")) for c in "ab")
+    pairs = pairs.join(one_root, "a", "left").join(other_root, "b", "left")
+    # Pairs inside a group are verified in its cells.
+    pairs = pairs.where("_a is null or _b is null or _a <> _b").select("a", "b")
+    found = stored(verified_pairs(pairs, sets), "pairs")
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "least"))
+    both = both.select("a", "b", F.lit(1).cast("bigint").alias("links"), "least")
+    return stored(both.unionByName(group_links(grouped, sets)), "verified")
+
+
+def forest_links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links of ``links_at`` between classes, and (cls, depth): the prefix each matched class was shortened to."""
+    shortest = prefix_depth()
+    trie = stored(forest(classes, shortest), "trie")
+    matched = stored(trie.select("cls").distinct(), "matched")
+    sets = stored(shingle_sets(docs, classes.select("cls", "n", "rep_id", "rep_th").join(matched, "cls")), "sets")
+    whole = links_at(stored(nodes(trie, matched.withColumn("depth", F.lit(DEPTH)), DEPTH), "members"), sets)
+    known = whole.groupBy(F.col("a").alias("cls")).agg(F.min("least").alias("least"))
+    depths = stored(matched.join(known, "cls", "left").select("cls", shortened(F.col("least")).alias("depth")), "depths")
+    return links_at(stored(nodes(trie, depths, shortest), "members"), sets), depths
 
 
 def _representative() -> Column:
@@ -242,26 +342,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     classes = stored(
         classes.select("cls", "n", "labels", "n_copies", F.col("_rep.doc_id").alias("rep_id"), F.col("_rep.th").alias("rep_th")), "classes"
     )
-    reached = nodes(classes, prefix_depth())
-    counts = reached.groupBy("node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = stored(reached.join(counts, "node"), "members")
-
-    large = members.where(F.col("members") > SMALL_NODE)
-    centre = large.groupBy("node").agg(F.min("cls").alias("b"))
-    grouped = connected_groups(large.join(centre, "node").select(F.col("cls").alias("a"), "b"))
-    grouped = stored(grouped.select("root", F.col("member").alias("cls")), "groups")
-    pairs = small_pairs(members)
-    one_root, other_root = (grouped.select(F.col("cls").alias(c), F.col("root").alias(f"_{c}")) for c in "ab")
-    pairs = pairs.join(one_root, "a", "left").join(other_root, "b", "left")
-    # Pairs inside a group are verified in its cells.
-    pairs = stored(pairs.where("_a is null or _b is null or _a <> _b").select("a", "b"), "pairs")
-
-    asked = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).unionByName(grouped.select("cls")).distinct()
-    sets = stored(shingle_sets(docs, classes.select("cls", "rep_id", "rep_th").join(asked, "cls")), "sets")
-    found = verified_pairs(pairs, sets)
-    both = found.select("a", "b", F.lit(1).cast("bigint").alias("links"))
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "links"))
-    links = stored(both.unionByName(group_links(grouped, sets)), "verified")
+    links, _ = forest_links(docs, classes)
 
     totals = links.groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("n_links"))
     roots = connected_groups(links.select("a", "b")).select(F.col("member").alias("cls"), "root")

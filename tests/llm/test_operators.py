@@ -505,6 +505,62 @@ def test_forest_recall():
     assert lsh_forest.prefix_depth(0.5) > lsh_forest.prefix_depth(0.999)
 
 
+def test_common_prefixes():
+    paths = np.array([[1, 2, 3], [1, 2, 4], [1, 2, 4], [7, 2, 4], [7, 2, 4]])
+    assert lsh_forest.common_prefixes(np.array([0, 0, 0, 0, 1]), paths).tolist() == [2, 3, 0, 0]
+
+
+@pytest.mark.parametrize("batch, parts", [(1, 1), (2, 3), (10_000, 1)])
+def test_forest_keeps_what_shares_a_prefix(spark, batch, parts):
+    rnd = random.Random(3)
+    labels = [b"".join(rnd.choice([0, 1, 2]).to_bytes(2, "big") for _ in range(lsh_forest.TREES * lsh_forest.DEPTH)) for _ in range(300)]
+    rows = [(bytearray([i // 256, i % 256]), 9, bytearray(x)) for i, x in enumerate(labels)]
+    classes = spark.createDataFrame(rows, "cls binary, n long, labels binary")
+    size, count = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = {(r["tree"], bytes(r["path"]), bytes(r["cls"])) for r in lsh_forest.forest(classes, 6).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        spark.conf.set("spark.sql.shuffle.partitions", count)
+    width, need = 2 * lsh_forest.DEPTH, set()
+    for tree in range(lsh_forest.TREES):
+        paths = [(x[tree * width : (tree + 1) * width], bytes(r[0])) for x, r in zip(labels, rows, strict=True)]
+        met = Counter(p[:12] for p, _ in paths)
+        need |= {(tree, p, c) for p, c in paths if met[p[:12]] > 1}
+    # The ends of a partition stay, too.
+    assert need <= found and len(found - need) <= 2 * parts and need
+
+
+def test_forest_shortens_by_document(spark):
+    rnd = random.Random(4)
+
+    def edited(base, changes):
+        words = list(base)
+        for at in rnd.sample(range(len(words)), changes):
+            words[at] = f"edit{rnd.randrange(10**9)}"
+        return " ".join(words)
+
+    docs = []
+    for family in range(8):
+        # Copies with one changed word in 300, and with some 2 % of the words changed.
+        base = [f"f{family}w{i}" for i in range(300)]
+        changes = 1 if family % 2 else 6
+        docs += [(len(docs) + i, t) for i, t in enumerate([" ".join(base), edited(base, changes)])]
+    docs.append((len(docs), " ".join(f"alone{i}" for i in range(300))))
+    table = documents(spark, docs)
+    signed = lsh_forest.signatures(table)
+    classes = signed.selectExpr("cls", "n", "labels", "doc_id as rep_id", "th as rep_th")
+    _, depths = lsh_forest.forest_links(table, classes)
+    known = {r["rep_id"]: r["depth"] for r in depths.join(classes, "cls").collect()}
+    assert all(known[i] == lsh_forest.DEPTH for i in range(16) if (i // 2) % 2)
+    least = {d: (1 - (1 - lsh_forest.TARGET_RECALL) ** (1 / lsh_forest.TREES)) ** (1 / d) for d in (7, 8)}
+    similarity = spark.range(1).select(*[lsh_forest.shortened(lsh_forest.F.lit(s)).alias(n) for n, s in {"a": least[8] + 0.001, "b": least[7] + 0.001, "c": 0.8, "d": None}.items()])
+    assert tuple(similarity.first()) == (8, 7, 6, 6)
+    assert len({d for i, d in known.items()}) > 1
+
+
 def test_common_counts():
     rnd = np.random.default_rng(5)
     sets = [np.unique(rnd.integers(0, 9000, rnd.integers(1, 3000)).astype(np.uint64)) for _ in range(9)]
