@@ -11,6 +11,7 @@ with another layout.
 from __future__ import annotations
 
 import json
+from operator import itemgetter
 import os
 import re
 
@@ -53,17 +54,13 @@ class WordCache(dict):
     def _library(self, text: str) -> bytes:
         return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        unknown = []
-        for piece in pieces:
-            ids = self._older.get(piece)
-            if ids is None:
-                unknown.append(piece)
-            else:
-                self[piece] = ids
-        for piece in unknown:
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._older.get(piece)
+        if ids is None:
             characters = piece.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-            self[piece] = np.asarray([token.id for token in self._model.tokenize(characters)], "<u4").tobytes()
+            ids = np.asarray([token.id for token in self._model.tokenize(characters)], "<u4").tobytes()
+        self[piece] = ids
+        return ids
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text, as bytes."""
@@ -76,10 +73,10 @@ class WordCache(dict):
         if len(self) >= self.most:
             self._older = dict(self)
             self.clear()
-        new = [piece for piece in set(pieces) if piece not in self]
-        if new:
-            self._learn(new)
-        return b"".join(map(self.__getitem__, pieces))
+        # One look for each piece, new or not; of one piece alone the getter would return no tuple.
+        if len(pieces) < 2:
+            return b"".join(map(self.__getitem__, pieces))
+        return b"".join(itemgetter(*pieces)(self))
 
 
 def _plain(pattern: str) -> re.Pattern:
