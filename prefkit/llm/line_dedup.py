@@ -48,8 +48,6 @@ BLOCKS = BITS // 8
 PAIRS = [(k, (k + 1) % BLOCKS) for k in range(BLOCKS)] + [(k, (k + 3) % BLOCKS) for k in range(0, BLOCKS, 4)]
 # Lines and words hashed at once; lines per bucket of block values; lines per slice and per cell of groups.
 BATCH_LINES, BATCH_WORDS, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 50_000, 512, 4000
-# Words whose digests a worker keeps.
-MOST_WORDS = 100_000
 LOWEST = -(2**63)
 
 _BETWEEN = re.compile(r"[^\w\n]+")
@@ -67,26 +65,14 @@ def normalise(line: str) -> str:
     return normalised(line)[0]
 
 
-class Digests(dict):
-    """Word to its 128-bit digest; full, it starts anew."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_128_digest(word)
-        return value
-
-
-_digests = Digests()
-
-
 def simhashes(lines: Sequence[bytes]) -> list[bytes]:
     """SimHashes of normalised lines. Each distinct word votes once; else frequent words would make all long lines alike.
 
     The ones of a bit are counted in bytes, eight to a machine word, 255 words of a line at a time.
     """
     sets = [set(line.split(b" ")) for line in lines]
-    digests = b"".join(map(_digests.__getitem__, chain.from_iterable(sets)))
+    # Hashing a word takes less time than finding its digest among those of many others.
+    digests = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(sets)))
     votes = np.unpackbits(np.frombuffer(digests, np.uint8)).view("<u8").reshape(-1, BITS // 8)
     sizes = np.array([len(words) for words in sets], np.int64)
     parts = -(-sizes // 255)
