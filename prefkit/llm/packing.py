@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from prefkit.llm.common import map_slices, texts_of
-from prefkit.llm.word_cache import word_cache
+from prefkit.llm.word_cache import WordCache
 
 LENGTH, END_ID = 2048, 1
 LINEAR, QUADRATIC = 1.0, 1 / 1024
@@ -144,7 +144,7 @@ def pack(
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = word_cache(tokenizer)
+        cache = WordCache(tokenizer)
         packer = Packer(length, TaskContext.get().partitionId() << SEQUENCE_BITS, linear, quadratic)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 import zstandard
 
 from prefkit.llm.common import map_slices, raw_files, texts_of
-from prefkit.llm.word_cache import word_cache
+from prefkit.llm.word_cache import WordCache
 from prefkit.session import fresh_path
 
 MAGIC = b"TOKSHRD2"
@@ -43,7 +43,7 @@ HEAD_BYTES = struct.calcsize(HEAD)
 END_ID = 2
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 20, 64 << 10
 SHARD_BYTES = 64 << 20
-# Pieces of text a worker remembers.
+# Pieces of text a task remembers.
 PIECES = 600_000
 # Documents decoded at once.
 ROWS = 1024
@@ -84,7 +84,7 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, sample
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, samples, held = word_cache(tokenizer), [], 0
+        cache, samples, held = WordCache(tokenizer), [], 0
         for batch in batches:
             for text in batch["text"]:
                 if held < SAMPLE_BYTES:
@@ -168,7 +168,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     raw_files(spark.createDataFrame([(bytearray(dictionary),)], "blob binary").coalesce(1), f"{path}/dictionary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, part, number = word_cache(tokenizer, PIECES), TaskContext.get().partitionId(), 0
+        cache, part, number = WordCache(tokenizer, PIECES), TaskContext.get().partitionId(), 0
         shard = ShardWriter(dictionary, _width(cache.vocabulary), shard_bytes)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):

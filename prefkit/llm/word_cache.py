@@ -10,6 +10,7 @@ with another layout.
 
 from __future__ import annotations
 
+import functools
 import json
 from operator import itemgetter
 import os
@@ -26,26 +27,34 @@ LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-į", "0-9"
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-į‐-‧]*+")
 # Fixed value: the pattern of byte-level BPE.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Two generations of so many pieces are some 190 MB of a worker's memory.
+# Two generations of so many pieces are some 190 MB of a task's memory.
 MOST_PIECES = 300_000
 # Byte-level BPE writes a printable byte as its own character and the others, in order, from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
 BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(_OTHERS)}
 
-_open: dict[str, "WordCache"] = {}
+
+@functools.cache
+def _opened(path: str) -> tuple[Tokenizer, dict]:
+    """A tokenizer and its layout without the vocabulary, once per file and Python worker."""
+    with open(path, encoding="utf-8") as file:
+        layout = json.load(file)
+    layout["model"] = {"dropout": layout["model"].get("dropout")}
+    return Tokenizer.from_file(path), layout
 
 
 class WordCache(dict):
-    """Piece to its ids as little-endian unsigned 32-bit integers; full, it starts anew and keeps what is still used."""
+    """Piece to its ids as little-endian unsigned 32-bit integers; full, it starts anew and keeps what is still used.
+
+    A task has its own, so that its memory is free for the tasks that come after it in the same worker.
+    """
 
     def __init__(self, path: str, most: int | None = None):
         super().__init__()
         self.most = most or MOST_PIECES
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer, layout = _opened(path)
         self._model = self._tokenizer.model
-        with open(path, encoding="utf-8") as file:
-            layout = json.load(file)
         self._pattern, self._lower = _fast_path(layout)
         self._own = [token["content"].lower() for token in layout.get("added_tokens", [])]
         self._older: dict[str, bytes] = {}
@@ -112,11 +121,3 @@ def _fast_path(layout: dict) -> tuple[re.Pattern | None, bool]:
     ):
         return _plain(steps[0]["pattern"]["Regex"]), True
     return None, False
-
-
-def word_cache(path: str, most: int | None = None) -> WordCache:
-    """One cache per file and Python worker, of the size last asked for."""
-    if path not in _open:
-        _open[path] = WordCache(path)
-    _open[path].most = most or MOST_PIECES
-    return _open[path]
