@@ -92,27 +92,25 @@ def labelled_preferences(spark: SparkSession, folder: str, seed: int | str = "pa
         (F.col("r") % F.col("n_bad")).alias("bad_r"),
         F.floor(F.floor(F.col("r") / F.col("n_bad")) / USES_PER_COPY).cast("bigint").alias("copy"),
     )
-    texts = documents.select("doc_id", "text")
-    copies = F.floor(F.floor((F.col("n_good") - 1) / F.col("n_bad")) / USES_PER_COPY).cast("bigint")
-    rejected = (
-        ranked.where(~good & (F.col("n_good") > 0))
-        .join(texts, "doc_id")
-        .select(
-            F.col("doc_id").alias("rejected_id"), "lang", F.col("r").alias("bad_r"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), copies)).alias("copy"),
-            F.col("text").alias("rejected"),
-        )
-    )
-    paired = chosen.join(rejected, ["lang", "bad_r", "copy"]).join(
-        texts.select(F.col("doc_id").alias("row_id"), F.col("text").alias("chosen")), "row_id"
-    )
-    # Few questions are broadcast by size; many have keys enough to spread the shuffle.
+    # The question is found for the bare keys, before any text is with them.
     asked = hash_rank(table(spark, folder, "benchmark"), "item_id", seed).select(
         (F.col("rank") - 1).alias("q"), F.col("text").alias("question")
     )
     n_asked = table(spark, folder, "benchmark").agg(F.count(F.lit(1)).alias("n")).scalar()
-    return paired.withColumn("q", F.col("r") % n_asked).join(asked, "q").select(
-        "row_id", "question", "chosen", "rejected", "rejected_id"
+    chosen = chosen.withColumn("q", F.col("r") % n_asked).join(asked, "q").drop("q", "r")
+    # Only texts with a label move, and both joins by document read the same shuffle of them; hashing the
+    # keys of a partition, which are few bytes, keeps the texts from being sorted.
+    texts = documents.select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
+    copies = F.floor(F.floor((F.col("n_good") - 1) / F.col("n_bad")) / USES_PER_COPY).cast("bigint")
+    bad = ranked.where(~good & (F.col("n_good") > 0)).select("doc_id", "lang", F.col("r").alias("bad_r"), copies.alias("copies"))
+    rejected = texts.join(bad.hint("shuffle_hash"), "doc_id").select(
+        F.col("doc_id").alias("rejected_id"), "lang", "bad_r",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), "copies")).alias("copy"),
+        F.col("text").alias("rejected"),
+    )
+    known = texts.join(chosen.withColumnRenamed("row_id", "doc_id").hint("shuffle_hash"), "doc_id")
+    return known.join(rejected.hint("shuffle_hash"), ["lang", "bad_r", "copy"]).select(
+        F.col("doc_id").alias("row_id"), "question", F.col("text").alias("chosen"), "rejected", "rejected_id"
     )
 
 
