@@ -292,6 +292,7 @@ def decode_texts(spark, folder):
     words = inputs.vocabulary(spark, folder)
     sides = F.array(*[F.struct(F.lit(n).alias("side"), F.col(n).alias("ids")) for n in SIDES])
     ids = _pair_ids(spark, folder).select("row_id", F.inline(sides)).select(F.concat_ws("|", "row_id", "side").alias("name"), "ids")
+    ids = written(ids, "pair-ids")
     both = decode(ids, "name", "ids", words, name="kept").join(decode(ids, "name", "ids", words, skip_special=True, name="plain"), "name")
     parts = F.split("name", r"\|")
     return both.select(parts[0].cast("bigint").alias("row_id"), parts[1].alias("side"), "kept", "plain")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from prefkit.functions.chat import CLOSE, END_OF_TEXT, OPEN
 from prefkit.functions.text import words
 from prefkit.functions.tokens import truncate
-from prefkit.operators.lookup import is_small, lookup
+from prefkit.operators.lookup import ends, find_known, frequent, is_small, lookup, merged
 from prefkit.operators.positions import number_rows
 from prefkit.sources.files import written
 
@@ -40,30 +42,43 @@ class Vocabulary:
     table: DataFrame
     specials: tuple[str, ...] = field(default=SPECIALS)
 
-    def lookup_table(self) -> DataFrame:
-        marks = self.table.sparkSession.createDataFrame(
+    def marks(self) -> DataFrame:
+        return self.table.sparkSession.createDataFrame(
             [(tok, 0, i) for i, tok in enumerate(self.specials)], "tok string, cnt bigint, id bigint"
         )
-        return self.table.unionByName(marks)
+
+    def lookup_table(self) -> DataFrame:
+        return self.table.unionByName(self.marks())
+
+    def frequent(self, key: str) -> DataFrame:
+        """The markers and the most frequent words, as many as may be broadcast."""
+        return frequent(self.table, key).unionByName(self.marks())
 
     def attach(self, df: DataFrame, row_key: str, keys: list[str], key: str, explode: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Explodes ``df``, looks every item up and packs it again: (keys…, ``key``, at, looked up values).
+        """Explodes ``df`` and looks every item up in the broadcast table: (keys…, ``key``, pos, looked up values).
 
         The rows are laid out by their key before they are exploded: what moves is
-        the text, which is smaller than its tokens. With a broadcast table every token keeps a row, ``at`` holds
-        its one place, and collecting the tokens again moves nothing. Beyond that a text is reduced
-        to its distinct items with all their places, stored once; only these are shuffled to the table and back.
+        the text, which is smaller than its tokens, and collecting the tokens again moves nothing.
         """
-        table = self.lookup_table()
-        if is_small(table, key):
-            rows = explode(df.repartition(row_key))
-            return lookup(rows.select(*keys, key, F.array("pos").alias("at")), table, key, small=True)
-        return lookup(written(text_entries(explode(df.repartition(row_key)), keys, key), "text-entries"), table, key, small=False)
+        rows = explode(df.repartition(row_key))
+        return lookup(rows.select(*keys, key, "pos"), self.lookup_table(), key, small=True)
 
+    def attach_packed(self, lists: DataFrame, items: str, keys: list[str], key: str, value: Column) -> DataFrame:
+        """The same past the broadcast limit, with ``items`` as lists: (keys…, known, ``key``, pos, looked up values).
 
-def text_entries(tokens: DataFrame, keys: list[str], key: str) -> DataFrame:
-    """(keys…, ``key``, at): the distinct items of each text with their places."""
-    return tokens.groupBy(*keys, key).agg(F.collect_list("pos").alias("at"))
+        A list has one row with what the frequent words say of its items, ``known``, and one for each other item; only
+        those meet the whole table. Both are stored once.
+        """
+        known = self.frequent(key).select(key, value.alias("v"))
+        rows = find_known(lists, items, known, key, "v")
+        none = {"known": rows.schema["known"].dataType, "pos": "int", key: lists.schema[items].dataType.elementType}
+        none = {name: F.lit(None).cast(kind).alias(name) for name, kind in none.items()}
+        whole = F.struct(F.col("known"), none["pos"], none[key])
+        others = F.transform("rest", lambda e: F.struct(none["known"], e["pos"].alias("pos"), e[key].alias(key)))
+        entries = rows.select(*keys, F.inline(F.concat(F.array(whole), others)))
+        stored = written(entries, "text-entries")
+        found = lookup(stored.where(F.col(key).isNotNull()).drop("known"), self.lookup_table(), key, small=False)
+        return stored.where(F.col("known").isNotNull()).select(*keys, "known").unionByName(found, allowMissingColumns=True)
 
 
 def build_vocabulary(df: DataFrame, *texts: Column) -> Vocabulary:
@@ -74,24 +89,24 @@ def build_vocabulary(df: DataFrame, *texts: Column) -> Vocabulary:
     return Vocabulary(ranked.select("tok", "cnt", (F.col("_rank") + len(SPECIALS)).alias("id")))
 
 
+def word_lists(df: DataFrame, key: str, texts: Mapping[str, Column], max_len: int | None = None) -> DataFrame:
+    """(key, side, cut, w): the words of the named texts, and whether a text was cut at ``max_len``."""
+    sides = F.array(*[F.struct(F.lit(name).alias("side"), chat_words(text).alias("w")) for name, text in texts.items()])
+    cut = F.lit(False) if max_len is None else F.size("w") > max_len
+    return df.select(key, F.inline(sides)).select(key, "side", cut.alias("cut"), truncate(F.col("w"), max_len).alias("w"))
+
+
 def token_rows(df: DataFrame, key: str, texts: Mapping[str, Column], max_len: int | None = None) -> DataFrame:
-    """(key, side, pos, tok) of the named texts, and whether a text was cut at ``max_len``.
+    """(key, side, cut, pos, tok) of the named texts.
 
     A text without words keeps one row with a null ``tok``.
     """
-    sides = F.array(*[F.struct(F.lit(name).alias("side"), chat_words(text).alias("w")) for name, text in texts.items()])
-    cut = F.lit(False) if max_len is None else F.size("w") > max_len
-    return (
-        df.select(key, F.inline(sides))
-        .select(key, "side", cut.alias("cut"), truncate(F.col("w"), max_len).alias("w"))
-        .select(key, "side", "cut", F.posexplode_outer("w").alias("pos", "tok"))
-    )
+    return word_lists(df, key, texts, max_len).select(key, "side", "cut", F.posexplode_outer("w").alias("pos", "tok"))
 
 
 def _collect(value: Column, when: Column, item: str) -> Column:
     """Values in text order. One list never exceeds one text."""
-    packed = F.collect_list(F.when(when & F.col(item).isNotNull(), F.struct(F.col("at"), value.alias("v"))))
-    pairs = F.flatten(F.transform(packed, lambda e: F.transform(e["at"], lambda pos: F.struct(pos.alias("pos"), e["v"].alias("v")))))
+    pairs = F.collect_list(F.when(when & F.col(item).isNotNull(), F.struct(F.col("pos"), value.alias("v"))))
     return F.transform(F.array_sort(pairs), lambda p: p["v"])
 
 
@@ -107,9 +122,14 @@ def encode(
 
     ``with_text`` adds ``<name>_text``, what decoding the ids would give, without a second lookup.
     """
-    rows = vocabulary.attach(df, key, [key, "side", "cut"], "tok", lambda laid: token_rows(laid, key, texts, max_len))
     number = F.coalesce(F.col("id"), F.lit(UNK_ID)).cast("int")
     known = F.when(F.col("id").isNull(), vocabulary.specials[UNK_ID]).otherwise(F.col("tok"))
+    keys = [key, "side", "cut"]
+    if not is_small(vocabulary.lookup_table(), "tok"):
+        lists = word_lists(df.repartition(key), key, texts, max_len)
+        rows = vocabulary.attach_packed(lists, "w", keys, "tok", F.col("id").cast("int"))
+        return _packed(rows, key, vocabulary, {name: F.col("side") == name for name in texts}, "tok", number, known if with_text else None)
+    rows = vocabulary.attach(df, key, keys, "tok", lambda laid: token_rows(laid, key, texts, max_len))
     out = []
     for name in texts:
         here = F.col("side") == name
@@ -119,9 +139,55 @@ def encode(
     return rows.groupBy(key).agg(*out)
 
 
+def _packed(
+    rows: DataFrame, key: str, vocabulary: Vocabulary, names: Mapping[str, Column], item: str, number: Column | None, word: Column | None
+) -> DataFrame:
+    """Rows of ``attach_packed`` put together again: per name ids with ``<name>_cut``, and words in ``<name>_text``, as asked for."""
+    given = (word if number is None else number).isNotNull()
+    out, cuts = [], [F.lit(None).cast("boolean").alias("cut")] * ("cut" not in rows.columns)
+    rows = rows.select("*", *cuts)
+    for name, here in names.items():
+        found = F.struct("pos", *([number.alias("id")] if number is not None else []), *([word.alias("tok")] if word is not None else []))
+        out.append(F.collect_list(F.when(here, F.col("known"))).alias(f"{name}_known"))
+        out.append(F.collect_list(F.when(here & F.col(item).isNotNull() & given, found)).alias(f"{name}_found"))
+        out.append(F.max(here & F.col("cut")).alias(f"{name}_cut"))
+    grouped = rows.repartition(key).groupBy(key).agg(*out)
+    fields = [grouped.schema[key]]
+    for name in names:
+        fields += [T.StructField(name, T.ArrayType(T.IntegerType())), T.StructField(f"{name}_cut", T.BooleanType())] * (number is not None)
+        fields += [T.StructField(f"{name}_text", T.StringType())] * (word is not None)
+    spark = rows.sparkSession
+    table = vocabulary.frequent(item).select("id", "tok").toArrow().combine_chunks() if word is not None else None
+    shared = spark.sparkContext.broadcast(table)
+    of, with_ids, with_words, out_names = list(names), number is not None, word is not None, [f.name for f in fields]
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def words_of(ids: pa.Array) -> pa.Array:
+            by_id = {c: pa.chunked_array(shared.value[c]).combine_chunks() for c in ("id", "tok")}
+            return by_id["tok"].cast(pa.string()).take(pc.index_in(ids.cast(pa.int64()), value_set=by_id["id"].cast(pa.int64())))
+
+        for batch in batches:
+            columns = [batch.column(key)]
+            for name in of:
+                lists, found = batch.column(f"{name}_known"), batch.column(f"{name}_found")
+                parts = lambda field: pa.ListArray.from_arrays(ends(found), found.flatten().field(field))
+                if with_ids:
+                    columns += [merged(lists, parts("pos"), parts("id"), lambda ids: ids), batch.column(f"{name}_cut")]
+                if with_words:
+                    columns.append(pc.binary_join(merged(lists, parts("pos"), parts("tok"), words_of), " "))
+            yield pa.RecordBatch.from_arrays(columns, names=out_names)
+
+    return grouped.mapInArrow(put, T.StructType(fields))
+
+
 def decode(df: DataFrame, key: str, ids: str, vocabulary: Vocabulary, skip_special: bool = False, name: str = "text") -> DataFrame:
     """(key, text): the words of an id array, joined by single spaces."""
     wanted = F.filter(ids, lambda i: i >= len(vocabulary.specials)) if skip_special else F.col(ids)
+    if not is_small(vocabulary.lookup_table(), "id"):
+        lists = df.select(key, wanted.cast("array<bigint>").alias("w"))
+        rows = vocabulary.attach_packed(lists, "w", [key], "id", F.col("id"))
+        found = _packed(rows, key, vocabulary, {name: F.lit(True)}, "id", None, F.col("tok"))
+        return found.select(key, F.col(f"{name}_text").alias(name))
 
     def explode(laid: DataFrame) -> DataFrame:
         items = laid.select(key, F.posexplode_outer(wanted).alias("pos", "_id"))
