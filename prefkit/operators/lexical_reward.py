@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.tokens import truncate
 from prefkit.operators.inference import Scorer
-from prefkit.operators.lookup import is_small, lookup
+from prefkit.operators.lookup import find_known, frequent, is_small, lookup
 from prefkit.operators.vocabulary import chat_words
 from prefkit.session import shared_folder
 from prefkit.sources.files import written
@@ -43,8 +43,7 @@ def fit_log_odds(df: DataFrame, chosen: Column, rejected: Column, max_len: int |
 def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Scorer:
     """The mean weight of a text's words; an unseen word weighs nothing, a null text has no score.
 
-    Each text is reduced to its distinct words and their numbers before it meets a
-    table too large to broadcast.
+    Before a table too large to broadcast is met, a text is reduced to the sum over its frequent words and the few others.
     """
 
     def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
@@ -54,20 +53,19 @@ def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Scorer:
                 for n, t in texts.items()
             ]
         )
-        tokens = df.select(*keys, F.inline(sides)).select(*keys, "_of", "_given", F.explode_outer("_w").alias("tok"))
+        lists = df.select(*keys, F.inline(sides))
         units = F.round(F.col("weight") * UNITS).cast("bigint").alias("units")
         table = weights.select("tok", "cnt", units)
-        small = is_small(table, "tok")
-        if small:
-            found = lookup(tokens, table, "tok", small).withColumn("_n", F.lit(1).cast("bigint"))
+        if is_small(table, "tok"):
+            tokens = lists.select(*keys, "_of", "_given", F.explode_outer("_w").alias("tok"))
+            found = lookup(tokens, table, "tok", small=True).withColumn("_n", F.col("tok").isNotNull().cast("bigint"))
         else:
-            counted = tokens.groupBy(*keys, "_of", "_given", "tok").agg(F.count(F.lit(1)).alias("_n"))
-            found = lookup(written(counted, "text-words"), table, "tok", small)
+            found = _summed(lists, [*keys, "_of", "_given"], table)
 
         def mean(name: str) -> Column:
             here = F.col("_of") == name
-            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")) * F.col("_n"))).cast("double")
-            words = F.sum(F.when(here & F.col("tok").isNotNull(), F.col("_n"))).cast("double")
+            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")))).cast("double")
+            words = F.sum(F.when(here, F.col("_n"))).cast("double")
             value = F.coalesce(F.try_divide(total, words) / UNITS, F.lit(0.0))
             return F.when(F.max(here & F.col("_given")), value).alias(name)
 
@@ -75,3 +73,15 @@ def log_odds_scorer(weights: DataFrame, max_len: int | None = None) -> Scorer:
         return df.select(*keys, *keep).join(scores, keys) if keep else scores
 
     return score
+
+
+def _summed(lists: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
+    """(keys…, units, _n): a row per text with the sum over its frequent words and its number of words, one for each other word."""
+    known = find_known(lists, "_w", frequent(table, "tok"), "tok", "units")
+    total = F.aggregate("known", F.lit(0).cast("bigint"), lambda s, u: s + F.coalesce(u, F.lit(0).cast("bigint")))
+    none = F.lit(None).cast("bigint")
+    whole = F.struct(total.alias("units"), F.size("known").cast("bigint").alias("_n"), F.lit(None).cast("string").alias("tok"))
+    others = F.transform("rest", lambda e: F.struct(none.alias("units"), F.lit(0).cast("bigint").alias("_n"), e["tok"].alias("tok")))
+    stored = written(known.select(*keys, F.inline(F.concat(F.array(whole), others))), "text-words")
+    found = lookup(stored.where(F.col("tok").isNotNull()).drop("units"), table, "tok", small=False)
+    return stored.where(F.col("tok").isNull()).drop("tok").unionByName(found.drop("tok"))
