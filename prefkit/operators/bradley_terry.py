@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from prefkit.functions.text import words
 from prefkit.operators.inference import Scorer
@@ -25,6 +25,8 @@ FEATURES = 1 << 14
 UNITS = 1_000_000_000
 # Steps the solver remembers.
 MEMORY = 8
+# Rows whose words are counted at once.
+ROWS = 256
 
 
 def place_of(word: Column, features: int) -> Column:
@@ -32,29 +34,58 @@ def place_of(word: Column, features: int) -> Column:
     return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % features).cast("int")
 
 
-def _places(df: DataFrame, keys: list[str], texts: dict[str, Column], features: int) -> DataFrame:
-    """(keys…, of, given, place): one row per word; a text without words keeps one without a place."""
-    sides = F.array(*[F.struct(F.lit(n).alias("of"), t.isNotNull().alias("given"), words(t).alias("w")) for n, t in texts.items()])
-    tokens = df.select(*keys, F.inline(sides)).select(*keys, "of", "given", F.explode_outer("w").alias("w"))
-    return tokens.select(*keys, "of", "given", place_of(F.col("w"), features).alias("place"))
+def _place_lists(df: DataFrame, keys: list[str], texts: dict[str, Column], features: int) -> DataFrame:
+    """(keys…, per text its places and ``<name>_given``): one row per key; what moves is a number for each word.
+
+    Rows of one key are taken together. Words are counted afterwards, some rows at a time, so that a task
+    holds no table of all its words.
+    """
+    places = [F.transform(words(t), lambda w: place_of(w, features)).alias(n) for n, t in texts.items()]
+    given = [t.isNotNull().alias(f"{n}_given") for n, t in texts.items()]
+    laid = df.select(*keys, *places, *given).repartition(*keys)
+    lists = [F.flatten(F.collect_list(n)).alias(n) for n in texts]
+    return laid.groupBy(*keys).agg(*lists, *[F.max(f"{n}_given").alias(f"{n}_given") for n in texts])
+
+
+def _counts(lists: pa.ListArray, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places with their row as ``row * features + place``, ascending, how often each comes, and the length of each row's counts."""
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    at, n = np.unique(row * features + lists.flatten().to_numpy(zero_copy_only=False), return_counts=True)
+    return at, n, np.sqrt(np.bincount(at // features, (n * n).astype(float), len(lists)))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
+def _vectors(features: int, key: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, places, values): the difference of each pair's two texts, both scaled to length one, where it is not zero."""
+    for batch in _slices(batches):
+        sides = [_counts(batch.column(n), features) for n in ("chosen", "rejected")]
+        at = np.union1d(*[places for places, _, _ in sides])
+        row, parts = at // features, []
+        for places, n, length in sides:
+            part = np.zeros(len(at))
+            here = np.searchsorted(at, places)
+            part[here] = n / length[row[here]]
+            parts.append(part)
+        value = parts[0] - parts[1]
+        at, value = at[value != 0], value[value != 0]
+        ends = np.searchsorted(at // features, np.arange(batch.num_rows + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in ((at % features).astype(np.int32), value)]
+        yield pa.RecordBatch.from_arrays([batch.column(key), *lists], names=[key, "places", "values"])
 
 
 def pair_vectors(df: DataFrame, chosen: Column, rejected: Column, key: str, features: int) -> DataFrame:
     """(key, places, values) of every pair, written once below the shared folder.
 
-    The texts are laid out by key before they are exploded; nothing else moves. Pairs without a difference stay, as empty vectors.
+    Pairs without a difference stay, as empty vectors.
     """
-    texts = {"chosen": chosen, "rejected": rejected}
-    laid = df.select(key, *[t.alias(n) for n, t in texts.items()]).repartition(key)
-    rows = _places(laid, [key], {n: F.col(n) for n in texts}, features)
-    counts = rows.groupBy(key, "place").agg(*[F.count_if((F.col("of") == n) & F.col("place").isNotNull()).alias(n) for n in texts])
-    lengths = [F.sqrt(F.sum(F.col(n) * F.col(n)).cast("double")).alias(f"_{n}") for n in texts]
-    entries = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", *texts))))
-    whole = counts.groupBy(key).agg(entries.alias("e"), *lengths)
-    part = lambda e, n: F.coalesce(F.try_divide(e[n].cast("double"), F.col(f"_{n}")), F.lit(0.0))
-    difference = F.transform("e", lambda e: F.struct(e["place"].alias("place"), (part(e, "chosen") - part(e, "rejected")).alias("v")))
-    differing = whole.select(key, F.filter(difference, lambda d: d["v"] != 0).alias("d"))
-    vectors = differing.select(key, F.transform("d", lambda d: d["place"]).alias("places"), F.transform("d", lambda d: d["v"]).alias("values"))
+    lists = _place_lists(df, [key], {"chosen": chosen, "rejected": rejected}, features)
+    schema = T.StructType([lists.schema[key], T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
+    vectors = lists.select(key, "chosen", "rejected").mapInArrow(lambda batches: _vectors(features, key, batches), schema)
     return written(vectors, "pair-vectors")
 
 
@@ -165,18 +196,24 @@ def bradley_terry_scorer(model: BradleyTerry) -> Scorer:
     features = len(model.weights)
 
     def score(df: DataFrame, keys: list[str], texts: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
-        counts = _places(df, keys, texts, features).groupBy(*keys, "of", "given", "place").agg(F.count("place").alias("n"))
-        units = model.table(df.sparkSession).select("place", F.round(F.col("weight") * UNITS).cast("bigint").alias("units"))
-        # The table has one row per feature.
-        found = counts.join(F.broadcast(units), "place", "left")
-
-        def reward(name: str) -> Column:
-            here = F.col("of") == name
-            total = F.sum(F.when(here, F.coalesce("units", F.lit(0).cast("bigint")) * F.col("n"))).cast("double")
-            length = F.sqrt(F.sum(F.when(here, F.col("n") * F.col("n"))).cast("double"))
-            return F.when(F.max(here & F.col("given")), F.coalesce(F.try_divide(total, length) / UNITS, F.lit(0.0))).alias(name)
-
-        scores = found.groupBy(*keys).agg(*[reward(n) for n in texts])
+        lists = _place_lists(df, keys, texts, features)
+        scaled = model.weights * UNITS
+        units = df.sparkSession.sparkContext.broadcast((np.sign(scaled) * np.floor(np.abs(scaled) + 0.5)).astype(np.int64))
+        names = list(texts)
+        schema = T.StructType([*(lists.schema[k] for k in keys), *(T.StructField(n, T.DoubleType()) for n in names)])
+
+        def reward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _slices(batches):
+                columns = [batch.column(k) for k in keys]
+                for name in names:
+                    at, n, length = _counts(batch.column(name), features)
+                    row, total = at // features, np.zeros(batch.num_rows, np.int64)
+                    np.add.at(total, row, units.value[at % features] * n)
+                    value = np.divide(total.astype(float), length, out=np.zeros(len(length)), where=length > 0) / UNITS
+                    columns.append(pc.if_else(batch.column(f"{name}_given"), pa.array(value), pa.scalar(None, pa.float64())))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, *names])
+
+        scores = lists.mapInArrow(reward, schema)
         return df.select(*keys, *keep).join(scores, keys) if keep else scores
 
     return score
