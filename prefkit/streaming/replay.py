@@ -8,22 +8,26 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # Later than all rows, for those that only move a watermark on; still a time that pandas can hold.
 LAST = datetime(2200, 1, 1)
+# Rows of a replayed file, about.
+FILE_ROWS = 500_000
 
 
 def write_slices(df: DataFrame, time: str, path: str, slices: int) -> str:
     """Writes ``df`` as ``slices`` batches of files, each of a later span of ``time`` than the one before.
 
+    A micro-batch takes some files and costs something however small they are, so a span has two, or one for ``FILE_ROWS`` rows.
     A file stream takes files by age, so it meets the spans in order, one or several of them at a time. The files of one
     span come in any order; its length is returned, as the lateness a watermark has to allow.
     """
     if slices < 1:
         raise ValueError("slices must be positive")
-    span = df.agg(F.min(F.unix_micros(time)).alias("low"), F.max(F.unix_micros(time)).alias("high")).first()
+    span = df.agg(F.min(F.unix_micros(time)).alias("low"), F.max(F.unix_micros(time)).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    files = max(2, -(-span["n"] // (slices * FILE_ROWS)))
     low, high = span["low"] or 0, span["high"] or 0
     width = max(1, -(-(high - low + 1) // slices))
     for n in range(slices):
         inside = F.floor((F.unix_micros(time) - low) / width) == n
-        df.where(inside).write.mode("append").parquet(path)
+        df.where(inside).coalesce(files).write.mode("append").parquet(path)
     return f"{-(-width // 1000)} milliseconds"
 
 

@@ -1,11 +1,14 @@
 """Past the broadcast limit only rare words meet the large table."""
 
+import numpy as np
 from pyspark.sql import functions as F
 import pytest
 
-from prefkit.operators import lexical_reward as lr, lookup as lk, vocabulary as vo
+from prefkit.operators import bradley_terry as bt, lexical_reward as lr, lookup as lk, vocabulary as vo
 from prefkit.operators.positions import seed_hash
+from prefkit.session import fresh_path
 from prefkit.sources import derived
+from prefkit.streaming.replay import write_slices
 
 LIMIT = 64 * 5 + 60  # four or five words a table
 
@@ -81,3 +84,31 @@ def test_unlabelled_texts_are_not_moved(spark, tmp_path, monkeypatch):
     # No join of texts sorts them, and all texts that are shuffled have met the labels.
     plan = pairs._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_pairs_are_counted_without_a_row_per_word(spark, monkeypatch):
+    rows = [(1, "a b a", "b c"), (1, "c", None), (2, None, ""), (3, "a a", "a")]
+    pairs = spark.createDataFrame(rows, "row_id bigint, chosen string, rejected string")
+    seen = []
+    written = bt.written
+    monkeypatch.setattr(bt, "written", lambda df, label: seen.append(df) or written(df, label))
+    found = {r["row_id"]: dict(zip(r["places"], r["values"])) for r in bt.pair_vectors(pairs, F.col("chosen"), F.col("rejected"), "row_id", 1 << 20).collect()}
+    plan = seen[0]._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" not in plan
+    at = {w: spark.range(1).select(bt.place_of(F.lit(w), 1 << 20)).first()[0] for w in "abc"}
+    # Rows of one key are one pair: a 2, b 1, c 1 against b 1, c 1.
+    assert found[1] == pytest.approx({at["a"]: 2 / 6**0.5, at["b"]: 1 / 6**0.5 - 1 / 2**0.5, at["c"]: 1 / 6**0.5 - 1 / 2**0.5})
+    assert found[2] == {} and found[3] == {}
+    weights = np.zeros(1 << 20)
+    weights[[at["a"], at["b"]]] = 0.25, -1.5
+    scores = bt.bradley_terry_scorer(bt.BradleyTerry(weights, 0.0, 0.1))(pairs, ["row_id"], {"c": F.col("chosen"), "r": F.col("rejected")})
+    got = {r["row_id"]: (r["c"], r["r"]) for r in scores.collect()}
+    assert got[1] == pytest.approx(((2 * 0.25 - 1.5) / 6**0.5, -1.5 / 2**0.5)) and got[2] == (None, 0.0) and got[3] == (0.25, 0.25)
+
+
+def test_a_replay_has_few_files_however_its_table_is_cut(spark):
+    path = fresh_path(spark, "slices")
+    rows = spark.range(400, numPartitions=16).select("id", F.timestamp_seconds(100_000 + F.col("id")).alias("ts"))
+    write_slices(rows, "ts", path, 4)
+    back = spark.read.parquet(path)
+    assert len(back.inputFiles()) <= 8 and back.distinct().count() == 400
