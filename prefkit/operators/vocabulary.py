@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from prefkit.functions.chat import CLOSE, END_OF_TEXT, OPEN
 from prefkit.functions.text import words
@@ -151,41 +151,44 @@ def _packed(
         out.append(F.collect_list(F.when(here, F.col("known"))).alias(f"{name}_known"))
         out.append(F.collect_list(F.when(here & F.col(item).isNotNull() & given, found)).alias(f"{name}_found"))
         out.append(F.max(here & F.col("cut")).alias(f"{name}_cut"))
-    grouped = rows.repartition(key).groupBy(key).agg(*out)
-    fields = [grouped.schema[key]]
-    for name in names:
-        fields += [T.StructField(name, T.ArrayType(T.IntegerType())), T.StructField(f"{name}_cut", T.BooleanType())] * (number is not None)
-        fields += [T.StructField(f"{name}_text", T.StringType())] * (word is not None)
-    spark = rows.sparkSession
     table = vocabulary.frequent(item).select("id", "tok").toArrow().combine_chunks() if word is not None else None
-    shared = spark.sparkContext.broadcast(table)
-    of, with_ids, with_words, out_names = list(names), number is not None, word is not None, [f.name for f in fields]
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def words_of(ids: pa.Array) -> pa.Array:
+        id_, tok = (shared.value[c].combine_chunks() for c in ("id", "tok"))
+        return tok.cast(pa.string()).take(pc.index_in(ids.cast(pa.int64()), value_set=id_.cast(pa.int64())))
+
+    def part(found: pa.Array, field: str) -> pa.Array:
+        return pa.ListArray.from_arrays(ends(found).astype("int32"), found.flatten().field(field))
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def words_of(ids: pa.Array) -> pa.Array:
-            by_id = {c: pa.chunked_array(shared.value[c]).combine_chunks() for c in ("id", "tok")}
-            return by_id["tok"].cast(pa.string()).take(pc.index_in(ids.cast(pa.int64()), value_set=by_id["id"].cast(pa.int64())))
+    @F.arrow_udf("array<int>")
+    def put_ids(known: pa.Array, found: pa.Array) -> pa.Array:
+        return merged(known, part(found, "pos"), part(found, "id"), lambda ids: ids)
 
-        for batch in batches:
-            columns = [batch.column(key)]
-            for name in of:
-                lists, found = batch.column(f"{name}_known"), batch.column(f"{name}_found")
-                parts = lambda field: pa.ListArray.from_arrays(ends(found), found.flatten().field(field))
-                if with_ids:
-                    columns += [merged(lists, parts("pos"), parts("id"), lambda ids: ids), batch.column(f"{name}_cut")]
-                if with_words:
-                    columns.append(pc.binary_join(merged(lists, parts("pos"), parts("tok"), words_of), " "))
-            yield pa.RecordBatch.from_arrays(columns, names=out_names)
+    @F.arrow_udf("string")
+    def put_words(known: pa.Array, found: pa.Array) -> pa.Array:
+        return pc.binary_join(merged(known, part(found, "pos"), part(found, "tok"), words_of), " ")
 
-    return grouped.mapInArrow(put, T.StructType(fields))
+    # Column functions keep the rows where their key has brought them, so a join by key moves nothing.
+    grouped, columns = rows.repartition(key).groupBy(key).agg(*out), []
+    for name in names:
+        both = (f"{name}_known", f"{name}_found")
+        columns += [put_ids(*both).alias(name), F.col(f"{name}_cut")] * (number is not None)
+        columns += [put_words(*both).alias(f"{name}_text")] * (word is not None)
+    return grouped.select(key, *columns)
 
 
 def decode(df: DataFrame, key: str, ids: str, vocabulary: Vocabulary, skip_special: bool = False, name: str = "text") -> DataFrame:
-    """(key, text): the words of an id array, joined by single spaces."""
+    """(key, text): the words of an id array, joined by single spaces.
+
+    With a vocabulary past the broadcast limit ``df`` is read twice: once for its rare ids, which alone meet the table.
+    """
     wanted = F.filter(ids, lambda i: i >= len(vocabulary.specials)) if skip_special else F.col(ids)
     if not is_small(vocabulary.lookup_table(), "id"):
-        lists = df.select(key, wanted.cast("array<bigint>").alias("w"))
-        rows = vocabulary.attach_packed(lists, "w", [key], "id", F.col("id"))
+        lists = df.select(key, wanted.alias("known"))
+        rare = find_known(lists.withColumn("w", F.col("known").cast("array<bigint>")).drop("known"), "w", vocabulary.frequent("id").select("id", F.col("id").alias("v")), "id", "v")
+        rare = written(rare.select(key, F.inline("rest")).where(F.col("id").isNotNull()), "rare-ids")
+        rows = lists.unionByName(lookup(rare, vocabulary.lookup_table(), "id", small=False), allowMissingColumns=True)
         found = _packed(rows, key, vocabulary, {name: F.lit(True)}, "id", None, F.col("tok"))
         return found.select(key, F.col(f"{name}_text").alias(name))
 

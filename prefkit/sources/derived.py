@@ -130,7 +130,9 @@ def stored_answers(spark: SparkSession, folder: str, own: DataFrame) -> tuple[Da
 
     def of(answer: str, ahead: int) -> DataFrame:
         sampled = own.select(F.lit("sample").alias("source"), "row_id", F.col(answer).alias("response"))
-        common = items.join(documents, F.col("item_id") + ahead == F.col("doc_id"), "left").select(
+        # Only the documents that answer move; few questions are broadcast.
+        answering = documents.join(items, F.col("item_id") + ahead == F.col("doc_id"), "left_semi")
+        common = items.join(answering, F.col("item_id") + ahead == F.col("doc_id"), "left").select(
             F.lit("common").alias("source"), F.col("item_id").alias("row_id"), F.coalesce("text", F.lit("")).alias("response")
         )
         return sampled.unionByName(common)
