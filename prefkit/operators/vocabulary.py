@@ -169,7 +169,6 @@ def _packed(
     def put_words(known: pa.Array, found: pa.Array) -> pa.Array:
         return pc.binary_join(merged(known, part(found, "pos"), part(found, "tok"), words_of), " ")
 
-    # Column functions keep the rows where their key has brought them, so a join by key moves nothing.
     grouped, columns = rows.repartition(key).groupBy(key).agg(*out), []
     for name in names:
         both = (f"{name}_known", f"{name}_found")
