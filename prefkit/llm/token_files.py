@@ -45,7 +45,7 @@ SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 20, 64 << 10
 SHARD_BYTES = 64 << 20
 # Pieces of text a task remembers.
 PIECES = 600_000
-# Documents decoded at once.
+# Documents encoded or decoded at once.
 ROWS = 1024
 LEVEL = 3
 
@@ -171,8 +171,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         cache, part, number = WordCache(tokenizer, PIECES), TaskContext.get().partitionId(), 0
         shard = ShardWriter(dictionary, _width(cache.vocabulary), shard_bytes)
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                shard.add(None if doc_id is pd.NA else int(doc_id), cache.ids(text) + end)
+            for doc_id, ids in zip(batch["doc_id"].astype("Int64"), cache.ids_of(batch["text"].tolist()), strict=True):
+                shard.add(None if doc_id is pd.NA else int(doc_id), ids + end)
                 if shard.full():
                     yield pd.DataFrame({"blob": [shard.close(part, number)]})
                     number += 1
@@ -183,7 +183,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     order = ["doc_id", "_th", "_row"]
     rows = texts_of(docs).select("*", F.xxhash64("text").alias("_th"), F.monotonically_increasing_id().alias("_row"))
     laid = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    raw_files(map_slices(laid.select("doc_id", "text"), run, "blob binary"), f"{path}/shards")
+    raw_files(map_slices(laid.select("doc_id", "text"), run, "blob binary", rows=ROWS), f"{path}/shards")
     _write_index(spark, path)
 
 

@@ -1,5 +1,7 @@
 """Cached encoding against the library's."""
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -49,3 +51,32 @@ def test_marks_of_the_tokenizer_are_its_own_ids():
     cache = WordCache(public_tokenizers.path(FILES[0]))
     ids = np.frombuffer(cache.ids("hello <|endoftext|> world"), "<u4").tolist()
     assert 50256 in ids and len(ids) == 4
+
+
+MIXED = st.text(st.sampled_from("abdelmrstvXé0'’.!- \t\n"), max_size=60)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(MIXED | USUAL | ODD, max_size=6))
+def test_many_texts_have_the_ids_of_each(pair, texts):
+    cache, library = pair
+    texts = [*texts, "it's we'll'd 're''s '", "<|endoftext|> x", "", "x'l", "'", "12 3"]
+    for text, ids in zip(texts, cache.ids_of(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_piece_of_many_texts_is_looked_up_once(monkeypatch):
+    asked = Counter()
+
+    class Counted(WordCache):
+        def __getitem__(self, piece):
+            asked[piece] += 1
+            return super().__getitem__(piece)
+
+    cache = Counted(public_tokenizers.path(FILES[1]))
+    texts = [f"It's the same line, the same words: number {i}" for i in range(500)]
+    assert cache.ids_of(texts) == [cache._library(text) for text in texts] and max(asked.values()) == 1
+    # Cut and looked up a few at a time, and with a cache that is full again and again, the ids stay.
+    monkeypatch.setattr(word_cache, "CUT_CHARS", 100)
+    monkeypatch.setattr(word_cache, "LOOK_CHARS", 1000)
+    assert WordCache(public_tokenizers.path(FILES[1]), 5).ids_of(texts) == [cache._library(text) for text in texts]
