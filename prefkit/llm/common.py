@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -70,6 +72,13 @@ def raw_files(blobs: DataFrame, path: str) -> None:
     blobs.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
+def byte_items(found: pa.Array, cut: int = 0) -> list[bytes]:
+    """The items of a whole binary array without nulls, without their last ``cut`` bytes; faster than its ``to_pylist``."""
+    _, offsets, data = found.buffers()
+    edges, data = np.frombuffer(offsets, np.int32, len(found) + 1).tolist(), data.to_pybytes() if data else b""
+    return [data[low : high - cut] for low, high in pairwise(edges)]
+
+
 def map_slices(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = 256) -> DataFrame:
     """``mapInPandas`` that converts ``rows`` rows at a time, for wide texts whose batches would be large twice over.
 

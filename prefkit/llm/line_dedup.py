@@ -26,19 +26,21 @@ gives an empty one; other columns are ignored. Long lines are compared whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from fractions import Fraction
 import hashlib
 from itertools import chain, pairwise
 import re
+import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 import xxhash
 
-from prefkit.llm.common import map_slices, stored
+from prefkit.llm.common import byte_items, map_slices, stored
 from prefkit.llm.components import connected_groups
 
 MIN_WORDS = 5
@@ -46,11 +48,15 @@ SIMILARITY = Fraction(4, 5)
 BITS, NEAR_BITS = 128, 28
 BLOCKS = BITS // 8
 PAIRS = [(k, (k + step) % BLOCKS) for step in (1, 7) for k in range(BLOCKS)]
-# Lines and words hashed at once; lines per bucket of block values; lines per slice and per cell of groups.
-BATCH_LINES, BATCH_WORDS, BUCKET_LINES, SLICE, CELL_LINES = 16_384, 50_000, 50_000, 512, 4000
+# Characters and distinct words of lines hashed at once; lines per bucket of block values, and at most; lines per slice and per cell of groups.
+CUT_CHARS, HELD_WORDS, BUCKET_LINES, MOST_LINES, SLICE, CELL_LINES = 1 << 20, 20_000, 50_000, 500_000, 512, 4000
 LOWEST = -(2**63)
+# Words ahead, of both lines together, among which two lines that part are sought to meet again.
+AHEAD = 7
 
 _BETWEEN = re.compile(r"[^\w\n]+")
+IN_WORD = np.zeros(sys.maxunicode + 1, bool)
+IN_WORD[[c.start() for c in re.finditer(r"[^\W_]", "".join(map(chr, range(len(IN_WORD)))))]] = True
 # Lengths beyond two bytes count as the largest, which lets more pairs through to their verification.
 RECORD = np.dtype([("chars", "<u2"), ("line", "<i8"), ("hash", "<u8", (2,))])
 LINES = "line binary, hash binary, chars int, doc long, th long, at int"
@@ -65,66 +71,137 @@ def normalise(line: str) -> str:
     return normalised(line)[0]
 
 
-def simhashes(lines: Sequence[bytes]) -> list[bytes]:
-    """SimHashes of normalised lines. Each distinct word votes once; else frequent words would make all long lines alike.
+def _votes(words: Iterable[bytes]) -> np.ndarray:
+    """A row of ``BITS`` bytes for each word, one where its hash has a one, eight to a machine word."""
+    # Hashing a word takes less time than finding its digest among those of many others.
+    digests = b"".join(map(xxhash.xxh3_128_digest, words))
+    return np.unpackbits(np.frombuffer(digests, np.uint8)).view("<u8").reshape(-1, BITS // 8)
+
+
+def _majorities(votes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHashes, as bytes, of lines whose distinct words' votes follow each other, ``sizes`` to a line.
 
     The ones of a bit are counted in bytes, eight to a machine word, 255 words of a line at a time.
     """
-    sets = [set(line.split(b" ")) for line in lines]
-    # Hashing a word takes less time than finding its digest among those of many others.
-    digests = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(sets)))
-    votes = np.unpackbits(np.frombuffer(digests, np.uint8)).view("<u8").reshape(-1, BITS // 8)
-    sizes = np.array([len(words) for words in sets], np.int64)
     parts = -(-sizes // 255)
     first = np.cumsum(parts) - parts
     nth = np.arange(parts.sum()) - np.repeat(first, parts)
     begins = np.repeat(np.cumsum(sizes) - sizes, parts) + 255 * nth
     counts = np.add.reduceat(votes, begins, axis=0).view(np.uint8).reshape(-1, BITS)
-    total = np.add.reduceat(counts, first, axis=0, dtype=np.int32)
-    return [h.tobytes() for h in np.packbits(2 * total > sizes[:, None], axis=1)]
+    total = np.add.reduceat(counts, first, axis=0, dtype=np.int32) if len(counts) > len(sizes) else counts.astype(np.int32)
+    return np.packbits(2 * total > sizes[:, None], axis=1)
+
+
+def simhashes(lines: Sequence[bytes]) -> list[bytes]:
+    """SimHashes of normalised lines. Each distinct word votes once; else frequent words would make all long lines alike."""
+    sets = [set(line.split(b" ")) for line in lines]
+    sizes = np.array([len(words) for words in sets], np.int64)
+    return [h.tobytes() for h in _majorities(_votes(chain.from_iterable(sets)), sizes)]
+
+
+def _segments(text: str) -> Iterator[tuple[int, str]]:
+    """(number of the first line, whole lines) of a text, about ``CUT_CHARS`` characters at a time."""
+    begin = at = 0
+    while (end := text.find("\n", begin + CUT_CHARS)) >= 0:
+        yield at, text[begin:end]
+        at += text.count("\n", begin, end) + 1
+        begin = end + 1
+    yield at, text[begin:]
+
+
+def hashed_lines(texts: Sequence[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the text, SimHash, characters, number of its text and number in it of every line of lower-case texts that counts.
+
+    The texts are one array of characters; the words are its runs of letters and digits, and every distinct one is hashed once.
+    """
+    joined = "\n".join([*texts, ""])
+    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = IN_WORD[chars]
+    after = np.append(False, inside[:-1])
+    starts, ends = np.flatnonzero(inside & ~after), np.flatnonzero(after & ~inside)
+    line_of = np.searchsorted(np.flatnonzero(chars == 10), starts)
+    n_words = np.bincount(line_of, minlength=1)
+    lines = np.flatnonzero(n_words >= MIN_WORDS)
+    word_edge = np.append(0, np.cumsum(n_words))
+
+    # What is between two words becomes one space; behind the last of a line it is cut off below.
+    plain = np.where(inside, chars, np.uint32(32))[inside | after]
+    data = plain.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    sizes = np.uint8(1) + (plain >= 0x80) + (plain >= 0x800) + (plain >= 0x10000)
+    char_at = np.append(0, np.cumsum(ends - starts + 1))
+    byte_at = np.append(0, np.cumsum(sizes, dtype=np.int32))[char_at].astype(np.int32)
+    first, behind = word_edge[lines], word_edge[lines + 1]
+    n_chars = char_at[behind] - char_at[first] - 1
+    places = zip(byte_at[first].tolist(), (byte_at[behind] - 1).tolist(), strict=True)
+    keys = [hashlib.blake2b(data[low:high], digest_size=16).digest() for low, high in places]
+
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(byte_at), pa.py_buffer(data)]).dictionary_encode()
+    counted = np.repeat(np.arange(len(lines)), n_words[lines])
+    code = words.indices.to_numpy()[(n_words >= MIN_WORDS)[line_of]]
+    # Sorted by line and word, a word of a line is met once.
+    pairs = np.sort(counted << 32 | code)
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+    votes = _votes(byte_items(words.dictionary, 1))
+    hashes = np.empty((len(lines), BITS // 8), np.uint8)
+    sizes, code = np.bincount(pairs >> 32, minlength=len(lines)), pairs & 0xFFFFFFFF
+    edge = np.append(0, np.cumsum(sizes))
+    low = 0
+    while low < len(lines):
+        high = max(low + 1, int(np.searchsorted(edge, edge[low] + HELD_WORDS, "right")) - 1)
+        hashes[low:high] = _majorities(votes[code[edge[low] : edge[high]]], sizes[low:high])
+        low = high
+
+    heads = np.cumsum([0, *[text.count("\n") + 1 for text in texts]])
+    text_of = np.searchsorted(heads, lines, "right") - 1
+    return keys, hashes, n_chars, text_of, lines - heads[text_of]
 
 
 def line_rows(keyed: DataFrame) -> DataFrame:
     """``LINES``: every line that counts, with the hash of its text, its SimHash and its number ``at`` in the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        fresh: dict[bytes, bytes] = {}
-        held = 0
-
-        def made() -> pd.DataFrame:
-            known = dict(zip(fresh, simhashes(list(fresh.values())), strict=True)) if fresh else {}
-            return pd.DataFrame([(r[0], known[r[0]], *r[1:]) for r in rows], columns=["line", "hash", "chars", "doc", "th", "at"])
-
         for batch in batches:
+            parts, held = [], 0
             for doc, th, text in zip(batch["doc"], batch["th"], batch["text"], strict=True):
-                for at, line in enumerate(normalised(text)):
-                    spaces = line.count(" ")
-                    if spaces < MIN_WORDS - 1:
-                        continue
-                    data = line.encode("utf-8", "surrogatepass")
-                    key = hashlib.blake2b(data, digest_size=16).digest()
-                    if key not in fresh:
-                        fresh[key] = data
-                        held += spaces + 1
-                    rows.append((key, len(line), doc, th, at))
-                    if held >= BATCH_WORDS or len(rows) >= BATCH_LINES:
-                        yield made()
-                        rows, fresh, held = [], {}, 0
-        yield made()
+                for at, lines in _segments(text.lower()):
+                    parts.append((doc, th, at, lines))
+                    held += len(lines)
+                    if held >= CUT_CHARS:
+                        yield made(parts)
+                        parts, held = [], 0
+            if parts:
+                yield made(parts)
+
+    def made(parts: list[tuple[int, int, int, str]]) -> pd.DataFrame:
+        docs, ths, begins, texts = zip(*parts, strict=True)
+        keys, hashes, chars, part, at = hashed_lines(texts)
+        doc, th, begin = (np.array(column, np.int64)[part] for column in (docs, ths, begins))
+        return pd.DataFrame({"line": keys, "hash": [h.tobytes() for h in hashes], "chars": chars, "doc": doc, "th": th, "at": begin + at})
 
     return map_slices(keyed, run, LINES)
 
 
-def _values(hashes: np.ndarray, pair: int) -> np.ndarray:
+def _values(hashes: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
     """What the hashes hold in a pair of blocks."""
     raw = hashes.view(np.uint8).reshape(len(hashes), -1)
-    one, other = PAIRS[pair]
+    one, other = pair
     return (raw[:, one].astype(np.uint16) << 8) | raw[:, other]
 
 
-def block_rows(distinct: DataFrame, per_pair: int) -> DataFrame:
-    """(bucket, lines): packed ``RECORD``s of each pair of blocks, by pair and value."""
+def _blocks(n: int) -> tuple[list[list[tuple[int, int]]], int, int]:
+    """For ``n`` lines: the pairs of blocks whose lines come together, the bits they come together by and the buckets of each.
+
+    A block is in the first place of several pairs, so lines with the same value of that block are sent once for all of them.
+    A table of so many lines that those of one value would be too many sends them by both blocks, once per pair.
+    """
+    if n <= MOST_LINES << 8:
+        return [[pair for pair in PAIRS if pair[0] == k] for k in range(BLOCKS)], 8, min(256, max(1, n // BUCKET_LINES))
+    return [[pair] for pair in PAIRS], 16, n // BUCKET_LINES
+
+
+def block_rows(distinct: DataFrame, n: int) -> DataFrame:
+    """(bucket, lines): packed ``RECORD``s by block, or pair of blocks, and value."""
+    together, bits, buckets = _blocks(n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,12 +212,13 @@ def block_rows(distinct: DataFrame, per_pair: int) -> DataFrame:
             out["hash"] = np.frombuffer(b"".join(batch["hash"]), "<u8").reshape(len(batch), -1)
             hashes = np.ascontiguousarray(out["hash"])
             rows = []
-            for pair in range(len(PAIRS)):
-                bucket = (_values(hashes, pair).astype(np.int64) * per_pair) >> 16
+            for nth, pairs in enumerate(together):
+                value = _values(hashes, pairs[0]) >> (16 - bits)
+                bucket = (value.astype(np.int64) * buckets) >> bits
                 order = np.argsort(bucket, kind="stable")
                 sorted_rows, at = out[order], bucket[order]
                 cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
-                rows += [(pair * per_pair + int(at[i]), sorted_rows[i:j].tobytes()) for i, j in pairwise(cuts)]
+                rows += [(nth * buckets + int(at[i]), sorted_rows[i:j].tobytes()) for i, j in pairwise(cuts)]
             yield pd.DataFrame(rows, columns=["bucket", "lines"])
 
     return distinct.select("id", "hash", "chars").mapInPandas(run, "bucket long, lines binary")
@@ -162,43 +240,59 @@ def near_links(found: np.ndarray, value: np.ndarray, near_bits: int = NEAR_BITS)
     one after it and so on, until lengths or values part. A value whose lines
     are all connected already is left.
     """
-    order = np.lexsort((found["line"], found["chars"], value))
-    found, value = found[order], value[order]
     n = len(found)
-    chars, hashes = found["chars"].astype(np.int64), np.ascontiguousarray(found["hash"])
+    key = value.astype(np.uint64) << np.uint64(16) | found["chars"]
+    if n <= 1 << 32:
+        order = np.sort(key << np.uint64(32) | np.arange(n, dtype=np.uint64)).astype(np.uint32).astype(np.int64)
+    else:
+        order = np.argsort(key)
+    key, value = key[order], value[order]
+    halves = np.ascontiguousarray(found["hash"])
+    one_half, other_half = halves[:, 0][order], halves[:, 1][order]
+    # The first line of the same value that is too long for this one.
+    too_long = 5 * (key & np.uint64(0xFFFF)) // np.uint64(4)
+    limit = np.searchsorted(key, (key & ~np.uint64(0xFFFF)) + np.minimum(too_long, np.uint64(0xFFFF)), "right")
     run = np.cumsum(np.append(0, value[1:] != value[:-1])) if n else np.empty(0, np.int64)
-    label, links, active, step = np.arange(n), [], np.arange(n - 1), 1
+    label, links, step = np.arange(n), [], 1
+    active = np.flatnonzero(np.arange(n) + 1 < limit)
     while len(active):
         other = active + step
-        keep = (value[active] == value[other]) & (5 * chars[active] >= 4 * chars[other])
-        active, other = active[keep], other[keep]
-        near = np.bitwise_count(hashes[active] ^ hashes[other]).sum(axis=1) <= near_bits
-        one, two = label[active[near]], label[other[near]]
-        for i, j in zip(one[one != two].tolist(), two[one != two].tolist(), strict=True):
-            while label[i] != i:
-                i = int(label[i])
-            while label[j] != j:
-                j = int(label[j])
-            if i != j:
-                label[max(i, j)] = min(i, j)
-                links.append((i, j))
-        label = _flat(label)
+        near = np.bitwise_count(one_half[active] ^ one_half[other]) + np.bitwise_count(other_half[active] ^ other_half[other]) <= near_bits
+        if near.any():
+            one, two = label[active[near]], label[other[near]]
+            before = len(links)
+            for i, j in zip(one[one != two].tolist(), two[one != two].tolist(), strict=True):
+                while label[i] != i:
+                    i = int(label[i])
+                while label[j] != j:
+                    j = int(label[j])
+                if i != j:
+                    label[max(i, j)] = min(i, j)
+                    links.append((i, j))
+            if len(links) > before:
+                label = _flat(label)
         step += 1
         if step & (step - 1) == 0:
             low, high = np.full(run[-1] + 1, n), np.full(run[-1] + 1, -1)
             np.minimum.at(low, run, label)
             np.maximum.at(high, run, label)
             active = active[(low != high)[run[active]]]
-        active = active[active + step < n]
+        active = active[active + step < limit[active]]
     pairs = np.array(links, np.int64).reshape(-1, 2)
-    return found["line"][pairs[:, 0]], found["line"][pairs[:, 1]]
+    return found["line"][order[pairs[:, 0]]], found["line"][order[pairs[:, 1]]]
 
 
-def _block_links(per_pair: int):
+def _block_links(n: int):
+    together, _, buckets = _blocks(n)
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = np.concatenate([np.frombuffer(r, RECORD) for r in rows["lines"]])
-        one, other = near_links(found, _values(np.ascontiguousarray(found["hash"]), key[0] // per_pair))
-        return pd.DataFrame({"a": one, "b": other})
+        found = np.frombuffer(b"".join(rows["lines"]), RECORD)
+        # Lines of one length stay in this order, so that a group has the same links in every bucket.
+        found = found[np.argsort(found["line"])]
+        hashes = np.ascontiguousarray(found["hash"])
+        links = [near_links(found, _values(hashes, pair)) for pair in together[key[0] // buckets]]
+        one, other = (np.concatenate(ends) for ends in zip(*links, strict=True))
+        return pd.DataFrame({"a": np.minimum(one, other), "b": np.maximum(one, other)}).drop_duplicates()
 
     return run
 
@@ -216,27 +310,52 @@ def edit_distance(one: str, other: str, most: int) -> int:
         one, other = other, one
     if not one or len(other) - len(one) > most:
         return len(other)
-    ones, top = (1 << len(one)) - 1, 1 << (len(one) - 1)
+    ones = (1 << len(one)) - 1
     where: dict[str, int] = {}
     for i, c in enumerate(one):
         where[c] = where.get(c, 0) | 1 << i
-    up, down, distance = ones, 0, len(one)
-    for seen, c in enumerate(other, 1):
-        hit = where.get(c, 0)
-        across = ((((hit & up) + up) ^ up) | hit) | down
-        left_up, left_down = down | (ones & ~(across | up)), up & across
-        distance += bool(left_up & top) - bool(left_down & top)
+    up, down = ones, 0
+    for begin in range(0, len(other), 64):
+        for c in other[begin : begin + 64]:
+            hit = where.get(c, 0) | down
+            across = (((hit & up) + up) ^ up) | hit
+            left_up = (down | (ones ^ ((across | up) & ones))) << 1 | 1
+            left_down = (up & across) << 1
+            up, down = ones & left_down | (ones ^ ((left_up | across) & ones)), left_up & across & ones
+        # The last row's entry in this column, from the steps down the column.
+        seen = min(begin + 64, len(other))
+        distance = seen + up.bit_count() - down.bit_count()
         if distance - (len(other) - seen) > most:
             return most + 1
-        left_up, left_down = (left_up << 1 | 1) & ones, (left_down << 1) & ones
-        up, down = left_down | (ones & ~((hit | down) | left_up)), left_up & (hit | down)
     return distance
 
 
+def edits_by_words(one: str, other: str, most: int) -> int:
+    """The edits of one way, often a short one, from a line to another, word by word; some number above ``most`` if it is longer.
+
+    Where the words part, the nearest place where they meet again is taken: no distance is below what this says it is at most.
+    """
+    a, b = one.split(" "), other.split(" ")
+    i = j = edits = 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            i += 1
+            j += 1
+            continue
+        skip = next(((x, d - x) for d in range(1, AHEAD) for x in range(d + 1) if a[i + x : i + x + 1] == b[j + d - x : j + d - x + 1] != []), None)
+        if skip is None:
+            break
+        edits += max(sum(map(len, a[i : i + skip[0]])) + skip[0], sum(map(len, b[j : j + skip[1]])) + skip[1])
+        if edits > most:
+            return edits
+        i, j = i + skip[0], j + skip[1]
+    return edits + max(sum(map(len, a[i:])) + len(a) - i, sum(map(len, b[j:])) + len(b) - j)
+
+
 def similar(one: str, other: str) -> bool:
     longer = max(len(one), len(other))
     most = int((1 - SIMILARITY) * longer)
-    return edit_distance(one, other, most) <= most
+    return edits_by_words(one, other, most) <= most or edit_distance(one, other, most) <= most
 
 
 def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near_bits: int = NEAR_BITS) -> list[int]:
@@ -246,6 +365,11 @@ def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near
     """
     n = len(texts)
     label = list(range(n))
+    if n == 2:
+        # Most groups are pairs.
+        short, long = sorted(map(len, texts))
+        apart = int.from_bytes(hashes[0].tobytes()) ^ int.from_bytes(hashes[1].tobytes())
+        return [0, 0] if apart.bit_count() <= near_bits and 5 * short >= 4 * long and (first is None or first == 1) and similar(*texts) else label
     chars = np.array([len(t) for t in texts])
 
     def root(i: int) -> int:
@@ -309,17 +433,25 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
 
 def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
     """(member, root): ids of lines connected by verified links. ``distinct`` has id, hash, chars and the first place."""
-    per_pair = max(1, distinct.count() // BUCKET_LINES)
-    candidates = block_rows(distinct, per_pair).groupBy("bucket").applyInPandas(_block_links(per_pair), "a long, b long")
+    return _verified_groups(keyed, candidate_lines(distinct))
+
+
+def candidate_lines(distinct: DataFrame) -> DataFrame:
+    """The lines of ``distinct`` that are in a candidate group, with its root, the group's slices and the line's own."""
+    n = distinct.count()
+    candidates = block_rows(distinct, n).groupBy("bucket").applyInPandas(_block_links(n), "a long, b long")
     groups = stored(connected_groups(candidates).select("root", F.col("member").alias("id")), "candidates")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
     slices = F.ceil(F.col("_size") / SLICE).cast("int")
     sliced = groups.join(sizes, "root").select("root", "id", slices.alias("_slices"), F.pmod(F.xxhash64("id"), slices).cast("int").alias("slice"))
-    sliced = stored(sliced, "slices")
+    # The smaller side is hashed, so that the lines need not be sorted.
+    return stored(distinct.join(sliced.hint("shuffle_hash"), "id"), "slices")
+
 
-    asked = distinct.join(sliced.select("root", "id"), "id")
-    asked = asked.groupBy("doc", "th").agg(F.collect_list(F.struct("root", "id", "hash", "at")).alias("asked"))
-    texts = map_slices(keyed.join(asked, ["doc", "th"]).select("text", "asked"), _pick_lines, "root long, id long, hash binary, text string")
+def _verified_groups(keyed: DataFrame, sliced: DataFrame) -> DataFrame:
+    asked = sliced.groupBy("doc", "th").agg(F.collect_list(F.struct("root", "id", "hash", "at")).alias("asked"))
+    texts = keyed.join(asked.hint("shuffle_hash"), ["doc", "th"]).select("text", "asked")
+    texts = map_slices(texts, _pick_lines, "root long, id long, hash binary, text string")
 
     cells = F.transform(
         F.sequence(F.lit(0), F.col("_slices") - 1), lambda other: F.struct(F.least("slice", other).alias("i"), F.greatest("slice", other).alias("j"))
@@ -345,26 +477,29 @@ def dedup_lines(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """
     keyed = _keyed(docs)
     lines = stored(line_rows(keyed), "lines")
-    distinct = lines.groupBy("line").agg(F.min(F.struct("doc", "th", "at")).alias("_first"), F.first("hash").alias("hash"), F.first("chars").alias("chars"))
+    first = F.min(F.struct("doc", "th", "at")).alias("_first")
+    distinct = lines.groupBy("line").agg(first, F.first("hash").alias("hash"), F.first("chars").alias("chars"), F.count(F.lit(1)).alias("times"))
     # Stored, a line keeps its number.
-    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("id"), "line", "hash", "chars", "_first.*"), "distinct")
-    groups = stored(fuzzy_groups(keyed, distinct).withColumnRenamed("member", "id"), "line-groups")
+    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("id"), "line", "hash", "chars", "times", "_first.*"), "distinct")
+    sliced = candidate_lines(distinct)
+    groups = stored(_verified_groups(keyed, sliced).withColumnRenamed("member", "id"), "line-groups")
 
-    grouped = distinct.select("id", "doc", "th", "at").join(groups, "id")
-    keepers = grouped.groupBy("root").agg(F.min(F.struct("doc", "th", "at", "id"))["id"].alias("keeper"))
-    others = groups.join(keepers, "root").where("id <> keeper").select("id", F.lit(True).alias("other"))
-    places = distinct.select("id", "line", F.struct("doc", "th", "at").alias("_first")).join(others, "id", "left").drop("id")
     here = F.struct("doc", "th", "at")
-    fuzzy = F.coalesce("other", F.lit(False))
-    gone = lines.select("line", "doc", "th", "at").join(places, "line").where(fuzzy | (here != F.col("_first")))
-    per_doc = gone.select("doc", "th", "at", fuzzy.alias("fuzzy")).distinct().groupBy("doc", "th")
-    per_doc = per_doc.agg(F.collect_list("at").alias("gone"), F.sum(F.col("fuzzy").cast("bigint")).alias("fuzzy"))
+    grouped = sliced.select("id", "line", here.alias("_first")).join(groups, "id")
+    keepers = grouped.groupBy("root").agg(F.min(F.struct("_first", "id"))["id"].alias("keeper"))
+    others = grouped.join(keepers, "root").where("id <> keeper")
+    # Only lines met again, or not the first of their group, can be gone.
+    marked = distinct.where("times > 1").select("line", here.alias("_first"), F.lit(False).alias("fuzzy"))
+    marked = marked.unionByName(others.select("line", "_first", F.lit(True).alias("fuzzy")))
+    gone = lines.select("line", "doc", "th", "at").join(marked.hint("shuffle_hash"), "line").where(F.col("fuzzy") | (here != F.col("_first")))
+    gone = gone.groupBy("doc", "th", "at").agg(F.max("fuzzy").alias("fuzzy"))
+    per_doc = gone.groupBy("doc", "th").agg(F.collect_list("at").alias("gone"), F.sum(F.col("fuzzy").cast("bigint")).alias("fuzzy"))
     carried = [] if row is None else [row.alias("row")]
-    rows = _keyed(docs, *carried).join(per_doc, ["doc", "th"], "left")
+    rows = _keyed(docs, *carried).join(per_doc.hint("shuffle_hash"), ["doc", "th"], "left")
     return rows.select(
         F.nullif("doc", F.lit(LOWEST)).alias("doc_id"),
         _without("text", "gone").alias("kept"),
-        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+        (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1).cast("bigint").alias("n_lines"),
         F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("fuzzy", F.lit(0)).alias("n_fuzzy"),
         *["row" for _ in carried],

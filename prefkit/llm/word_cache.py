@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from prefkit.llm.common import byte_items
+
 # Spark has a task for every core already.
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
@@ -129,7 +131,7 @@ class WordCache(dict):
             return
         self._turn()
         coded = pa.chunked_array([pieces for _, pieces, _ in cuts]).dictionary_encode().chunks
-        known = [self[piece] for piece in coded[-1].dictionary.to_pylist()]
+        known = [self[piece] for piece in byte_items(coded[-1].dictionary)]
         ids, sizes = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) >> 2
         begins = np.cumsum(sizes) - sizes
         for (places, _, first), chunk in zip(cuts, coded, strict=True):
