@@ -49,7 +49,7 @@ BITS, NEAR_BITS = 128, 28
 BLOCKS = BITS // 8
 PAIRS = [(k, (k + step) % BLOCKS) for step in (1, 7) for k in range(BLOCKS)]
 # Characters and distinct words of lines hashed at once; lines per bucket of block values, and at most; lines per slice and per cell of groups.
-CUT_CHARS, HELD_WORDS, BUCKET_LINES, MOST_LINES, SLICE, CELL_LINES = 1 << 20, 20_000, 50_000, 500_000, 512, 4000
+CUT_CHARS, HELD_WORDS, BUCKET_LINES, MOST_LINES, SLICE, CELL_LINES = 1 << 21, 20_000, 50_000, 500_000, 512, 4000
 LOWEST = -(2**63)
 # Words ahead, of both lines together, among which two lines that part are sought to meet again.
 AHEAD = 7
@@ -178,7 +178,7 @@ def line_rows(keyed: DataFrame) -> DataFrame:
         doc, th, begin = (np.array(column, np.int64)[part] for column in (docs, ths, begins))
         return pd.DataFrame({"line": keys, "hash": [h.tobytes() for h in hashes], "chars": chars, "doc": doc, "th": th, "at": begin + at})
 
-    return map_slices(keyed, run, LINES)
+    return map_slices(keyed, run, LINES, rows=512)
 
 
 def _values(hashes: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
@@ -492,7 +492,8 @@ def dedup_lines(docs: DataFrame, row: Column | None = None) -> DataFrame:
     marked = distinct.where("times > 1").select("line", here.alias("_first"), F.lit(False).alias("fuzzy"))
     marked = marked.unionByName(others.select("line", "_first", F.lit(True).alias("fuzzy")))
     gone = lines.select("line", "doc", "th", "at").join(marked.hint("shuffle_hash"), "line").where(F.col("fuzzy") | (here != F.col("_first")))
-    gone = gone.groupBy("doc", "th", "at").agg(F.max("fuzzy").alias("fuzzy"))
+    # Dealt out once, for both groupings and the join with the texts.
+    gone = gone.repartition("doc", "th").groupBy("doc", "th", "at").agg(F.max("fuzzy").alias("fuzzy"))
     per_doc = gone.groupBy("doc", "th").agg(F.collect_list("at").alias("gone"), F.sum(F.col("fuzzy").cast("bigint")).alias("fuzzy"))
     carried = [] if row is None else [row.alias("row")]
     rows = _keyed(docs, *carried).join(per_doc.hint("shuffle_hash"), ["doc", "th"], "left")
