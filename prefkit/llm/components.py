@@ -62,13 +62,15 @@ def connected_groups(links: DataFrame) -> DataFrame:
     Large and small stars take turns until nothing changes, each turn
     written to the shared folder; the number of turns grows with the logarithm of
     the longest chain, after each task has joined up the links it holds. Links to oneself count as a member without others.
+    A turn's tasks, each of which writes a file, follow the number of links and not that of the shuffle's partitions.
     """
     edges = stored(links.where("a is not null and b is not null").select("a", "b").distinct(), "links")
     members = edges.select(F.col("a").alias("member")).unionByName(edges.select(F.col("b").alias("member"))).distinct()
     edges = edges.where("a <> b")
-    edges, state = stored(edges.mapInPandas(joined_up, edges.schema), "joined"), None
+    tasks = max(2 * links.sparkSession.sparkContext.defaultParallelism, -(-edges.count() // AT_ONCE))
+    edges, state = stored(edges.coalesce(tasks).mapInPandas(joined_up, edges.schema), "joined"), None
     while True:
-        edges = stored(_stars(_stars(edges, True), False).mapInPandas(joined_up, edges.schema), "stars")
+        edges = stored(_stars(_stars(edges, True), False).coalesce(tasks).mapInPandas(joined_up, edges.schema), "stars")
         row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if (row["n"], row["s"]) == state:
             break

@@ -431,6 +431,10 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# A filter on the texts stays above them; pushed below, it would make them a second time, in a second Python worker of the task.
+_without = _without.asNondeterministic()
+
+
 def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
     """(member, root): ids of lines connected by verified links. ``distinct`` has id, hash, chars and the first place."""
     return _verified_groups(keyed, candidate_lines(distinct))
@@ -499,7 +503,8 @@ def dedup_lines(docs: DataFrame, row: Column | None = None) -> DataFrame:
     rows = _keyed(docs, *carried).join(per_doc.hint("shuffle_hash"), ["doc", "th"], "left")
     return rows.select(
         F.nullif("doc", F.lit(LOWEST)).alias("doc_id"),
-        _without("text", "gone").alias("kept"),
+        # Texts that keep all their lines are not sent to Python.
+        F.coalesce(_without(F.when(F.size("gone") > 0, F.col("text")), "gone"), "text").alias("kept"),
         (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"))) + 1).cast("bigint").alias("n_lines"),
         F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("fuzzy", F.lit(0)).alias("n_fuzzy"),

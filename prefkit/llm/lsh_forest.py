@@ -211,6 +211,8 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             out.append(inter / union if _similar(inter, len(x), len(y)) else None)
         return pd.Series(out, dtype=float)
 
+    # Computed once; the filter on it would be pushed below and compute it again, in a second Python worker of the task.
+    similarity = similarity.asNondeterministic()
     first = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a"))
     second = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", similarity("_a", "_b").alias("least")).where("least is not null")

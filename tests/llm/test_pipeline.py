@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from prefkit.llm import compression_quality, fair_mix, line_dedup
+from prefkit.llm import compression_quality, fair_mix, line_dedup, lsh_forest
 from tests.llm.helpers import SCHEMA, odd_documents
 from tests.llm.test_operators import levenshtein
 
@@ -75,6 +75,14 @@ def test_line_stage_against_brute_force(spark, corpus):
     assert all(not WORD.search(expect[i]) for i in gone) and {100, 105} <= gone
 
 
+def test_filtered_columns_of_python_are_made_once(spark, corpus):
+    folder, docs = corpus
+    pairs = spark.createDataFrame([(b"a", b"b")], "a binary, b binary")
+    sets = spark.createDataFrame([(b"a", b"12345678"), (b"b", b"12345678")], "cls binary, shingles binary")
+    for made in (cp.line_dedup_stage(spark, docs, folder), lsh_forest.verified_pairs(pairs, sets)):
+        assert made._jdf.queryExecution().sparkPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_join_stage_against_brute_force(spark, corpus):
     folder, docs = corpus
     rows = [tuple(r) for r in docs.collect()]
