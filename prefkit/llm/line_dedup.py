@@ -16,7 +16,8 @@ occurrence stays and all others are removed.
 
 Nothing lists all pairs: a block's lines are compared as arrays and leave one
 link towards their group each, and a group is verified in cells of two slices of
-its lines, where a pair already connected is not compared again.
+its lines, where a pair already connected is not compared again. In a large table chance links make one group of lines that have nothing else in
+common; slices hold lines of about one length, and only slices whose lengths allow the similarity meet.
 
 Cases: null and empty texts have no lines to remove; empty lines stay; rows of
 one doc_id are ordered by a hash of their text, and repeated rows are one
@@ -29,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 from fractions import Fraction
 import hashlib
-from itertools import chain, pairwise
+from itertools import chain, combinations, pairwise, product
 import re
 import sys
 
@@ -50,7 +51,13 @@ BLOCKS = BITS // 8
 PAIRS = [(k, (k + step) % BLOCKS) for step in (1, 7) for k in range(BLOCKS)]
 # Characters and distinct words of lines hashed at once; lines per bucket of block values, and at most; lines per slice and per cell of groups.
 CUT_CHARS, HELD_WORDS, BUCKET_LINES, MOST_LINES, SLICE, CELL_LINES = 1 << 21, 20_000, 50_000, 500_000, 512, 4000
+# Slices of the lines of one length in a group, at most; lengths further apart than one step of STEP are too far for the similarity (1.25).
+MOST_SLICES, STEP = 16, 1.26
+# Rows and columns of hashes in a tile of many columns, columns that are many, and the most rows in a tile of few and pairs in all tiles at hand.
+TILE, TILE_COLUMNS, WIDE, FEW_ROWS, AT_HAND = 64, 4096, 512, 16, 1 << 18
 LOWEST = -(2**63)
+# Lines whose pairs are listed one by one.
+FEW = 8
 # Words ahead, of both lines together, among which two lines that part are sought to meet again.
 AHEAD = 7
 
@@ -224,23 +231,90 @@ def block_rows(distinct: DataFrame, n: int) -> DataFrame:
     return distinct.select("id", "hash", "chars").mapInPandas(run, "bucket long, lines binary")
 
 
-def _flat(label: np.ndarray) -> np.ndarray:
-    """Every label followed to its root."""
+def _join(label: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+    """Join lines pairwise: ``label`` has the smallest line each hangs together with, before and after."""
     while True:
-        further = label[label]
-        if (further == label).all():
-            return label
-        label = further
+        one, other = label[one], label[other]
+        apart = one != other
+        if not apart.any():
+            return
+        one, other = one[apart], other[apart]
+        np.minimum.at(label, np.maximum(one, other), np.minimum(one, other))
+        while not np.array_equal(further := label[label], label):
+            label[:] = further
+
+
+def _near_tiles(
+    one_half: np.ndarray, other_half: np.ndarray, begin: np.ndarray, end: np.ndarray, label: np.ndarray, near_bits: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, columns, bits apart) of near hashes, some at a time: each of the first lines with lines ``begin`` to ``end``.
+
+    Columns that ``label``, which may change meanwhile, has connected with all rows at hand are left.
+    """
+    for low in range(0, len(begin), TILE):
+        high = min(low + TILE, len(begin))
+        rows = slice(low, high)
+        last = int(end[rows].max())
+        for left in range(int(begin[rows].min()), last, TILE_COLUMNS):
+            columns = np.arange(left, min(left + TILE_COLUMNS, last))
+            if (label[rows] == label[low]).all():
+                columns = columns[label[columns] != label[low]]
+                if not len(columns):
+                    continue
+            apart = np.bitwise_count(one_half[rows, None] ^ one_half[columns])
+            apart += np.bitwise_count(other_half[rows, None] ^ other_half[columns])
+            at = np.flatnonzero(apart <= near_bits)
+            if len(at):
+                x, y = at // len(columns), columns[at % len(columns)]
+                inside = (y >= begin[low + x]) & (y < end[low + x])
+                yield low + x[inside], y[inside], apart.ravel()[at[inside]]
+
+
+def _small_tiles(one_half: np.ndarray, other_half: np.ndarray, limit: np.ndarray, near_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, columns) of near hashes, some at a time: each line with those behind it, before its ``limit``.
+
+    A tile is some lines in a row and all that one of them is compared with; tiles of about as many columns are compared at once.
+    """
+    n = len(limit)
+    columns = limit - np.arange(1, n + 1)
+    height = min(FEW_ROWS, 1 << max(2, int(columns.mean() / 2).bit_length()))
+    heads = np.arange(0, n, height)
+    width = np.maximum.reduceat(limit, heads) - heads - 1
+    width[np.maximum.reduceat(columns, heads) == 0] = 0
+    by_width = np.argsort(-width, kind="stable")
+    by_width = by_width[: np.count_nonzero(width)]
+    heads, width = heads[by_width], width[by_width]
+    at = 0
+    while at < len(heads):
+        wide = int(width[at])
+        first = heads[at : at + max(1, AT_HAND // (height * wide))]
+        at += len(first)
+        # The longer of the two lies in the last place, where numpy's loops are.
+        if len(first) > wide:
+            rows = first + np.arange(height)[:, None, None]
+            others = first + 1 + np.arange(wide)[None, :, None]
+        else:
+            rows = first[:, None, None] + np.arange(height)[None, :, None]
+            others = first[:, None, None] + 1 + np.arange(wide)
+        rows, others = np.minimum(rows, n - 1), np.minimum(others, n - 1)
+        apart = np.bitwise_count(one_half[rows] ^ one_half[others])
+        apart += np.bitwise_count(other_half[rows] ^ other_half[others])
+        near = np.flatnonzero(apart <= near_bits)
+        if len(near):
+            x, y = (np.broadcast_to(part, apart.shape)[np.unravel_index(near, apart.shape)] for part in (rows, others))
+            inside = (y > x) & (y < limit[x])
+            yield x[inside], y[inside]
 
 
 def near_links(found: np.ndarray, value: np.ndarray, near_bits: int = NEAR_BITS) -> tuple[np.ndarray, np.ndarray]:
     """(a, b) links that connect the lines of one ``value`` whose hashes are near and whose lengths allow the similarity.
 
-    Lines are sorted by value and length and compared with the next one, the
-    one after it and so on, until lengths or values part. A value whose lines
-    are all connected already is left.
+    Lines are sorted by value and length, so that those a line is compared with
+    follow each other. Where they are many, lines already connected are left.
     """
     n = len(found)
+    if not n:
+        return found["line"], found["line"]
     key = value.astype(np.uint64) << np.uint64(16) | found["chars"]
     if n <= 1 << 32:
         order = np.sort(key << np.uint64(32) | np.arange(n, dtype=np.uint64)).astype(np.uint32).astype(np.int64)
@@ -252,34 +326,27 @@ def near_links(found: np.ndarray, value: np.ndarray, near_bits: int = NEAR_BITS)
     # The first line of the same value that is too long for this one.
     too_long = 5 * (key & np.uint64(0xFFFF)) // np.uint64(4)
     limit = np.searchsorted(key, (key & ~np.uint64(0xFFFF)) + np.minimum(too_long, np.uint64(0xFFFF)), "right")
-    run = np.cumsum(np.append(0, value[1:] != value[:-1])) if n else np.empty(0, np.int64)
-    label, links, step = np.arange(n), [], 1
-    active = np.flatnonzero(np.arange(n) + 1 < limit)
-    while len(active):
-        other = active + step
-        near = np.bitwise_count(one_half[active] ^ one_half[other]) + np.bitwise_count(other_half[active] ^ other_half[other]) <= near_bits
-        if near.any():
-            one, two = label[active[near]], label[other[near]]
-            before = len(links)
-            for i, j in zip(one[one != two].tolist(), two[one != two].tolist(), strict=True):
-                while label[i] != i:
-                    i = int(label[i])
-                while label[j] != j:
-                    j = int(label[j])
-                if i != j:
-                    label[max(i, j)] = min(i, j)
-                    links.append((i, j))
-            if len(links) > before:
-                label = _flat(label)
-        step += 1
-        if step & (step - 1) == 0:
-            low, high = np.full(run[-1] + 1, n), np.full(run[-1] + 1, -1)
-            np.minimum.at(low, run, label)
-            np.maximum.at(high, run, label)
-            active = active[(low != high)[run[active]]]
-        active = active[active + step < limit[active]]
-    pairs = np.array(links, np.int64).reshape(-1, 2)
-    return found["line"][order[pairs[:, 0]]], found["line"][order[pairs[:, 1]]]
+    behind = np.arange(1, n + 1)
+    starts = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    sizes = np.diff(np.append(starts, n))
+    many = np.add.reduceat(limit - behind, starts) >= WIDE * sizes
+    few = np.where(np.repeat(many, sizes), behind, limit)
+    label = np.arange(n)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for pairs in _small_tiles(one_half, other_half, few, near_bits):
+        held.append(pairs)
+        if sum(len(x) for x, _ in held) > AT_HAND:
+            _join(label, *map(np.concatenate, zip(*held, strict=True)))
+            held.clear()
+    if held:
+        _join(label, *map(np.concatenate, zip(*held, strict=True)))
+    for low, size in zip(starts[many].tolist(), sizes[many].tolist(), strict=True):
+        run, own = slice(low, low + size), np.arange(size)
+        for x, y, _ in _near_tiles(one_half[run], other_half[run], behind[run] - low, limit[run] - low, own, near_bits):
+            _join(own, x, y)
+        label[run] = own + low
+    one = np.flatnonzero(label != np.arange(n))
+    return found["line"][order[label[one]]], found["line"][order[one]]
 
 
 def _block_links(n: int):
@@ -358,41 +425,62 @@ def similar(one: str, other: str) -> bool:
     return edits_by_words(one, other, most) <= most or edit_distance(one, other, most) <= most
 
 
+def _pairs(texts: list[str], hashes: np.ndarray, first: int | None, near_bits: int) -> list[tuple[int, int]]:
+    """The candidate pairs of few lines, the nearest first."""
+    numbers, sizes = [int.from_bytes(h.tobytes()) for h in hashes], list(map(len, texts))
+    pairs = combinations(range(len(texts)), 2) if first is None else product(range(first), range(first, len(texts)))
+    near = [((numbers[i] ^ numbers[j]).bit_count(), i, j) for i, j in pairs if 4 * sizes[i] <= 5 * sizes[j] and 4 * sizes[j] <= 5 * sizes[i]]
+    return [(i, j) for apart, i, j in sorted(near) if apart <= near_bits]
+
+
 def verified_links(texts: list[str], hashes: np.ndarray, first: int | None, near_bits: int = NEAR_BITS) -> list[int]:
     """Smallest index connected with each line by verified candidate pairs.
 
     With ``first`` only pairs across the first lines and the others are compared.
     """
     n = len(texts)
-    label = list(range(n))
-    if n == 2:
-        # Most groups are pairs.
-        short, long = sorted(map(len, texts))
-        apart = int.from_bytes(hashes[0].tobytes()) ^ int.from_bytes(hashes[1].tobytes())
-        return [0, 0] if apart.bit_count() <= near_bits and 5 * short >= 4 * long and (first is None or first == 1) and similar(*texts) else label
-    chars = np.array([len(t) for t in texts])
+    above: dict[int, int] = {}
 
     def root(i: int) -> int:
-        while label[i] != i:
-            label[i] = label[label[i]]
-            i = label[i]
-        return i
-
-    rows, columns = (slice(0, n), slice(0, n)) if first is None else (slice(0, first), slice(first, n))
-    apart = np.bitwise_count(hashes[rows, None, :] ^ hashes[None, columns, :]).sum(axis=2)
-    x, y = np.nonzero(apart <= near_bits)
-    near = apart[x, y]
-    y = y + columns.start
-    if first is None:
-        near, x, y = near[x < y], x[x < y], y[x < y]
-    fits = 5 * np.minimum(chars[x], chars[y]) >= 4 * np.maximum(chars[x], chars[y])
-    # The nearest first, so that most pairs are connected before their turn comes.
-    order = np.flatnonzero(fits)[np.argsort(near[fits], kind="stable")]
-    for one, two in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        i, j = root(one), root(two)
-        if i != j and similar(texts[one], texts[two]):
-            label[max(i, j)] = min(i, j)
-    return [root(i) for i in range(n)]
+        top = i
+        while top in above:
+            top = above[top]
+        while i != top:
+            above[i], i = top, above[i]
+        return top
+
+    def verify(pairs: Iterable[tuple[int, int]], texts: list[str]) -> None:
+        for one, two in pairs:
+            i, j = root(one), root(two)
+            if i != j and similar(texts[one], texts[two]):
+                above[max(i, j)] = min(i, j)
+
+    if n <= FEW:
+        verify(_pairs(texts, hashes, first, near_bits), texts)
+        return [root(i) for i in range(n)]
+    chars = np.array([len(t) for t in texts])
+    rows = n if first is None else first
+    # Both sides in the order of their lengths.
+    order = np.concatenate([np.argsort(chars[:rows], kind="stable"), rows + np.argsort(chars[rows:], kind="stable")])
+    chars, halves, texts = chars[order], hashes[order], [texts[i] for i in order.tolist()]
+    across = chars[:rows] if first is None else chars[rows:]
+    begin = np.arange(1, n + 1) if first is None else rows + np.searchsorted(across, -(-4 * chars[:rows] // 5))
+    end = n - len(across) + np.searchsorted(across, 5 * chars[:rows] // 4, "right")
+    label = np.arange(n)
+    for x, y, near in _near_tiles(np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1]), begin, end, label, near_bits):
+        new = label[x] != label[y]
+        x, y, near = x[new], y[new], near[new]
+        # The nearest first, so that most pairs are connected before their turn comes.
+        by_near, before = np.argsort(near, kind="stable"), len(above)
+        verify(zip(x[by_near].tolist(), y[by_near].tolist(), strict=True), texts)
+        if len(above) > before:
+            joined = np.array(list(above))
+            _join(label, joined, np.array([above[i] for i in joined.tolist()]))
+    least = np.full(n, n)
+    np.minimum.at(least, label, order)
+    out = np.empty(n, np.int64)
+    out[order] = least[label]
+    return out.tolist()
 
 
 def _cell_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -441,15 +529,32 @@ def fuzzy_groups(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def candidate_lines(distinct: DataFrame) -> DataFrame:
-    """The lines of ``distinct`` that are in a candidate group, with its root, the group's slices and the line's own."""
+    """The lines of ``distinct`` that are in a candidate group, with its root, the slices of a large one and the line's own."""
     n = distinct.count()
     candidates = block_rows(distinct, n).groupBy("bucket").applyInPandas(_block_links(n), "a long, b long")
     groups = stored(connected_groups(candidates).select("root", F.col("member").alias("id")), "candidates")
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
-    slices = F.ceil(F.col("_size") / SLICE).cast("int")
-    sliced = groups.join(sizes, "root").select("root", "id", slices.alias("_slices"), F.pmod(F.xxhash64("id"), slices).cast("int").alias("slice"))
     # The smaller side is hashed, so that the lines need not be sorted.
-    return stored(distinct.join(sliced.hint("shuffle_hash"), "id"), "slices")
+    lines = stored(distinct.join(groups.hint("shuffle_hash"), "id"), "candidate-lines")
+    lines = lines.withColumn("_step", F.floor(F.log(STEP, "chars")))
+    sizes = lines.groupBy("root", "_step").agg(F.count(F.lit(1)).alias("n"))
+    slices = F.struct(F.col("_step").alias("step"), F.least(F.ceil(F.col("n") / SLICE), F.lit(MOST_SLICES)).alias("slices"))
+    large = sizes.groupBy("root").agg(F.sum("n").alias("n"), F.collect_list(slices).alias("_parts")).where(F.col("n") > SLICE).drop("n")
+    lines = lines.join(stored(large, "large-groups"), "root", "left")
+    own = F.filter("_parts", lambda part: part["step"] == F.col("_step"))[0]["slices"]
+    here = F.filter("_parts", lambda part: F.abs(part["step"] - F.col("_step")) <= 1)
+    return lines.withColumns({"_parts": here, "slice": F.coalesce(_slice(F.col("_step"), F.pmod(F.xxhash64("id"), own)), F.lit(0))}).drop("_step")
+
+
+def _slice(step: Column, nth: Column) -> Column:
+    return step * MOST_SLICES + nth
+
+
+def dealt_lines(sliced: DataFrame) -> DataFrame:
+    """The cells (i, j) of every candidate line: its slice with each slice of its group that holds lines of a length near enough."""
+    others = F.transform("_parts", lambda part: F.transform(F.sequence(F.lit(0), part["slices"] - 1), lambda nth: _slice(part["step"], nth)))
+    others = F.coalesce(F.flatten(others), F.array(F.col("slice")))
+    cells = F.transform(others, lambda other: F.struct(F.least("slice", other).alias("i"), F.greatest("slice", other).alias("j")))
+    return sliced.select("id", "slice", F.col("_parts").isNotNull().alias("_large"), F.inline(cells))
 
 
 def _verified_groups(keyed: DataFrame, sliced: DataFrame) -> DataFrame:
@@ -457,13 +562,10 @@ def _verified_groups(keyed: DataFrame, sliced: DataFrame) -> DataFrame:
     texts = keyed.join(asked.hint("shuffle_hash"), ["doc", "th"]).select("text", "asked")
     texts = map_slices(texts, _pick_lines, "root long, id long, hash binary, text string")
 
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("_slices") - 1), lambda other: F.struct(F.least("slice", other).alias("i"), F.greatest("slice", other).alias("j"))
-    )
-    dealt = sliced.select("id", "slice", "_slices", F.inline(cells)).join(texts, "id")
-    # Small groups share a cell; a group of several slices has its own.
+    dealt = dealt_lines(sliced).join(texts, "id")
+    # Small groups share a cell; a large group has its own.
     count = max(1, sliced.count() // CELL_LINES)
-    cell = F.when(F.col("_slices") > 1, F.xxhash64("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(count)))
+    cell = F.when(F.col("_large"), F.xxhash64("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(count)))
     links = dealt.select("root", "id", "hash", "text", "slice", cell.alias("_cell"), "i", "j")
     return connected_groups(links.groupBy("_cell", "i", "j").applyInPandas(_cell_links, "a long, b long"))
 

@@ -82,6 +82,82 @@ def test_either_way_of_sending_finds_the_pairs_that_meet(monkeypatch, spark, n):
     assert len(expect) > 100 and {(r["a"], r["b"]) for r in found} == expect
 
 
+def connected(n, pairs):
+    root = list(range(n))
+    for a, b in pairs:
+        one, other = sorted((root[a], root[b]))
+        root = [one if r == other else r for r in root]
+    return root
+
+
+def alike(rnd, n, kinds):
+    """Hashes of ``kinds`` kinds, near and not so near within a kind, and lengths."""
+    kind = rnd.integers(0, 256, (kinds, 16), dtype=np.uint8)[rnd.integers(0, kinds, n)]
+    return np.packbits(np.unpackbits(kind, axis=1) ^ (rnd.random((n, 128)) < 0.1), axis=1), rnd.integers(20, 90, n)
+
+
+@pytest.mark.parametrize(("wide", "at_hand"), [(512, 1 << 18), (512, 40), (1, 1 << 18), (5, 100)])
+def test_many_lines_of_one_value_against_brute_force(monkeypatch, wide, at_hand):
+    monkeypatch.setattr(line_dedup, "WIDE", wide)
+    monkeypatch.setattr(line_dedup, "AT_HAND", at_hand)
+    rnd = np.random.default_rng(wide)
+    for n in (0, 1, 5, 300):
+        hashes, chars = alike(rnd, n, 15)
+        found = np.empty(n, line_dedup.RECORD)
+        found["line"], found["hash"], found["chars"] = np.arange(n), hashes.view("<u8").reshape(n, 2), chars
+        value = rnd.integers(0, 4, n).astype(np.uint16)
+        links = list(zip(*(ends.tolist() for ends in line_dedup.near_links(found, value)), strict=True))
+        apart = np.bitwise_count(hashes[:, None] ^ hashes).sum(axis=2)
+        near = (apart <= line_dedup.NEAR_BITS) & (value[:, None] == value) & (5 * np.minimum(chars[:, None], chars) >= 4 * np.maximum(chars[:, None], chars))
+        assert connected(n, links) == connected(n, np.argwhere(near).tolist())
+        assert n < 300 or len(links) > 60
+
+
+def test_hashes_are_compared_many_with_many(monkeypatch):
+    rnd = np.random.default_rng(9)
+    found = np.empty(3000, line_dedup.RECORD)
+    found["line"], found["hash"], found["chars"] = np.arange(3000), rnd.integers(0, 2**63, (3000, 2)), rnd.integers(100, 120, 3000)
+    calls, count = [], np.bitwise_count
+    monkeypatch.setattr(line_dedup.np, "bitwise_count", lambda x: calls.append(x.size) or count(x))
+    line_dedup.near_links(found, (found["line"] % 3).astype(np.uint16))
+    assert len(calls) < 300 and sum(calls) < 2.5 * 3 * 1000 * 1000
+
+
+@pytest.mark.parametrize("first", [None, 0, 50, 130])
+def test_verified_pairs_of_many_lines(monkeypatch, first):
+    rnd = random.Random(12)
+    base = [" ".join(rnd.choice(["one", "two", "three", "four"]) for _ in range(rnd.randrange(5, 12))) for _ in range(30)]
+    texts = [" ".join([*rnd.choice(base).split(" ")[rnd.randrange(2) :], rnd.choice(["end", "other end"])]) for _ in range(130)]
+    hashes, _ = alike(np.random.default_rng(2), 130, 5)
+    apart = np.bitwise_count(hashes[:, None] ^ hashes).sum(axis=2)
+    links = [
+        (i, j)
+        for j in range(130)
+        for i in range(j)
+        if apart[i, j] <= line_dedup.NEAR_BITS and (first is None or i < first <= j) and 5 * levenshtein(texts[i], texts[j]) <= max(len(texts[i]), len(texts[j]))
+    ]
+    assert line_dedup.verified_links(texts, hashes.view("<u8").reshape(130, 2), first) == connected(130, links)
+    monkeypatch.setattr(line_dedup, "FEW", 200)
+    assert line_dedup.verified_links(texts, hashes.view("<u8").reshape(130, 2), first) == connected(130, links)
+
+
+def test_slices_meet_those_of_like_lengths_alone(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SLICE", 20)
+    chars = [9 + 6 * i for i in range(300)] + [100] * 100
+    rows = [(i, bytearray(16 * [7]), c) for i, c in enumerate(chars)] + [(i, bytearray(16 * [200]), 40) for i in range(500, 510)]
+    distinct = spark.createDataFrame(rows, "id long, hash binary, chars int")
+    cells = {}
+    for r in line_dedup.dealt_lines(line_dedup.candidate_lines(distinct)).collect():
+        cells.setdefault(r["id"], set()).add((r["i"], r["j"]))
+        assert r["slice"] in (r["i"], r["j"]) and r["_large"] == (r["id"] < 500)
+    fits = lambda a, b: 5 * min(chars[a], chars[b]) >= 4 * max(chars[a], chars[b])
+    large = sorted(i for i in cells if i < 500)
+    assert len(large) > 390 and all(cells[i] == {(0, 0)} for i in range(500, 510))
+    assert all(cells[a] & cells[b] for a in large for b in large if fits(a, b))
+    # Twenty slices at least; before, a line met them all.
+    assert np.mean([len(cells[i]) for i in large]) < 14
+
+
 def test_edits_by_words_are_never_too_few(monkeypatch):
     rnd = random.Random(6)
     for _ in range(800):
