@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 import xxhash
 
-from prefkit.llm.common import byte_items, map_slices, stored
+from prefkit.llm.common import byte_items, stored
 from prefkit.llm.components import connected_groups
 
 MIN_WORDS = 5
@@ -166,10 +166,10 @@ def hashed_lines(texts: Sequence[str]) -> tuple[list[bytes], np.ndarray, np.ndar
 def line_rows(keyed: DataFrame) -> DataFrame:
     """``LINES``: every line that counts, with the hash of its text, its SimHash and its number ``at`` in the text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             parts, held = [], 0
-            for doc, th, text in zip(batch["doc"], batch["th"], batch["text"], strict=True):
+            for doc, th, text in zip(*(batch[name].to_pylist() for name in ("doc", "th", "text")), strict=True):
                 for at, lines in _segments(text.lower()):
                     parts.append((doc, th, at, lines))
                     held += len(lines)
@@ -179,13 +179,16 @@ def line_rows(keyed: DataFrame) -> DataFrame:
             if parts:
                 yield made(parts)
 
-    def made(parts: list[tuple[int, int, int, str]]) -> pd.DataFrame:
+    def made(parts: list[tuple[int, int, int, str]]) -> pa.RecordBatch:
         docs, ths, begins, texts = zip(*parts, strict=True)
         keys, hashes, chars, part, at = hashed_lines(texts)
         doc, th, begin = (np.array(column, np.int64)[part] for column in (docs, ths, begins))
-        return pd.DataFrame({"line": keys, "hash": [h.tobytes() for h in hashes], "chars": chars, "doc": doc, "th": th, "at": begin + at})
+        edges = pa.py_buffer(16 * np.arange(len(keys) + 1, dtype=np.int32))
+        line, simhash = (pa.Array.from_buffers(pa.binary(), len(keys), [None, edges, pa.py_buffer(data)]) for data in (b"".join(keys), hashes))
+        numbers = (chars.astype(np.int32), doc, th, (begin + at).astype(np.int32))
+        return pa.RecordBatch.from_arrays([line, simhash, *map(pa.array, numbers)], ["line", "hash", "chars", "doc", "th", "at"])
 
-    return map_slices(keyed, run, LINES, rows=512)
+    return keyed.select("doc", "th", "text").mapInArrow(run, LINES)
 
 
 def _values(hashes: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
@@ -364,6 +367,10 @@ def _block_links(n: int):
     return run
 
 
+def _bits(number: int, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(number.to_bytes(-(-n // 8), "little"), np.uint8), count=n, bitorder="little").view(np.int8)
+
+
 def edit_distance(one: str, other: str, most: int) -> int:
     """Levenshtein distance, or some number above ``most`` if it is larger; one big-integer step per character (Myers)."""
     start = 0
@@ -382,6 +389,7 @@ def edit_distance(one: str, other: str, most: int) -> int:
     for i, c in enumerate(one):
         where[c] = where.get(c, 0) | 1 << i
     up, down = ones, 0
+    behind = np.arange(len(one) - 1, -1, -1)
     for begin in range(0, len(other), 64):
         for c in other[begin : begin + 64]:
             hit = where.get(c, 0) | down
@@ -392,8 +400,14 @@ def edit_distance(one: str, other: str, most: int) -> int:
         # The last row's entry in this column, from the steps down the column.
         seen = min(begin + 64, len(other))
         distance = seen + up.bit_count() - down.bit_count()
-        if distance - (len(other) - seen) > most:
+        left = len(other) - seen
+        if distance - left > most:
             return most + 1
+        # From no entry of this column the last one can be reached with fewer edits than their lengths differ by.
+        if len(one) > 64 and left:
+            rise = _bits(up, len(one)) - _bits(down, len(one))
+            if min(seen + abs(len(one) - left), int((seen + np.cumsum(rise, dtype=np.int32) + np.abs(behind - left)).min())) > most:
+                return most + 1
     return distance
 
 
@@ -498,13 +512,10 @@ def _cell_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _pick_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _normalise_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for text, asked in zip(batch["text"], batch["asked"], strict=True):
-            lines = text.split("\n")
-            rows += [(a["root"], a["id"], a["hash"], normalise(lines[a["at"]])) for a in asked]
-        yield pd.DataFrame(rows, columns=["root", "id", "hash", "text"])
+        texts = pa.array([normalise(text) for text in batch["text"].to_pylist()], pa.string())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
 
 
 @F.pandas_udf(StringType())
@@ -559,8 +570,11 @@ def dealt_lines(sliced: DataFrame) -> DataFrame:
 
 def _verified_groups(keyed: DataFrame, sliced: DataFrame) -> DataFrame:
     asked = sliced.groupBy("doc", "th").agg(F.collect_list(F.struct("root", "id", "hash", "at")).alias("asked"))
-    texts = keyed.join(asked.hint("shuffle_hash"), ["doc", "th"]).select("text", "asked")
-    texts = map_slices(texts, _pick_lines, "root long, id long, hash binary, text string")
+    texts = keyed.join(asked.hint("shuffle_hash"), ["doc", "th"])
+    # A text is cut into its lines once, and only those asked for are sent to Python.
+    picked = F.transform(F.array(F.split("text", "\n", -1)), lambda lines: F.transform("asked", lambda a: F.struct(a["root"], a["id"], a["hash"], lines[a["at"]])))
+    texts = texts.select(F.inline(picked[0]).alias("root", "id", "hash", "text"))
+    texts = texts.mapInArrow(_normalise_texts, "root long, id long, hash binary, text string")
 
     dealt = dealt_lines(sliced).join(texts, "id")
     # Small groups share a cell; a large group has its own.
